@@ -23,6 +23,7 @@ from ..functions.metrics import pair_alert, round2_float
 from ..functions.timefmt import hms
 from ..operators.pairing import pair_join, pair_stats
 from ..operators.windows import assign_windows, densify, window_bounds_cols
+from ..session import stage
 
 RESULT_COLUMNS = ("server_id", "window_start", "window_end")
 
@@ -65,7 +66,13 @@ def finish(windowed: DataFrame, job: PairJobSpec, dense: bool = True, sort: bool
            keep_start_ts: bool = False) -> DataFrame:
     """Round, classify and format a windowed aggregate into the result table."""
     spec = job.window
-    df = densify(windowed, _num_partitions(windowed)) if dense else windowed.drop("_lo")
+    if dense:
+        # The aggregate feeds the spine bounds, the server list and the join:
+        # materialise it once instead of letting each consumer rescan the input.
+        windowed = stage(windowed, f"windowed-{job.label.lower()}")
+        df = densify(windowed, _num_partitions(windowed))
+    else:
+        df = windowed.drop("_lo")
     start, end = window_bounds_cols("w", spec)
     a, b = F.round("x_a", 2), F.round("x_b", 2)
     out = df.select(

@@ -64,3 +64,17 @@ def is_local_path(path: str) -> bool:
 def ensure_parent(path: str) -> None:
     if is_local_path(path):
         os.makedirs(os.path.dirname(path.replace("file:", "")) or ".", exist_ok=True)
+
+
+def stage(df, name: str):
+    """Write ``df`` as a parquet table in the shared folder and read it back.
+
+    Used where one intermediate feeds several consumers (a plan that Catalyst
+    would otherwise prune differently per consumer and recompute from the
+    scans). The write is a normal fault-tolerant job; the read-back carries
+    exact size statistics for adaptive planning and has a short lineage.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
