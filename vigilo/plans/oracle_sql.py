@@ -101,8 +101,206 @@ select server_id, strftime(ws, '%H:%M:%S') as window_start, strftime(we, '%H:%M:
 from agg order by server_id, ws"""
 
 
+# --------------------------------------------------------------------------- ingest side
+
+from ..config import METRICS, STATUS_OK  # noqa: E402
+from ..sources.feeds import TS_STYLES  # noqa: E402,F401  (styles restated below in DuckDB syntax)
+
+# DuckDB strftime equivalents of the event feed's timestamp styles, same order.
+DUCK_TS_STYLES = (
+    "strftime(ts, '%Y-%m-%d %H:%M:%S')",
+    "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')",
+    "strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+05:30'",
+    "strftime(ts, '%H:%M:%S')",
+    "'  ' || strftime(ts, '%Y-%m-%d %H:%M:%S.%g') || ' '",
+    "strftime(ts, '%-H:%M:%S')",
+    "strftime(ts, '%Y-%m-%d')",
+)
+
+
+def norm_hms(x: str) -> str:
+    """HH:MM:SS normalisation written with DuckDB string functions."""
+    t = f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    after = (f"(case when contains({t}, 'T') then string_split({t}, 'T')[-1] "
+             f"when contains({t}, ' ') then string_split({t}, ' ')[-1] else {t} end)")
+    part = f"split_part(split_part(regexp_replace({after}, 'Z$', ''), '.', 1), '+', 1)"
+
+    def colons(e):
+        return f"(length({e}) - length(replace({e}, ':', '')))"
+    return (f"(case when length({t}) = 8 and {colons(t)} = 2 then {t} "
+            f"when length({part}) >= 8 and {colons(part)} >= 2 then substr({part}, 1, 8) "
+            f"else {t} end)")
+
+
+def _cents(x: str) -> str:
+    c = f"cast(round({x}) as bigint)"
+    return f"(cast({c} // 100 as varchar) || '.' || lpad(cast({c} % 100 as varchar), 2, '0'))"
+
+
+WIDE = f"""
+wide as (
+  select strftime({TS}, '%Y-%m-%d %H:%M:%S') as ts,
+    {SERVER} as server_id,
+    {_cents('case when l_suppkey % 2 = 0 then 8000 + l_quantity*40 else l_quantity*100 end')} as cpu_pct,
+    {_cents('case when l_suppkey % 3 = 0 then 8000 + (l_partkey % 50)*40 else (l_partkey % 80)*100 end')} as mem_pct,
+    {_cents('round(l_extendedprice*100/14)')} as net_in,
+    {_cents('round(l_extendedprice*100/20)')} as net_out,
+    {_cents('(l_partkey*13 % 4300)*100 + round(l_tax*100)')} as disk_io
+  from lineitem
+  where {KEEP}
+)"""
+
+
+def _fields(m):
+    return ["ts", "server_id", m.column, *m.extra_columns]
+
+
+def _msg_json(m) -> str:
+    parts = []
+    for i, f in enumerate(_fields(m)):
+        parts.append(f"'{'{' if i == 0 else ','}\"{f}\":\"' || {f} || '\"'")
+    return " || ".join(parts) + " || '}'"
+
+
+def _msg_csv(m) -> str:
+    return " || ',' || ".join(_fields(m))
+
+
+def _split(fmt: str) -> str:
+    enc = _msg_json if fmt == "json" else _msg_csv
+    return "\n  union all ".join(f"select '{m.topic}' as topic, {enc(m)} as value from wide" for m in METRICS)
+
+
+SPLIT_JSON = f"with {WIDE}\n{_split('json')}"
+SPLIT_CSV = f"with {WIDE}\n{_split('csv')}"
+TOPIC_COUNTS = f"with {WIDE}, s as ({_split('csv')})\nselect topic, count(*) as messages from s group by topic"
+
+
+def _unpivot(metrics, extra_cols: str = "") -> str:
+    sel = []
+    for m in metrics:
+        v2 = f"cast({m.extra_columns[0]} as double)" if m.extra_columns else "cast(null as double)"
+        sel.append(f"select '{m.topic}' as topic, '{m.name}' as metric, ts as ts_text, {norm_hms('ts')} as ts, "
+                   f"server_id, cast({m.column} as double) as value, {v2} as value2{extra_cols} from wide")
+    return "\n  union all ".join(sel)
+
+
+DECODE = (f"with {WIDE}, d as ({_unpivot(METRICS)})\n"
+          "select topic, metric, ts_text, ts, server_id, value, value2, false as skipped, "
+          "cast(null as varchar) as reason from d")
+
+
+def _status_cols(src: str = "d") -> str:
+    thr = " ".join(f"when '{m.topic}' then {dbl(m.threshold)}" for m in METRICS)
+    pre = " ".join(f"when '{m.topic}' then '{m.status_prefix}'" for m in METRICS)
+    col = " ".join(f"when '{m.topic}' then '{m.column}'" for m in METRICS)
+    extra = " ".join(f"when '{m.topic}' then ' | {m.extra_columns[0]}=' || cast(value2 as varchar)"
+                     for m in METRICS if m.extra_columns)
+    alert = f"coalesce(not isnan(value) and value > (case topic {thr} end), false)"
+    status = f"(case when {alert} then (case topic {pre} end) || cast(value as varchar) else '{STATUS_OK}' end)"
+    line = (f"'[' || metric || '] ' || ts || ' | ' || server_id || ' | ' || (case topic {col} end) || '=' "
+            f"|| cast(value as varchar) || coalesce(case topic {extra} end, '') || ' | ' || {status}")
+    return f"{alert} as is_alert, {status} as status, {line} as line"
+
+
+def _status_query(metrics) -> str:
+    return (f"with {WIDE}, d as ({_unpivot(metrics)})\n"
+            f"select topic, metric, ts, server_id, value, value2, {_status_cols()} from d")
+
+
+CPU_MEM_STATUS = _status_query([m for m in METRICS if m.name in ("CPU", "MEM")])
+NET_DISK_STATUS = _status_query([m for m in METRICS if m.name in ("NET", "DISK")])
+
+
+def _topic_case(key: str) -> str:
+    return "case " + " ".join(f"when {key} % 4 = {i} then '{m.topic}'" for i, m in enumerate(METRICS)) + " end"
+
+
+STYLED = "case " + " ".join(f"when event_id % 7 = {i} then {s}" for i, s in enumerate(DUCK_TS_STYLES)) + " end"
+
+FEED = f"""
+ev as (
+  select event_id, user_id, event_type, value, props,
+    {_topic_case('event_id')} as topic,
+    {STYLED} as styled,
+    'user-' || cast(user_id as varchar) as server
+  from events),
+fe as (
+  select *,
+    case topic {" ".join(f"when '{m.topic}' then '{m.name}'" for m in METRICS)} end as metric,
+    case topic {" ".join(f"when '{m.topic}' then '{m.column}'" for m in METRICS)} end as vcol,
+    topic = '{[m for m in METRICS if m.extra_columns][0].topic}' as has2,
+    case when event_type = 'click' or (event_type = 'view' and user_id % 3 <> 0)
+              or (event_type = 'purchase' and user_id % 2 = 0) then 'normal'
+         when event_type = 'view' then 'skip'
+         when event_type = 'signup' then 'props'
+         when event_type = 'purchase' then 'null'
+         when event_type = 'error' then 'cut'
+         else 'normal' end as kind
+  from ev),
+fm as (
+  select *,
+    '{{"ts":"' || styled || '","server_id":"' || server || '","' || vcol || '":' || cast(value as varchar)
+      || case when has2 then ',"{[m for m in METRICS if m.extra_columns][0].extra_columns[0]}":' || cast(value as varchar) else '' end || '}}' as normal_text,
+    '{{"ts":"' || styled || '","server_id":"' || server || '","' || vcol || '":null'
+      || case when has2 then ',"{[m for m in METRICS if m.extra_columns][0].extra_columns[0]}":null' else '' end || '}}' as null_text
+  from fe),
+acc as (
+  select event_id as "offset", topic, metric,
+    case when kind = 'props' then '' else styled end as ts_text,
+    case when kind = 'props' then '' else server end as server_id,
+    case when kind = 'props' then 0.0 else value end as value,
+    case when has2 then (case when kind = 'props' then 0.0 else value end) end as value2
+  from fm where kind in ('normal', 'props'))"""
+
+EVENT_FEED_DECODE = (f"with {FEED},\n s as (select *, {norm_hms('ts_text')} as ts from acc)\n"
+                     f"select \"offset\", topic, metric, ts, server_id, value, value2, {_status_cols()}, ts_text from s")
+
+INGEST_REJECTS = (f"with {FEED}\n"
+                  "select topic, event_id as \"offset\", "
+                  "case kind when 'cut' then substr(normal_text, 1, length(normal_text) - 1) else null_text end as message, "
+                  "case kind when 'cut' then 'malformed or not a JSON object' else 'bad number' end as reason "
+                  "from fm where kind in ('cut', 'null')")
+
+PROCESSED_COUNTS = f"with {FEED}\nselect topic, count(*) as processed from acc group by topic"
+
+_CONSUMER = ("case when topic in ('topic-cpu', 'topic-mem') then 'consumer1-cpu-mem' "
+             "when topic in ('topic-net', 'topic-disk') then 'consumer2-net-disk' end")
+
+ALERT_TOTALS = (f"with {FEED},\n s as (select *, {norm_hms('ts_text')} as ts from acc),\n"
+                f" st as (select topic, {_status_cols()} from s)\n"
+                f"select {_CONSUMER} as consumer, count(*) filter (where is_alert) as alerts from st group by 1")
+
+PROGRESS_SNAPSHOT = (f"with {FEED},\n g as (select {_CONSUMER} as consumer, count(*) as total_processed, "
+                     f"count(distinct topic) as topics_seen from acc group by 1)\n"
+                     f"select consumer, total_processed, topics_seen, "
+                     f"{r2d('cast(total_processed as double) / greatest(topics_seen, 1)')} as avg_per_topic from g")
+
+NORMALISE_TS = (f"with e as (select event_id, {STYLED} as ts_text from events)\n"
+                f"select event_id, ts_text, {norm_hms('ts_text')} as ts_hms from e")
+
+
+def ingest_sql() -> dict[str, str]:
+    return {
+        "split_messages_json": SPLIT_JSON,
+        "split_messages_csv": SPLIT_CSV,
+        "topic_message_counts": TOPIC_COUNTS,
+        "decode_messages_json": DECODE,
+        "decode_messages_csv": DECODE,
+        "cpu_mem_status": CPU_MEM_STATUS,
+        "net_disk_status": NET_DISK_STATUS,
+        "event_feed_decode": EVENT_FEED_DECODE,
+        "ingest_rejects": INGEST_REJECTS,
+        "processed_counts": PROCESSED_COUNTS,
+        "alert_totals": ALERT_TOTALS,
+        "progress_snapshot": PROGRESS_SNAPSHOT,
+        "normalise_ts": NORMALISE_TS,
+    }
+
+
 def all_sql() -> dict[str, str]:
     return {
         "cpu_mem_alerts": CPU_MEM_ALERTS,
         "net_disk_alerts": NET_DISK_ALERTS,
+        **ingest_sql(),
     }

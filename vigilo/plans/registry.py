@@ -1,16 +1,31 @@
-"""Registered queries: name -> callable(spark, sf_dir) -> DataFrame."""
+"""Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
+
+Every query reads the driver's tables (``lineitem`` through the telemetry
+projection, or ``events`` through the event feed) over their whole extent.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.telemetry import load_metrics
+from ..config import METRICS
+from ..functions.timefmt import normalise_hms
+from ..operators.messages import decode_messages, split_wide, topic_counts
+from ..sources.feeds import TS_STYLES, event_feed, styled_ts
+from ..sources.telemetry import load_metrics, read_table, wide_text
 from .alert_jobs import cpu_mem_alerts, net_disk_alerts
+from .ingest_jobs import (
+    CONSUMER_1, CONSUMER_2, STATUS_COLUMNS, alert_totals, consume, processed_counts,
+    progress_snapshot, reject_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+DECODE_COLUMNS = ("topic", "metric", "ts_text", "ts", "server_id", "value", "value2", "skipped", "reason")
+
 
 def q_cpu_mem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = load_metrics(spark, sf_dir)
@@ -22,8 +37,87 @@ def q_net_disk_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return net_disk_alerts(m["net"], m["disk"])
 
 
+# ----------------------------------------------------------------- producer side
+
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wide_text(read_table(spark, sf_dir, "lineitem"))
+
+
+def q_split_messages_json(spark, sf_dir):
+    return split_wide(_wide(spark, sf_dir), "json")
+
+
+def q_split_messages_csv(spark, sf_dir):
+    return split_wide(_wide(spark, sf_dir), "csv")
+
+
+def q_topic_message_counts(spark, sf_dir):
+    return topic_counts(split_wide(_wide(spark, sf_dir), "csv"))
+
+
+# ----------------------------------------------------------------- consumer side
+
+def q_decode_messages_json(spark, sf_dir):
+    return decode_messages(split_wide(_wide(spark, sf_dir), "json"), "json").select(*DECODE_COLUMNS)
+
+
+def q_decode_messages_csv(spark, sf_dir):
+    return decode_messages(split_wide(_wide(spark, sf_dir), "csv"), "csv").select(*DECODE_COLUMNS)
+
+
+def q_cpu_mem_status(spark, sf_dir):
+    return consume(split_wide(_wide(spark, sf_dir), "json"), CONSUMER_1).select(*STATUS_COLUMNS)
+
+
+def q_net_disk_status(spark, sf_dir):
+    return consume(split_wide(_wide(spark, sf_dir), "json"), CONSUMER_2).select(*STATUS_COLUMNS)
+
+
+def _feed(spark, sf_dir):
+    return event_feed(read_table(spark, sf_dir, "events"))
+
+
+def q_event_feed_decode(spark, sf_dir):
+    return consume(_feed(spark, sf_dir), METRICS).select("offset", *STATUS_COLUMNS, "ts_text")
+
+
+def q_ingest_rejects(spark, sf_dir):
+    return reject_table(_feed(spark, sf_dir)).select("topic", "offset", "message", "reason")
+
+
+def q_processed_counts(spark, sf_dir):
+    return processed_counts(consume(_feed(spark, sf_dir), METRICS))
+
+
+def q_alert_totals(spark, sf_dir):
+    return alert_totals(consume(_feed(spark, sf_dir), METRICS))
+
+
+def q_progress_snapshot(spark, sf_dir):
+    return progress_snapshot(consume(_feed(spark, sf_dir), METRICS))
+
+
+def q_normalise_ts(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    text = styled_ts(F.col("ts"), F.col("event_id") % len(TS_STYLES))
+    return ev.select("event_id", text.alias("ts_text")).withColumn("ts_hms", normalise_hms("ts_text"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "cpu_mem_alerts": q_cpu_mem_alerts,
         "net_disk_alerts": q_net_disk_alerts,
+        "split_messages_json": q_split_messages_json,
+        "split_messages_csv": q_split_messages_csv,
+        "topic_message_counts": q_topic_message_counts,
+        "decode_messages_json": q_decode_messages_json,
+        "decode_messages_csv": q_decode_messages_csv,
+        "cpu_mem_status": q_cpu_mem_status,
+        "net_disk_status": q_net_disk_status,
+        "event_feed_decode": q_event_feed_decode,
+        "ingest_rejects": q_ingest_rejects,
+        "processed_counts": q_processed_counts,
+        "alert_totals": q_alert_totals,
+        "progress_snapshot": q_progress_snapshot,
+        "normalise_ts": q_normalise_ts,
     }

@@ -90,5 +90,5 @@ def wide_text(lineitem: DataFrame) -> DataFrame:
         F.date_format(F.timestamp_seconds(F.lit(FIXTURE_EPOCH) + ok % FIXTURE_TICKS),
                       "yyyy-MM-dd HH:mm:ss").alias("ts"),
         F.concat(F.lit("srv-"), (sk % FIXTURE_SERVERS).cast("string")).alias("server_id"),
-        *[_cents_text(c.cast("long")).alias(n) for n, c in cents.items()],
+        *[_cents_text(F.round(c).cast("long")).alias(n) for n, c in cents.items()],
     )
