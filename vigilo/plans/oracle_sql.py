@@ -298,9 +298,91 @@ def ingest_sql() -> dict[str, str]:
     }
 
 
+# --------------------------------------------------------------------------- window views
+
+FULL = "'%Y-%m-%d %H:%M:%S'"
+
+
+def _joined(a, b):
+    return _pair_ctes(a, b) + f"\nselect strftime(ts, {FULL}) as ts, server_id, {a}, {b} from j"
+
+
+CPU_MEM_JOINED = _joined("cpu_pct", "mem_pct")
+NET_DISK_JOINED = _joined("net_in", "disk_io")
+
+WINDOW_BOUNDS = _pair_ctes("cpu_pct", "mem_pct") + f"""
+select strftime(lo, {FULL}) as min_ts, strftime(hi, {FULL}) as max_ts,
+  (select strftime(min(ws), {FULL}) from starts) as first_start,
+  (select strftime(max(ws), {FULL}) from starts) as last_start,
+  (select count(*) from starts) as n_starts
+from bounds"""
+
+WINDOW_STARTS = _pair_ctes("cpu_pct", "mem_pct") + f"""
+select strftime(ws, {FULL}) as window_start, strftime(ws + interval {WINDOW_SECONDS} second, {FULL}) as window_end
+from starts"""
+
+SERVER_LIST = _pair_ctes("cpu_pct", "mem_pct") + "\nselect server_id from servers"
+
+WINDOW_SPINE = _pair_ctes("cpu_pct", "mem_pct") + f"""
+select server_id, strftime(ws, {FULL}) as window_start, strftime(we, {FULL}) as window_end from spine"""
+
+
+def _nonempty(a, b, agg_a, agg_b, out_a, out_b, case_sql):
+    per = -(-WINDOW_SECONDS // SLIDE_SECONDS)
+    return _pair_ctes(a, b) + f""",
+  x as (
+    select server_id, {a}, {b},
+      make_timestamp((cast(floor(epoch_us(ts) / {SLIDE_SECONDS * 1_000_000}) as bigint) - k) * {SLIDE_SECONDS * 1_000_000}) as ws
+    from j, (select unnest(range({per})) as k)),
+  agg as (select server_id, ws, {agg_a} as {out_a}, {agg_b} as {out_b} from x group by server_id, ws)
+select server_id, strftime(ws, '%H:%M:%S') as window_start,
+  strftime(ws + interval {WINDOW_SECONDS} second, '%H:%M:%S') as window_end,
+  {out_a}, {out_b}, {case_sql} as alert
+from agg"""
+
+
+CPU_MEM_NONEMPTY = _nonempty(
+    "cpu_pct", "mem_pct", r2d("avg(cast(cpu_pct as double))"), r2d("avg(cast(mem_pct as double))"),
+    "avg_cpu", "avg_mem",
+    _case("avg_cpu", "avg_mem", CPU_THRESHOLD, MEM_THRESHOLD, ALERT_CPU_MEM_BOTH, ALERT_CPU_ONLY, ALERT_MEM_ONLY))
+NET_DISK_NONEMPTY = _nonempty(
+    "net_in", "disk_io", r2f("max(net_in)"), r2f("max(disk_io)"), "max_net_in", "max_disk_io",
+    _case("max_net_in", "max_disk_io", NET_IN_THRESHOLD, DISK_IO_THRESHOLD,
+          ALERT_NET_DISK_BOTH, ALERT_NET_ONLY, ALERT_DISK_ONLY))
+
+ALERT_SUMMARY = f"""
+with u as (
+  select 'cpu_mem' as job, alert from ({CPU_MEM_ALERTS}) a
+  union all
+  select 'net_disk' as job, alert from ({NET_DISK_ALERTS}) b)
+select job, alert, count(*) as windows from u group by job, alert"""
+
+INPUT_ROW_COUNTS = f"""with {TELEMETRY}
+select 'cpu' as input, count(*) as rows from telemetry
+union all select 'mem', count(*) from telemetry
+union all select 'net', count(*) from telemetry
+union all select 'disk', count(*) from telemetry"""
+
+
+def window_sql() -> dict[str, str]:
+    return {
+        "cpu_mem_joined": CPU_MEM_JOINED,
+        "net_disk_joined": NET_DISK_JOINED,
+        "window_bounds": WINDOW_BOUNDS,
+        "window_starts": WINDOW_STARTS,
+        "server_list": SERVER_LIST,
+        "window_spine": WINDOW_SPINE,
+        "cpu_mem_windows_nonempty": CPU_MEM_NONEMPTY,
+        "net_disk_windows_nonempty": NET_DISK_NONEMPTY,
+        "alert_summary": ALERT_SUMMARY,
+        "input_row_counts": INPUT_ROW_COUNTS,
+    }
+
+
 def all_sql() -> dict[str, str]:
     return {
         "cpu_mem_alerts": CPU_MEM_ALERTS,
         "net_disk_alerts": NET_DISK_ALERTS,
+        **window_sql(),
         **ingest_sql(),
     }

@@ -16,6 +16,8 @@ from ..functions.timefmt import normalise_hms
 from ..operators.messages import decode_messages, split_wide, topic_counts
 from ..sources.feeds import TS_STYLES, event_feed, styled_ts
 from ..sources.telemetry import load_metrics, read_table, wide_text
+from ..config import CPU_MEM_JOB, NET_DISK_JOB
+from . import window_reports as wr
 from .alert_jobs import cpu_mem_alerts, net_disk_alerts
 from .ingest_jobs import (
     CONSUMER_1, CONSUMER_2, STATUS_COLUMNS, alert_totals, consume, processed_counts,
@@ -37,6 +39,54 @@ def q_net_disk_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return net_disk_alerts(m["net"], m["disk"])
 
 
+def _pair(spark, sf_dir, job):
+    m = load_metrics(spark, sf_dir)
+    if job is CPU_MEM_JOB:
+        return m["cpu"], m["mem"], job
+    return m["net"].drop("net_out"), m["disk"], job
+
+
+def q_cpu_mem_joined(spark, sf_dir):
+    return wr.pairs_table(*_pair(spark, sf_dir, CPU_MEM_JOB))
+
+
+def q_net_disk_joined(spark, sf_dir):
+    return wr.pairs_table(*_pair(spark, sf_dir, NET_DISK_JOB))
+
+
+def q_window_bounds(spark, sf_dir):
+    return wr.bounds(*_pair(spark, sf_dir, CPU_MEM_JOB))
+
+
+def q_window_starts(spark, sf_dir):
+    return wr.starts(*_pair(spark, sf_dir, CPU_MEM_JOB))
+
+
+def q_server_list(spark, sf_dir):
+    return wr.servers(*_pair(spark, sf_dir, CPU_MEM_JOB))
+
+
+def q_window_spine(spark, sf_dir):
+    return wr.dense_spine(*_pair(spark, sf_dir, CPU_MEM_JOB))
+
+
+def q_cpu_mem_windows_nonempty(spark, sf_dir):
+    return wr.nonempty_windows(*_pair(spark, sf_dir, CPU_MEM_JOB))
+
+
+def q_net_disk_windows_nonempty(spark, sf_dir):
+    return wr.nonempty_windows(*_pair(spark, sf_dir, NET_DISK_JOB))
+
+
+def q_alert_summary(spark, sf_dir):
+    return wr.alert_summary({"cpu_mem": q_cpu_mem_alerts(spark, sf_dir),
+                             "net_disk": q_net_disk_alerts(spark, sf_dir)})
+
+
+def q_input_row_counts(spark, sf_dir):
+    return wr.row_counts(load_metrics(spark, sf_dir))
+
+
 # ----------------------------------------------------------------- producer side
 
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +157,16 @@ def all_queries() -> dict[str, Query]:
     return {
         "cpu_mem_alerts": q_cpu_mem_alerts,
         "net_disk_alerts": q_net_disk_alerts,
+        "cpu_mem_joined": q_cpu_mem_joined,
+        "net_disk_joined": q_net_disk_joined,
+        "window_bounds": q_window_bounds,
+        "window_starts": q_window_starts,
+        "server_list": q_server_list,
+        "window_spine": q_window_spine,
+        "cpu_mem_windows_nonempty": q_cpu_mem_windows_nonempty,
+        "net_disk_windows_nonempty": q_net_disk_windows_nonempty,
+        "alert_summary": q_alert_summary,
+        "input_row_counts": q_input_row_counts,
         "split_messages_json": q_split_messages_json,
         "split_messages_csv": q_split_messages_csv,
         "topic_message_counts": q_topic_message_counts,
