@@ -49,9 +49,9 @@ telemetry as (
 )"""
 
 
-def _pair_ctes(a: str, b: str) -> str:
+def _pair_ctes(a: str, b: str, source: str | None = None) -> str:
     """Rounded inputs, pair join, bounds, starts, servers and spine (literal form)."""
-    return f"""with {TELEMETRY},
+    return f"""with {source or TELEMETRY},
   ta as (select ts, server_id, {r2f(a)} as {a} from telemetry),
   tb as (select ts, server_id, {r2f(b)} as {b} from telemetry),
   j as (select ta.ts, ta.server_id, ta.{a}, tb.{b}
@@ -87,7 +87,8 @@ select server_id, strftime(ws, '%H:%M:%S') as window_start, strftime(we, '%H:%M:
   {_case('avg_cpu', 'avg_mem', CPU_THRESHOLD, MEM_THRESHOLD, ALERT_CPU_MEM_BOTH, ALERT_CPU_ONLY, ALERT_MEM_ONLY)} as alert
 from agg order by server_id, ws"""
 
-NET_DISK_ALERTS = _pair_ctes("net_in", "disk_io") + f""",
+def _net_disk_alerts(source: str | None = None) -> str:
+    return _pair_ctes("net_in", "disk_io", source) + f""",
   agg as (
     select sp.server_id, sp.ws, sp.we,
       {r2f('max(j.net_in)')} as max_net_in,
@@ -101,6 +102,9 @@ select server_id, strftime(ws, '%H:%M:%S') as window_start, strftime(we, '%H:%M:
 from agg order by server_id, ws"""
 
 
+NET_DISK_ALERTS = _net_disk_alerts()
+
+
 # --------------------------------------------------------------------------- ingest side
 
 from ..config import METRICS, STATUS_OK  # noqa: E402
@@ -379,10 +383,31 @@ def window_sql() -> dict[str, str]:
     }
 
 
+# --------------------------------------------------------------------------- file flow
+
+# Telemetry as it arrives through the text files: the producer's two-decimal
+# text parsed straight to float by the metric CSV scan.
+TELEMETRY_FROM_TEXT = f"""{WIDE},
+telemetry as (
+  select strptime(ts, '%Y-%m-%d %H:%M:%S') as ts, server_id,
+    cast(cpu_pct as float) as cpu_pct, cast(mem_pct as float) as mem_pct,
+    cast(net_in as float) as net_in, cast(net_out as float) as net_out, cast(disk_io as float) as disk_io
+  from wide
+)"""
+
+
+def file_sql() -> dict[str, str]:
+    return {
+        "cpu_mem_alerts_via_csv": CPU_MEM_ALERTS,
+        "net_disk_alerts_via_csv": _net_disk_alerts(TELEMETRY_FROM_TEXT),
+    }
+
+
 def all_sql() -> dict[str, str]:
     return {
         "cpu_mem_alerts": CPU_MEM_ALERTS,
         "net_disk_alerts": NET_DISK_ALERTS,
         **window_sql(),
         **ingest_sql(),
+        **file_sql(),
     }

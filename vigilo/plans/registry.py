@@ -19,6 +19,7 @@ from ..sources.telemetry import load_metrics, read_table, wide_text
 from ..config import CPU_MEM_JOB, NET_DISK_JOB
 from . import window_reports as wr
 from .alert_jobs import cpu_mem_alerts, net_disk_alerts
+from .file_jobs import alerts_via_csv
 from .ingest_jobs import (
     CONSUMER_1, CONSUMER_2, STATUS_COLUMNS, alert_totals, consume, processed_counts,
     progress_snapshot, reject_table,
@@ -87,6 +88,14 @@ def q_input_row_counts(spark, sf_dir):
     return wr.row_counts(load_metrics(spark, sf_dir))
 
 
+def q_cpu_mem_alerts_via_csv(spark, sf_dir):
+    return alerts_via_csv(spark, read_table(spark, sf_dir, "lineitem"), CPU_MEM_JOB, "json")
+
+
+def q_net_disk_alerts_via_csv(spark, sf_dir):
+    return alerts_via_csv(spark, read_table(spark, sf_dir, "lineitem"), NET_DISK_JOB, "csv")
+
+
 # ----------------------------------------------------------------- producer side
 
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +176,8 @@ def all_queries() -> dict[str, Query]:
         "net_disk_windows_nonempty": q_net_disk_windows_nonempty,
         "alert_summary": q_alert_summary,
         "input_row_counts": q_input_row_counts,
+        "cpu_mem_alerts_via_csv": q_cpu_mem_alerts_via_csv,
+        "net_disk_alerts_via_csv": q_net_disk_alerts_via_csv,
         "split_messages_json": q_split_messages_json,
         "split_messages_csv": q_split_messages_csv,
         "topic_message_counts": q_topic_message_counts,
