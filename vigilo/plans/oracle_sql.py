@@ -400,6 +400,8 @@ def file_sql() -> dict[str, str]:
     return {
         "cpu_mem_alerts_via_csv": CPU_MEM_ALERTS,
         "net_disk_alerts_via_csv": _net_disk_alerts(TELEMETRY_FROM_TEXT),
+        "stream_cpu_mem_status": CPU_MEM_STATUS,
+        "stream_cpu_mem_windows": CPU_MEM_NONEMPTY,
     }
 
 

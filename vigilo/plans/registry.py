@@ -20,6 +20,7 @@ from ..config import CPU_MEM_JOB, NET_DISK_JOB
 from . import window_reports as wr
 from .alert_jobs import cpu_mem_alerts, net_disk_alerts
 from .file_jobs import alerts_via_csv
+from .stream_jobs import consumer_run, windowed_run
 from .ingest_jobs import (
     CONSUMER_1, CONSUMER_2, STATUS_COLUMNS, alert_totals, consume, processed_counts,
     progress_snapshot, reject_table,
@@ -162,6 +163,16 @@ def q_normalise_ts(spark, sf_dir):
     return ev.select("event_id", text.alias("ts_text")).withColumn("ts_hms", normalise_hms("ts_text"))
 
 
+# ----------------------------------------------------------------- streaming
+
+def q_stream_cpu_mem_status(spark, sf_dir):
+    return consumer_run(spark, read_table(spark, sf_dir, "lineitem"), CONSUMER_1).select(*STATUS_COLUMNS)
+
+
+def q_stream_cpu_mem_windows(spark, sf_dir):
+    return windowed_run(spark, *_pair(spark, sf_dir, CPU_MEM_JOB))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "cpu_mem_alerts": q_cpu_mem_alerts,
@@ -191,4 +202,6 @@ def all_queries() -> dict[str, Query]:
         "alert_totals": q_alert_totals,
         "progress_snapshot": q_progress_snapshot,
         "normalise_ts": q_normalise_ts,
+        "stream_cpu_mem_status": q_stream_cpu_mem_status,
+        "stream_cpu_mem_windows": q_stream_cpu_mem_windows,
     }
