@@ -30,6 +30,28 @@ def normalise_hms(raw: Column | str) -> Column:
             .otherwise(t))
 
 
+def with_normalised_hms(df, src: str, dst: str):
+    """``df`` plus ``dst`` = ``normalise_hms(src)``, computed in staged projections.
+
+    Same rule as ``normalise_hms``; the trimmed text and the candidate time part
+    are materialised as intermediate columns so each string function runs once
+    per row even where the surrounding projection cannot be code-generated.
+    """
+    t = F.regexp_replace(F.col(src), r"^\s+|\s+$", "")
+    df = df.withColumn("_hms_t", t)
+    t = F.col("_hms_t")
+    after = (F.when(F.contains(t, F.lit("T")), F.substring_index(t, "T", -1))
+             .when(F.contains(t, F.lit(" ")), F.substring_index(t, " ", -1))
+             .otherwise(t))
+    df = df.withColumn("_hms_p", F.substring_index(F.substring_index(
+        F.regexp_replace(after, "Z$", ""), ".", 1), "+", 1))
+    p = F.col("_hms_p")
+    out = (F.when((F.length(t) == 8) & (_count_char(t, ":") == 2), t)
+           .when((F.length(p) >= 8) & (_count_char(p, ":") >= 2), F.substring(p, 1, 8))
+           .otherwise(t))
+    return df.withColumn(dst, out).drop("_hms_t", "_hms_p")
+
+
 def hms(ts: Column | str) -> Column:
     """Format a timestamp as ``HH:mm:ss`` in the session time zone."""
     return F.date_format(ts, "HH:mm:ss")

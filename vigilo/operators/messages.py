@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import METRICS, MetricSpec
 from ..functions.metrics import status_text
-from ..functions.timefmt import normalise_hms, parse_ts_text
+from ..functions.timefmt import parse_ts_text, with_normalised_hms
 
 FORMATS = ("json", "csv")
 
@@ -74,7 +74,7 @@ def _route(topic: Column, attr: str, metrics: Iterable[MetricSpec], cast=None) -
 
 
 def _json_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Column]:
-    m = F.from_json(value, "map<string,string>")
+    m = F.col("_parsed")      # from_json(value, "map<string,string>"), parsed once upstream
     topic = F.col("topic")
 
     def text(key: str) -> Column:
@@ -110,7 +110,7 @@ def _json_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Co
 
 
 def _csv_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Column]:
-    parts = F.split(value, ",", -1)
+    parts = F.col("_parsed")  # split(value, ","), computed once upstream
     topic = F.col("topic")
     want = _route(topic, "extra_columns", metrics, cast=lambda ex: 3 + len(ex))
     v1 = F.get(parts, 2).try_cast("double")
@@ -138,23 +138,29 @@ def decode_messages(messages: DataFrame, fmt: str = "json", metrics: Iterable[Me
     topics = [m.topic for m in metrics]
     value = F.col("value").cast("string")
     if fmt == "json":
-        f = _json_fields(value, metrics)
+        parsed, f = F.from_json(value, "map<string,string>"), _json_fields(value, metrics)
     elif fmt == "csv":
-        f = _csv_fields(value, metrics)
+        parsed, f = F.split(value, ",", -1), _csv_fields(value, metrics)
     else:
         raise ValueError(f"format must be one of {FORMATS}, got {fmt!r}")
     metric = _route(F.col("topic"), "name", metrics)
-    return (messages.where(F.col("topic").isin(*topics))
-            .select("*",
-                    metric.alias("metric"),
-                    f["ts_text"].alias("ts_text"),
-                    normalise_hms(f["ts_text"]).alias("ts"),
-                    parse_ts_text(f["ts_text"], base_date).alias("event_ts"),
-                    f["server_id"].alias("server_id_"),
-                    f["value"].alias("value_"),
-                    f["value2"].alias("value2"),
-                    f["skip"].alias("skipped"),
-                    f["reason"].alias("reason"))
+    # Parse once into a column; every field below reads that column.
+    df = (messages.where(F.col("topic").isin(*topics))
+          .withColumn("_parsed", parsed)
+          .select("*",
+                  metric.alias("metric"),
+                  f["ts_text"].alias("ts_text"),
+                  f["server_id"].alias("server_id_"),
+                  f["value"].alias("value_"),
+                  f["value2"].alias("value2"),
+                  f["skip"].alias("skipped"),
+                  f["reason"].alias("reason"))
+          .drop("_parsed"))
+    df = with_normalised_hms(df, "ts_text", "ts")
+    df = df.withColumn("event_ts", parse_ts_text("ts_text", base_date))
+    order = [c for c in messages.columns] + ["metric", "ts_text", "ts", "event_ts", "server_id_", "value_",
+                                              "value2", "skipped", "reason"]
+    return (df.select(*order)
             .withColumnRenamed("value", "message")
             .withColumnRenamed("server_id_", "server_id")
             .withColumnRenamed("value_", "value"))
