@@ -11,10 +11,13 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import PairJobSpec
+from ..config import PairJobSpec, output_name
 from ..operators.messages import accepted, decode_messages, split_wide, typed_table
 from ..session import scratch_path
-from ..sources.files import append_metric_csv, read_metric_csv, read_wide_csv, write_csv
+from ..schemas import result_schema
+from ..sources.files import (
+    append_metric_csv, read_metric_csv, read_result_csv, read_wide_csv, write_csv, write_result,
+)
 from ..sources.telemetry import wide_text
 from .alert_jobs import pair_alerts
 
@@ -42,12 +45,25 @@ def ingest_to_csv(spark: SparkSession, wide_csv: str, job: PairJobSpec, work: st
     return paths
 
 
+def run_alert_job(spark: SparkSession, first_csv: str, second_csv: str, job: PairJobSpec, out_dir: str,
+                  team_no: str = "103", base_date: str | None = None) -> str:
+    """The batch job as the monitored pipeline runs it: two metric CSVs in, one result CSV out.
+
+    Returns the result path (``<out_dir>/team_<n>_<LABEL>.csv``, a directory of
+    ordered part files).
+    """
+    a = read_metric_csv(spark, first_csv, job.first, base_date)
+    b = read_metric_csv(spark, second_csv, job.second, base_date)
+    path = f"{out_dir.rstrip('/')}/{output_name(team_no, job)}"
+    write_result(pair_alerts(a, b, job), path)
+    return path
+
+
 def alerts_via_csv(spark: SparkSession, lineitem: DataFrame, job: PairJobSpec, fmt: str = "json",
                    work: str | None = None) -> DataFrame:
-    """Run the file-based flow for one job and return its alert table (lazy after the CSVs)."""
+    """Run the file-based flow for one job and return the result CSV read back."""
     work = work or scratch_path(spark, f"via-csv-{job.label.lower()}")
     wide = stage_wide_csv(spark, lineitem, work)
     paths = ingest_to_csv(spark, wide, job, work, fmt)
-    a = read_metric_csv(spark, paths[job.first.column], job.first)
-    b = read_metric_csv(spark, paths[job.second.column], job.second)
-    return pair_alerts(a, b, job)
+    out = run_alert_job(spark, paths[job.first.column], paths[job.second.column], job, work)
+    return read_result_csv(spark, out, result_schema(job.out_first, job.out_second, job.how))

@@ -34,3 +34,16 @@ NET_TABLE = metric_table("net_in", "net_out")
 DISK_TABLE = metric_table("disk_io")
 
 TYPED_WIDE = metric_table("cpu_pct", "mem_pct", "net_in", "net_out", "disk_io")
+
+
+def result_schema(first: str, second: str, how: str) -> T.StructType:
+    """Alert result table: ``server_id, window_start, window_end, <first>, <second>, alert``."""
+    num = T.DoubleType() if how == "avg" else T.FloatType()
+    return T.StructType([
+        T.StructField("server_id", T.StringType(), True),
+        T.StructField("window_start", T.StringType(), True),
+        T.StructField("window_end", T.StringType(), True),
+        T.StructField(first, num, True),
+        T.StructField(second, num, True),
+        T.StructField("alert", T.StringType(), True),
+    ])

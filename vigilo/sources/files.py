@@ -60,6 +60,11 @@ def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
         df.write.mode("overwrite").format(fmt).save(path)
 
 
+def read_result_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Scan a result CSV directory written by ``write_result``."""
+    return spark.read.option("header", True).schema(schema).csv(path)
+
+
 def publish_messages(messages: DataFrame, path: str, mode: str = "append") -> None:
     """File stand-in for publishing to topics: parquet partitioned by topic."""
     (messages.select("topic", "value", *[c for c in ("offset", "timestamp") if c in messages.columns])
