@@ -40,7 +40,11 @@ def test_cli_flow_equals_direct_jobs(spark, tmp_dir):
     p1 = cli.consume_batch(spark, f"{tmp_dir}/topics", "cpu-mem", f"{tmp_dir}/ingest")
     p2 = cli.consume_batch(spark, f"{tmp_dir}/topics", "net-disk", f"{tmp_dir}/ingest")
     assert set(p1) == {"topic-cpu", "topic-mem"} and set(p2) == {"topic-net", "topic-disk"}
-    out = cli.run_alert_job(spark, p1["topic-cpu"], p1["topic-mem"], cli.CPU_MEM_JOB, f"{tmp_dir}/res")
+    counts = {}
+    out = cli.run_alert_job(spark, p1["topic-cpu"], p1["topic-mem"], cli.CPU_MEM_JOB, f"{tmp_dir}/res",
+                            counts=counts)
+    n = li.count() - li.where("l_suppkey % 5 = 0 and l_orderkey % 600 between 300 and 359").count()
+    assert counts == {"cpu_pct": n, "mem_pct": n}
     assert out.endswith("team_103_CPU_MEM.csv") and glob.glob(f"{out}/part-*")
     got = read_result_csv(spark, out, result_schema("avg_cpu", "avg_mem", "avg"))
     want = q_cpu_mem_alerts(spark, SF_SMALL)       # CPU/MEM text values equal the typed ones

@@ -90,10 +90,12 @@ def main(argv: list[str] | None = None) -> None:
                            a.base_date).awaitTermination()
         else:
             consume_batch(spark, a.messages, a.group, a.out, a.format, a.base_date)
-    elif a.cmd == "cpu-mem":
-        print(run_alert_job(spark, a.cpu, a.mem, CPU_MEM_JOB, a.out, a.team, a.base_date))
     else:
-        print(run_alert_job(spark, a.net, a.disk, NET_DISK_JOB, a.out, a.team, a.base_date))
+        job = CPU_MEM_JOB if a.cmd == "cpu-mem" else NET_DISK_JOB
+        first, second = (a.cpu, a.mem) if a.cmd == "cpu-mem" else (a.net, a.disk)
+        counts: dict = {}
+        path = run_alert_job(spark, first, second, job, a.out, a.team, a.base_date, counts)
+        print(f"[DONE] alerts saved to {path}; rows loaded: {counts}")
 
 
 if __name__ == "__main__":

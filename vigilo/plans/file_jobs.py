@@ -19,7 +19,7 @@ from ..sources.files import (
     append_metric_csv, read_metric_csv, read_result_csv, read_wide_csv, write_csv, write_result,
 )
 from ..sources.telemetry import wide_text
-from .alert_jobs import pair_alerts
+from .alert_jobs import observe_rows, pair_alerts
 
 
 def stage_wide_csv(spark: SparkSession, lineitem: DataFrame, work: str) -> str:
@@ -46,16 +46,20 @@ def ingest_to_csv(spark: SparkSession, wide_csv: str, job: PairJobSpec, work: st
 
 
 def run_alert_job(spark: SparkSession, first_csv: str, second_csv: str, job: PairJobSpec, out_dir: str,
-                  team_no: str = "103", base_date: str | None = None) -> str:
+                  team_no: str = "103", base_date: str | None = None, counts: dict | None = None) -> str:
     """The batch job as the monitored pipeline runs it: two metric CSVs in, one result CSV out.
 
     Returns the result path (``<out_dir>/team_<n>_<LABEL>.csv``, a directory of
-    ordered part files).
+    ordered part files). When ``counts`` is given it receives the rows loaded
+    per input, observed during the job's own scan (no extra pass).
     """
     a = read_metric_csv(spark, first_csv, job.first, base_date)
     b = read_metric_csv(spark, second_csv, job.second, base_date)
+    a, b, obs = observe_rows(a, b, job)
     path = f"{out_dir.rstrip('/')}/{output_name(team_no, job)}"
     write_result(pair_alerts(a, b, job), path)
+    if counts is not None:
+        counts.update({name: o.get["rows"] for name, o in obs.items()})
     return path
 
 

@@ -402,6 +402,7 @@ def file_sql() -> dict[str, str]:
         "net_disk_alerts_via_csv": _net_disk_alerts(TELEMETRY_FROM_TEXT),
         "stream_cpu_mem_status": CPU_MEM_STATUS,
         "stream_cpu_mem_windows": CPU_MEM_NONEMPTY,
+        "stream_cpu_mem_alerts": CPU_MEM_ALERTS,
         "stream_net_disk_status": NET_DISK_STATUS,
         "stream_net_disk_windows": NET_DISK_NONEMPTY,
     }

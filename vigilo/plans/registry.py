@@ -173,6 +173,10 @@ def q_stream_cpu_mem_windows(spark, sf_dir):
     return windowed_run(spark, *_pair(spark, sf_dir, CPU_MEM_JOB))
 
 
+def q_stream_cpu_mem_alerts(spark, sf_dir):
+    return windowed_run(spark, *_pair(spark, sf_dir, CPU_MEM_JOB), dense=True)
+
+
 def q_stream_net_disk_status(spark, sf_dir):
     return consumer_run(spark, read_table(spark, sf_dir, "lineitem"), CONSUMER_2, "csv").select(*STATUS_COLUMNS)
 
@@ -212,6 +216,7 @@ def all_queries() -> dict[str, Query]:
         "normalise_ts": q_normalise_ts,
         "stream_cpu_mem_status": q_stream_cpu_mem_status,
         "stream_cpu_mem_windows": q_stream_cpu_mem_windows,
+        "stream_cpu_mem_alerts": q_stream_cpu_mem_alerts,
         "stream_net_disk_status": q_stream_net_disk_status,
         "stream_net_disk_windows": q_stream_net_disk_windows,
     }

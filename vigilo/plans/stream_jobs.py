@@ -46,8 +46,13 @@ def _stage_feed(df: DataFrame, value_cols: list[str], path: str) -> None:
 
 
 def windowed_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSpec,
-                 watermark: str = "10 minutes") -> DataFrame:
-    """Two metric feeds → windowed alert stream → finalised non-empty windows."""
+                 watermark: str = "10 minutes", dense: bool = False) -> DataFrame:
+    """Two metric feeds → windowed alert stream → finalised windows.
+
+    ``dense=False``: the non-empty windows as the stream emits them;
+    ``dense=True``: the batch read of the sink densified and trimmed, which is
+    the batch job's result table.
+    """
     work = scratch_path(spark, f"window-stream-{job.label.lower()}")
     fa, fb = job.first.column, job.second.column
     _stage_feed(a.select("ts", "server_id", fa), [fa], f"{work}/a")
@@ -58,4 +63,4 @@ def windowed_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSp
         .parquet(f"{work}/b")
     q = start_windowed_alerts(sa, sb, job, f"{work}/out", f"{work}/checkpoint", watermark, available_now=True)
     q.awaitTermination()
-    return finish(read_windowed(spark, f"{work}/out"), job, dense=False, sort=False)
+    return finish(read_windowed(spark, f"{work}/out"), job, dense=dense, sort=dense)

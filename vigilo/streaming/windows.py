@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PairJobSpec
+from ..functions.timefmt import slide_index
 
 HEARTBEAT_SERVER = "__heartbeat__"
 
@@ -39,7 +40,7 @@ def _side(df: DataFrame, col: str, side: int, watermark: str) -> DataFrame:
 
 
 def windowed_alert_stream(a: DataFrame, b: DataFrame, job: PairJobSpec, watermark: str = "60 seconds") -> DataFrame:
-    """Streaming frame of per-(server, window) partial results: ``server_id, w, x_a, x_b``.
+    """Streaming frame of per-(server, window) results: ``server_id, w, x_a, x_b, _lo``.
 
     ``w`` is the window start index (start = w * slide seconds), as in batch.
     """
@@ -57,17 +58,20 @@ def windowed_alert_stream(a: DataFrame, b: DataFrame, job: PairJobSpec, watermar
             aggs += [F.max(mine).alias(f"{tag}_m")]
     keyed = u.groupBy("ts", "server_id").agg(*aggs).where((F.col("a_n") > 0) & (F.col("b_n") > 0))
     win = F.window("ts", f"{spec.length_s} seconds", f"{spec.slide_s} seconds")
+    # min slide bucket of the window's rows: lets a batch read rebuild the dense, trimmed table
+    lo = F.min(slide_index("ts", spec.slide_s)).alias("_lo")
     if job.how == "avg":
         g = keyed.groupBy(win.alias("window"), "server_id").agg(
             F.sum(F.col("a_s") * F.col("b_n")).alias("_as"), F.sum(F.col("a_c") * F.col("b_n")).alias("_ac"),
-            F.sum(F.col("b_s") * F.col("a_n")).alias("_bs"), F.sum(F.col("b_c") * F.col("a_n")).alias("_bc"))
+            F.sum(F.col("b_s") * F.col("a_n")).alias("_bs"), F.sum(F.col("b_c") * F.col("a_n")).alias("_bc"),
+            lo)
         vals = [F.try_divide("_as", "_ac").alias("x_a"), F.try_divide("_bs", "_bc").alias("x_b")]
     else:
         g = keyed.groupBy(win.alias("window"), "server_id").agg(F.max("a_m").alias("x_a"),
-                                                                 F.max("b_m").alias("x_b"))
+                                                                 F.max("b_m").alias("x_b"), lo)
         vals = [F.col("x_a"), F.col("x_b")]
     w = (F.unix_seconds(F.col("window.start")) / F.lit(spec.slide_s)).cast("long")
-    return g.select("server_id", w.alias("w"), *vals)
+    return g.select("server_id", w.alias("w"), *vals, "_lo")
 
 
 def start_windowed_alerts(a: DataFrame, b: DataFrame, job: PairJobSpec, out_dir: str, checkpoint: str,
