@@ -29,8 +29,12 @@ def spread(df: DataFrame) -> DataFrame:
     unchanged, so big inputs pay no extra shuffle. The split count comes from
     file metadata planning; no data is read.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:          # no RDD view (e.g. a remote session): leave the plan alone
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
