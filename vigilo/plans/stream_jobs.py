@@ -33,34 +33,45 @@ def consumer_run(spark: SparkSession, lineitem: DataFrame, metrics: tuple[Metric
     return read_consumer_output(spark, f"{work}/out")
 
 
-def _stage_feed(df: DataFrame, value_cols: list[str], path: str) -> None:
-    """Write a metric feed, then heartbeat files (each its own commit) past its last sample."""
-    df.write.mode("overwrite").parquet(path)
-    staged = df.sparkSession.read.parquet(path)
-    for i in range(1, HEARTBEATS + 1):
-        hb = staged.agg(F.max("ts").alias("ts")).select(
-            (F.col("ts") + F.make_dt_interval(hours=F.lit(i))).alias("ts"),
-            F.lit(HEARTBEAT_SERVER).alias("server_id"),
-            *[F.lit(None).cast("float").alias(c) for c in value_cols])
-        hb.coalesce(1).write.mode("append").parquet(path)
+def _heartbeat(staged: DataFrame, value_cols: list[str], i: int) -> DataFrame:
+    """One row ``i`` hours past the feed's last sample, on the reserved heartbeat server."""
+    return staged.agg(F.max("ts").alias("ts")).select(
+        (F.col("ts") + F.make_dt_interval(hours=F.lit(i))).alias("ts"),
+        F.lit(HEARTBEAT_SERVER).alias("server_id"),
+        *[F.lit(None).cast("float").alias(c) for c in value_cols])
 
 
 def windowed_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSpec,
                  watermark: str = "10 minutes", dense: bool = False) -> DataFrame:
     """Two metric feeds → windowed alert stream → finalised windows.
 
+    The feeds are staged as files (their natural partitioning) and consumed in
+    two data triggers; then heartbeat rows are appended one at a time, each
+    followed by a restart of the query from its checkpoint, so the watermark
+    moves past the last window and both stateful operators flush.
+
     ``dense=False``: the non-empty windows as the stream emits them;
     ``dense=True``: the batch read of the sink densified and trimmed, which is
     the batch job's result table.
     """
     work = scratch_path(spark, f"window-stream-{job.label.lower()}")
-    fa, fb = job.first.column, job.second.column
-    _stage_feed(a.select("ts", "server_id", fa), [fa], f"{work}/a")
-    _stage_feed(b.select("ts", "server_id", fb), [fb], f"{work}/b")
-    sa = spark.readStream.schema(spark.read.parquet(f"{work}/a").schema).option("maxFilesPerTrigger", 1) \
-        .parquet(f"{work}/a")
-    sb = spark.readStream.schema(spark.read.parquet(f"{work}/b").schema).option("maxFilesPerTrigger", 1) \
-        .parquet(f"{work}/b")
-    q = start_windowed_alerts(sa, sb, job, f"{work}/out", f"{work}/checkpoint", watermark, available_now=True)
-    q.awaitTermination()
+    feeds = {"a": (a, job.first.column), "b": (b, job.second.column)}
+    staged = {}
+    for k, (df, col) in feeds.items():
+        df.select("ts", "server_id", col).write.mode("overwrite").parquet(f"{work}/{k}")
+        staged[k] = spark.read.parquet(f"{work}/{k}")
+    per_trigger = max(1, -(-len(staged["a"].inputFiles()) // 2))
+
+    def run(files_per_trigger: int) -> None:
+        sa, sb = (spark.readStream.schema(staged[k].schema).option("maxFilesPerTrigger", files_per_trigger)
+                  .parquet(f"{work}/{k}") for k in ("a", "b"))
+        q = start_windowed_alerts(sa, sb, job, f"{work}/out", f"{work}/checkpoint", watermark,
+                                  available_now=True, state_partitions=spark.sparkContext.defaultParallelism)
+        q.awaitTermination()
+
+    run(per_trigger)
+    for i in range(1, HEARTBEATS + 1):
+        for k, (_, col) in feeds.items():
+            _heartbeat(staged[k], [col], i).coalesce(1).write.mode("append").parquet(f"{work}/{k}")
+        run(1)
     return finish(read_windowed(spark, f"{work}/out"), job, dense=dense, sort=dense)

@@ -76,8 +76,15 @@ def windowed_alert_stream(a: DataFrame, b: DataFrame, job: PairJobSpec, watermar
 
 def start_windowed_alerts(a: DataFrame, b: DataFrame, job: PairJobSpec, out_dir: str, checkpoint: str,
                           watermark: str = "60 seconds", available_now: bool = False,
-                          processing_time: str | None = None) -> StreamingQuery:
-    """Append finalised windows to a parquet table (exactly-once file sink)."""
+                          processing_time: str | None = None,
+                          state_partitions: int | None = None) -> StreamingQuery:
+    """Append finalised windows to a parquet table (exactly-once file sink).
+
+    ``state_partitions``: number of state-store partitions per stateful
+    operator. A checkpoint fixes it at its first start; by default it is the
+    session's ``spark.sql.shuffle.partitions``. Only the start of this query
+    sees the value; the session setting is restored afterwards.
+    """
     w = (windowed_alert_stream(a, b, job, watermark).writeStream
          .format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", out_dir))
@@ -85,7 +92,16 @@ def start_windowed_alerts(a: DataFrame, b: DataFrame, job: PairJobSpec, out_dir:
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    if not state_partitions:
+        return w.start()
+    spark = a.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def read_windowed(spark: SparkSession, out_dir: str) -> DataFrame:
