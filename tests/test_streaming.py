@@ -10,7 +10,7 @@ from vigilo.plans.window_reports import nonempty_windows
 from vigilo.schemas import WIDE_TEXT
 from vigilo.sources.files import publish_messages
 from vigilo.sources.telemetry import load_metrics
-from vigilo.streaming.consumer import message_file_stream, read_consumer_output, start_consumer
+from vigilo.streaming.consumer import message_file_stream, progress_line, read_consumer_output, start_consumer
 
 
 def _wide_rows(n, start=0):
@@ -24,6 +24,10 @@ def test_consumer_resumes_from_checkpoint(spark, tmp_dir):
     q = start_consumer(message_file_stream(spark, topics), out, ckpt, CONSUMER_1, available_now=True)
     q.awaitTermination()
     assert read_consumer_output(spark, out).count() == 40
+    seen = [p["observedMetrics"]["progress"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(int(o["processed"]) for o in seen) == 40
+    assert sum(int(o["processed_topic-cpu"]) for o in seen) == 20
+    assert progress_line({k: int(v) for k, v in seen[-1].asDict().items()}).startswith("Processed ")
     # new messages arrive; a restarted consumer only processes those
     publish_messages(split_wide(spark.createDataFrame(_wide_rows(10, 20), WIDE_TEXT), "json", CONSUMER_1), topics)
     q = start_consumer(message_file_stream(spark, topics), out, ckpt, CONSUMER_1, available_now=True)

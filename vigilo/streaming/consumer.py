@@ -33,6 +33,35 @@ def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: i
     return r.parquet(path)
 
 
+PROGRESS = "progress"
+
+
+def with_progress(decoded: DataFrame, metrics: tuple[MetricSpec, ...]) -> DataFrame:
+    """Attach per-micro-batch counters (the consumers' periodic progress line).
+
+    Read them from ``query.lastProgress["observedMetrics"]["progress"]``:
+    ``processed``, ``rejected``, ``alerts`` and ``processed_<topic>`` per topic.
+    """
+    ok = ~F.col("skipped") & F.col("reason").isNull()
+    v = F.col("value")
+    thr = None
+    for m in metrics:
+        c = F.col("topic") == m.topic
+        thr = F.when(c, F.lit(float(m.threshold))) if thr is None else thr.when(c, F.lit(float(m.threshold)))
+    alert = ok & ~F.isnan(v) & (v > thr)
+    cols = [F.count_if(ok).alias("processed"), F.count_if(F.col("reason").isNotNull()).alias("rejected"),
+            F.count_if(F.coalesce(alert, F.lit(False))).alias("alerts")]
+    cols += [F.count_if(ok & (F.col("topic") == m.topic)).alias(f"processed_{m.topic}") for m in metrics]
+    return decoded.observe(PROGRESS, *cols)
+
+
+def progress_line(observed: dict) -> str:
+    """``Processed N total messages | Avg per topic ≈ X`` from one batch's observed counters."""
+    per_topic = [v for k, v in observed.items() if k.startswith("processed_") and v]
+    total = observed.get("processed", 0)
+    return f"Processed {total} total messages | Avg per topic ≈ {total / max(len(per_topic), 1):.2f}"
+
+
 def _batch_writer(out_dir: str, metrics: tuple[MetricSpec, ...]):
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -52,7 +81,7 @@ def start_consumer(messages: DataFrame, out_dir: str, checkpoint: str, metrics:
                    processing_time: str | None = None, name: str | None = None) -> StreamingQuery:
     """Start a consumer stream; returns the running query."""
     metrics = tuple(metrics)
-    decoded = decode_messages(messages, fmt, metrics, base_date)
+    decoded = with_progress(decode_messages(messages, fmt, metrics, base_date), metrics)
     w = (decoded.writeStream.foreachBatch(_batch_writer(out_dir, metrics))
          .option("checkpointLocation", checkpoint))
     if name:
