@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import PairJobSpec
+from ..config import STATUS_OK, PairJobSpec
 
 
 def _c(c: Column | str) -> Column:
@@ -17,13 +17,15 @@ def round2_float(c: Column | str) -> Column:
     return F.round(_c(c).cast("float"), 2)
 
 
-def over_threshold(c: Column | str, threshold: float) -> Column:
+def over_threshold(c: Column | str, threshold: float | Column) -> Column:
     """Strict ``value > threshold`` in double precision where NaN never alerts.
 
     This is the per-message (ingest) rule: plain Python float comparison.
+    ``threshold`` may be a column (e.g. chosen per topic).
     """
     v = _c(c).cast("double")
-    return F.coalesce(~F.isnan(v) & (v > F.lit(float(threshold))), F.lit(False))
+    t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
+    return F.coalesce(~F.isnan(v) & (v > t), F.lit(False))
 
 
 def pair_alert(a: Column | str, b: Column | str, job: PairJobSpec) -> Column:
@@ -44,6 +46,7 @@ def double_text(c: Column | str) -> Column:
     return _c(c).cast("double").cast("string")
 
 
-def status_text(c: Column | str, threshold: float, prefix: str) -> Column:
+def status_text(c: Column | str, threshold: float | Column, prefix: str | Column) -> Column:
     """``<prefix><value>`` when the value is over the threshold, else ``OK``."""
-    return F.when(over_threshold(c, threshold), F.concat(F.lit(prefix), double_text(c))).otherwise(F.lit("OK"))
+    p = prefix if isinstance(prefix, Column) else F.lit(prefix)
+    return F.when(over_threshold(c, threshold), F.concat(p, double_text(c))).otherwise(F.lit(STATUS_OK))

@@ -74,11 +74,6 @@ def floor_to_slide(ts: Column | str, slide_s: int) -> Column:
     return index_to_ts(slide_index(ts, slide_s), slide_s)
 
 
-def plus_seconds(ts: Column | str, seconds: int) -> Column:
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return ts + F.make_dt_interval(secs=F.lit(seconds))
-
-
 def parse_ts_text(text: Column | str, base_date: str | None = None) -> Column:
     """Best-effort full timestamp from message text.
 

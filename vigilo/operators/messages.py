@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import METRICS, MetricSpec
-from ..functions.metrics import status_text
+from ..functions.metrics import over_threshold, status_text
 from ..functions.timefmt import parse_ts_text, with_normalised_hms
 
 FORMATS = ("json", "csv")
@@ -186,8 +186,8 @@ def with_status(parsed: DataFrame, metrics: Iterable[MetricSpec] = METRICS) -> D
     thr = _route(topic, "threshold", metrics, cast=float)
     prefix = _route(topic, "status_prefix", metrics)
     col_name = _route(topic, "column", metrics)
-    is_alert = F.coalesce(~F.isnan(v) & (v > thr), F.lit(False))
-    status = F.when(is_alert, F.concat(prefix, v.cast("string"))).otherwise(F.lit("OK"))
+    is_alert = over_threshold(v, thr)
+    status = status_text(v, thr, prefix)
     figures = F.concat(col_name, F.lit("="), v.cast("string"))
     extra = [(m.topic, m.extra_columns[0]) for m in metrics if m.extra_columns]
     for t, c in extra:
@@ -198,11 +198,6 @@ def with_status(parsed: DataFrame, metrics: Iterable[MetricSpec] = METRICS) -> D
     return parsed.withColumns({"is_alert": is_alert, "status": status, "line": line})
 
 
-def status_for(metric: MetricSpec) -> Column:
-    """Status text for one metric's typed table (value column named after the metric)."""
-    return status_text(metric.column, metric.threshold, metric.status_prefix)
-
-
 def typed_table(parsed: DataFrame, metric: MetricSpec) -> DataFrame:
     """The per-topic table the consumers append to: ``ts, server_id, <value>[, net_out], event_ts``."""
     cols = [F.col("ts"), F.col("server_id"), F.col("value").alias(metric.column)]

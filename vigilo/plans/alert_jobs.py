@@ -25,9 +25,6 @@ from ..operators.pairing import pair_join, pair_stats
 from ..operators.windows import assign_windows, densify, window_bounds_cols
 from ..session import stage
 
-RESULT_COLUMNS = ("server_id", "window_start", "window_end")
-
-
 def _num_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -108,7 +108,6 @@ NET_DISK_ALERTS = _net_disk_alerts()
 # --------------------------------------------------------------------------- ingest side
 
 from ..config import METRICS, STATUS_OK  # noqa: E402
-from ..sources.feeds import TS_STYLES  # noqa: E402,F401  (styles restated below in DuckDB syntax)
 
 # DuckDB strftime equivalents of the event feed's timestamp styles, same order.
 DUCK_TS_STYLES = (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PairJobSpec
-from ..functions.timefmt import index_to_ts, slide_index
+from ..functions.timefmt import floor_to_slide, slide_index
 from ..operators.pairing import pair_stats
 from ..operators.windows import spine, window_bounds_cols
 from .alert_jobs import finish, joined_pairs, load_rounded, windowed_stats
@@ -36,8 +36,8 @@ def bounds(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
     return k.select(
         F.date_format("lo", FULL_TS).alias("min_ts"),
         F.date_format("hi", FULL_TS).alias("max_ts"),
-        F.date_format(index_to_ts(first, s), FULL_TS).alias("first_start"),
-        F.date_format(index_to_ts(last, s), FULL_TS).alias("last_start"),
+        F.date_format(floor_to_slide("lo", s), FULL_TS).alias("first_start"),
+        F.date_format(floor_to_slide("hi", s), FULL_TS).alias("last_start"),
         (last - first + 1).alias("n_starts"),
     )
 

@@ -17,9 +17,6 @@ FIXTURE_EPOCH = 1704067205     # 2024-01-01 00:00:05 UTC
 FIXTURE_TICKS = 600
 FIXTURE_SERVERS = 100
 
-LINEITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax")
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Give per-row work at least one task per core.
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import METRICS, MetricSpec
+from ..functions.metrics import over_threshold
 from ..operators.messages import decode_messages, with_status
 from ..schemas import MESSAGES
 
@@ -48,9 +49,9 @@ def with_progress(decoded: DataFrame, metrics: tuple[MetricSpec, ...]) -> DataFr
     for m in metrics:
         c = F.col("topic") == m.topic
         thr = F.when(c, F.lit(float(m.threshold))) if thr is None else thr.when(c, F.lit(float(m.threshold)))
-    alert = ok & ~F.isnan(v) & (v > thr)
+    alert = ok & over_threshold(v, thr)
     cols = [F.count_if(ok).alias("processed"), F.count_if(F.col("reason").isNotNull()).alias("rejected"),
-            F.count_if(F.coalesce(alert, F.lit(False))).alias("alerts")]
+            F.count_if(alert).alias("alerts")]
     cols += [F.count_if(ok & (F.col("topic") == m.topic)).alias(f"processed_{m.topic}") for m in metrics]
     return decoded.observe(PROGRESS, *cols)
 
