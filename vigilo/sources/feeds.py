@@ -41,15 +41,6 @@ def wide_messages(lineitem: DataFrame, fmt: str = "json") -> DataFrame:
     return split_wide(wide_text(lineitem), fmt)
 
 
-def _json_obj(pairs: list[tuple[str, Column]]) -> Column:
-    """A compact JSON object from (key, already-encoded JSON value text) pairs."""
-    parts = []
-    for i, (k, v) in enumerate(pairs):
-        parts += [F.lit(("{" if i == 0 else ",") + f'"{k}":'), v]
-    parts.append(F.lit("}"))
-    return F.concat(*parts)
-
-
 def _quoted(c: Column) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
@@ -62,32 +53,37 @@ def event_feed(events: DataFrame) -> DataFrame:
     else normal; signup → the event's ``props`` object (no metric keys);
     purchase → number sent as a string when ``user_id`` is even, else JSON null;
     error → the normal object cut short by one character (malformed).
+
+    Built in staged projections (key names, value text, object) so that no
+    expression is repeated inside another.
     """
     eid, uid, etype = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    topics = F.array(*[F.lit(m.topic) for m in METRICS])
-    topic = F.element_at(topics, (eid % len(METRICS) + 1).cast("int"))
-    ts_text = styled_ts(F.col("ts"), eid % len(TS_STYLES))
-    server = F.concat(F.lit("user-"), uid.cast("string"))
-    num = F.col("value").cast("string")
-    as_str = _quoted(num)
-
-    def payload(v: Column) -> Column:
-        expr = None
-        for m in METRICS:
-            pairs = [("ts", _quoted(ts_text)), ("server_id", _quoted(server)), (m.column, v)]
-            if m.extra_columns:
-                pairs.append((m.extra_columns[0], v))
-            obj = _json_obj(pairs)
-            expr = F.when(topic == m.topic, obj) if expr is None else expr.when(topic == m.topic, obj)
-        return expr
-
-    normal = payload(num)
-    value = (F.when(etype == "click", normal)
-             .when(etype == "view", F.when(uid % 3 == 0, F.lit("{}")).otherwise(normal))
+    idx = (eid % len(METRICS) + 1).cast("int")
+    df = events.select(
+        eid.alias("offset"), uid, etype, F.col("props"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.element_at(F.array(*[F.lit(m.topic) for m in METRICS]), idx).alias("topic"),
+        F.element_at(F.array(*[F.lit(m.column) for m in METRICS]), idx).alias("_key"),
+        F.element_at(F.array(*[F.lit(m.extra_columns[0] if m.extra_columns else None) for m in METRICS]),
+                     idx).alias("_key2"),
+        styled_ts(F.col("ts"), eid % len(TS_STYLES)).alias("_ts"),
+        F.concat(F.lit("user-"), uid.cast("string")).alias("_server"),
+        F.col("value").cast("string").alias("_num"),
+    )
+    num = F.col("_num")
+    v = (F.when(etype != "purchase", num)
+         .when(uid % 2 == 0, _quoted(num))
+         .otherwise(F.lit("null")))
+    df = df.withColumn("_v", v)
+    obj = F.concat(
+        F.lit('{"ts":'), _quoted(F.col("_ts")), F.lit(',"server_id":'), _quoted(F.col("_server")),
+        F.lit(',"'), F.col("_key"), F.lit('":'), F.col("_v"),
+        F.coalesce(F.concat(F.lit(',"'), F.col("_key2"), F.lit('":'), F.col("_v")), F.lit("")),
+        F.lit("}"))
+    df = df.withColumn("_obj", obj)
+    o = F.col("_obj")
+    value = (F.when(etype == "view", F.when(uid % 3 == 0, F.lit("{}")).otherwise(o))
              .when(etype == "signup", F.col("props"))
-             .when(etype == "purchase", F.when(uid % 2 == 0, payload(as_str)).otherwise(payload(F.lit("null"))))
-             .when(etype == "error", F.expr("substring(__n, 1, length(__n) - 1)"))
-             .otherwise(normal))
-    return (events.withColumn("__n", normal)
-            .select(topic.alias("topic"), value.alias("value"), eid.alias("offset"),
-                    F.col("ts").cast("timestamp").alias("timestamp")))
+             .when(etype == "error", F.expr("substring(_obj, 1, length(_obj) - 1)"))
+             .otherwise(o))
+    return df.select("topic", value.alias("value"), "offset", "timestamp")
