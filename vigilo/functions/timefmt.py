@@ -6,6 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Characters Python's str.strip() removes from ASCII text (space, \t, \n, \v, \f, \r).
+_WS = " \t\n\x0b\x0c\r"
+
+
+def _strip(c: Column) -> Column:
+    return F.btrim(c, F.lit(_WS))
+
+
+def _drop_one_z(c: Column) -> Column:
+    """Remove one trailing ``Z``."""
+    return F.when(F.endswith(c, F.lit("Z")), F.substring(c, F.lit(1), F.length(c) - 1)).otherwise(c)
+
+
 def _count_char(c: Column, ch: str) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(ch), F.lit("")))
 
@@ -20,11 +33,11 @@ def normalise_hms(raw: Column | str) -> Column:
     anything else returns the trimmed text unchanged. NULL stays NULL.
     """
     raw = F.col(raw) if isinstance(raw, str) else raw
-    t = F.regexp_replace(raw, r"^\s+|\s+$", "")
+    t = _strip(raw)
     after = (F.when(F.contains(t, F.lit("T")), F.substring_index(t, "T", -1))
              .when(F.contains(t, F.lit(" ")), F.substring_index(t, " ", -1))
              .otherwise(t))
-    part = F.substring_index(F.substring_index(F.regexp_replace(after, "Z$", ""), ".", 1), "+", 1)
+    part = F.substring_index(F.substring_index(_drop_one_z(after), ".", 1), "+", 1)
     return (F.when((F.length(t) == 8) & (_count_char(t, ":") == 2), t)
             .when((F.length(part) >= 8) & (_count_char(part, ":") >= 2), F.substring(part, 1, 8))
             .otherwise(t))
@@ -37,19 +50,20 @@ def with_normalised_hms(df, src: str, dst: str):
     are materialised as intermediate columns so each string function runs once
     per row even where the surrounding projection cannot be code-generated.
     """
-    t = F.regexp_replace(F.col(src), r"^\s+|\s+$", "")
+    t = _strip(F.col(src))
     df = df.withColumn("_hms_t", t)
     t = F.col("_hms_t")
     after = (F.when(F.contains(t, F.lit("T")), F.substring_index(t, "T", -1))
              .when(F.contains(t, F.lit(" ")), F.substring_index(t, " ", -1))
              .otherwise(t))
+    df = df.withColumn("_hms_a", after)
     df = df.withColumn("_hms_p", F.substring_index(F.substring_index(
-        F.regexp_replace(after, "Z$", ""), ".", 1), "+", 1))
+        _drop_one_z(F.col("_hms_a")), ".", 1), "+", 1))
     p = F.col("_hms_p")
     out = (F.when((F.length(t) == 8) & (_count_char(t, ":") == 2), t)
            .when((F.length(p) >= 8) & (_count_char(p, ":") >= 2), F.substring(p, 1, 8))
            .otherwise(t))
-    return df.withColumn(dst, out).drop("_hms_t", "_hms_p")
+    return df.withColumn(dst, out).drop("_hms_t", "_hms_a", "_hms_p")
 
 
 def hms(ts: Column | str) -> Column:
