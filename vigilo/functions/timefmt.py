@@ -99,7 +99,8 @@ def parse_ts_text(text: Column | str, base_date: str | None = None) -> Column:
     t = F.trim(text)
     # Only text that carries a date parses as a full timestamp; a bare time
     # would otherwise silently pick up today's date.
-    full = F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), F.try_to_timestamp(t))
+    has_date = F.substring(t, 1, 4).try_cast("int").isNotNull() & (F.substring(t, 5, 1) == F.lit("-"))
+    full = F.when(has_date, F.try_to_timestamp(t))
     if base_date is None:
         return full
     bare = F.try_to_timestamp(F.concat(F.lit(base_date + " "), t), F.lit("yyyy-MM-dd HH:mm:ss"))
