@@ -68,3 +68,17 @@ def test_result_order_kept_across_part_files(spark, tmp_dir):
     assert rows == sorted(rows, key=lambda r: (r[0], r[1]))
     assert len(rows) == 610
     assert MEM.column == "mem_pct" and F is not None
+
+
+def test_cli_main_argument_wiring(spark, tmp_dir, capsys):
+    from conftest import SF_SMALL
+    write_csv(wide_text(read_table(spark, SF_SMALL, "lineitem")), f"{tmp_dir}/dataset")
+    cli.main(["produce", "--wide", f"{tmp_dir}/dataset", "--out", f"{tmp_dir}/topics", "--format", "csv"])
+    cli.main(["consume", "--messages", f"{tmp_dir}/topics", "--group", "net-disk", "--out", f"{tmp_dir}/in",
+              "--format", "csv"])
+    cli.main(["net-disk", "--net", f"{tmp_dir}/in/topic-net_csv", "--disk", f"{tmp_dir}/in/topic-disk_csv",
+              "--out", f"{tmp_dir}/res", "--team", "7"])
+    out = capsys.readouterr().out
+    assert "team_7_NET_DISK.csv" in out and "rows loaded" in out
+    got = read_result_csv(spark, f"{tmp_dir}/res/team_7_NET_DISK.csv", result_schema("max_net_in", "max_disk_io", "max"))
+    assert got.count() == 610
