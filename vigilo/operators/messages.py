@@ -81,20 +81,31 @@ def _json_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Co
         # str(v.get(key, "")): missing -> "", JSON null -> "None"
         return F.when(F.map_contains_key(m, F.lit(key)), F.coalesce(m[key], F.lit("None"))).otherwise(F.lit(""))
 
-    def number(key: Column | str) -> tuple[Column, Column]:
-        key = F.lit(key) if isinstance(key, str) else key
+    def as_bool_number(keys: dict[str, str]) -> Column:
+        # JSON true/false read as 1.0/0.0 (a *string* "true" stays a bad number). The map
+        # cannot tell the two apart, so only these rows consult a typed (variant) parse.
+        expr = None
+        for t, k in keys.items():
+            got = F.try_variant_get(F.try_parse_json(value), f"$.{k}", "double")
+            expr = F.when(topic == t, got) if expr is None else expr.when(topic == t, got)
+        return expr
+
+    def number(key: Column, keys: dict[str, str]) -> tuple[Column, Column]:
         present = F.map_contains_key(m, key)
-        num = F.when(present, F.element_at(m, key).try_cast("double")).otherwise(F.lit(0.0))
+        raw = F.element_at(m, key)
+        num = (F.when(~present, F.lit(0.0))
+               .when(raw.isin("true", "false"), as_bool_number(keys))
+               .otherwise(raw.try_cast("double")))
         bad = present & num.isNull()
         return num, bad
 
-    v1, bad1 = number(_route(topic, "column", metrics))
+    v1, bad1 = number(_route(topic, "column", metrics), {m.topic: m.column for m in metrics})
     extra = {m.topic: m.extra_columns[0] for m in metrics if m.extra_columns}
     if extra:
         k2 = None
         for t, c in extra.items():
             k2 = F.when(topic == t, F.lit(c)) if k2 is None else k2.when(topic == t, F.lit(c))
-        n2, b2 = number(k2)
+        n2, b2 = number(k2, extra)
         v2 = F.when(k2.isNotNull(), n2)
         bad2 = k2.isNotNull() & b2
     else:
