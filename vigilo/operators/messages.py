@@ -81,31 +81,28 @@ def _json_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Co
         # str(v.get(key, "")): missing -> "", JSON null -> "None"
         return F.when(F.map_contains_key(m, F.lit(key)), F.coalesce(m[key], F.lit("None"))).otherwise(F.lit(""))
 
-    def as_bool_number(keys: dict[str, str]) -> Column:
+    def as_bool_number(key: Column) -> Column:
         # JSON true/false read as 1.0/0.0 (a *string* "true" stays a bad number). The map
-        # cannot tell the two apart, so only these rows consult a typed (variant) parse.
-        expr = None
-        for t, k in keys.items():
-            got = F.try_variant_get(F.try_parse_json(value), f"$.{k}", "double")
-            expr = F.when(topic == t, got) if expr is None else expr.when(topic == t, got)
-        return expr
-
-    def number(key: Column, keys: dict[str, str]) -> tuple[Column, Column]:
+        # cannot tell the two apart; "_typed" holds a typed (variant) parse, made upstream
+        # only for messages that carry such a value.
+        return F.try_variant_get(F.element_at(F.col("_typed"), key), "$", "double")
+
+    def number(key: Column) -> tuple[Column, Column]:
         present = F.map_contains_key(m, key)
         raw = F.element_at(m, key)
         num = (F.when(~present, F.lit(0.0))
-               .when(raw.isin("true", "false"), as_bool_number(keys))
+               .when(raw.isin("true", "false"), as_bool_number(key))
                .otherwise(raw.try_cast("double")))
         bad = present & num.isNull()
         return num, bad
 
-    v1, bad1 = number(_route(topic, "column", metrics), {m.topic: m.column for m in metrics})
+    v1, bad1 = number(_route(topic, "column", metrics))
     extra = {m.topic: m.extra_columns[0] for m in metrics if m.extra_columns}
     if extra:
         k2 = None
         for t, c in extra.items():
             k2 = F.when(topic == t, F.lit(c)) if k2 is None else k2.when(topic == t, F.lit(c))
-        n2, b2 = number(k2, extra)
+        n2, b2 = number(k2)
         v2 = F.when(k2.isNotNull(), n2)
         bad2 = k2.isNotNull() & b2
     else:
@@ -156,8 +153,12 @@ def decode_messages(messages: DataFrame, fmt: str = "json", metrics: Iterable[Me
         raise ValueError(f"format must be one of {FORMATS}, got {fmt!r}")
     metric = _route(F.col("topic"), "name", metrics)
     # Parse once into a column; every field below reads that column.
-    df = (messages.where(F.col("topic").isin(*topics))
-          .withColumn("_parsed", parsed)
+    df = messages.where(F.col("topic").isin(*topics)).withColumn("_parsed", parsed)
+    if fmt == "json":
+        maybe_bool = F.exists(F.map_values("_parsed"), lambda x: x.isin("true", "false"))
+        df = df.withColumn("_typed", F.when(maybe_bool, F.try_variant_get(
+            F.try_parse_json(value), "$", "map<string,variant>")))
+    df = (df
           .select("*",
                   metric.alias("metric"),
                   f["ts_text"].alias("ts_text"),
@@ -166,7 +167,7 @@ def decode_messages(messages: DataFrame, fmt: str = "json", metrics: Iterable[Me
                   f["value2"].alias("value2"),
                   f["skip"].alias("skipped"),
                   f["reason"].alias("reason"))
-          .drop("_parsed"))
+          .drop("_parsed", "_typed"))
     df = with_normalised_hms(df, "ts_text", "ts")
     df = df.withColumn("event_ts", parse_ts_text("ts_text", base_date))
     order = [c for c in messages.columns] + ["metric", "ts_text", "ts", "event_ts", "server_id_", "value_",
