@@ -15,14 +15,16 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from .config import CPU_MEM_JOB, NET_DISK_JOB
+from .config import (
+    CONSUMER_GROUP_CPU_MEM, CONSUMER_GROUP_NET_DISK, CPU_MEM_JOB, DEFAULT_TEAM_NO, NET_DISK_JOB,
+)
 from .operators.messages import accepted, decode_messages, rejects, split_wide, typed_table
 from .plans.file_jobs import run_alert_job
 from .plans.ingest_jobs import CONSUMERS
 from .sources import files, kafka
 from .streaming.consumer import message_file_stream, start_consumer
 
-GROUPS = {"cpu-mem": "consumer1-cpu-mem", "net-disk": "consumer2-net-disk"}
+GROUPS = {"cpu-mem": CONSUMER_GROUP_CPU_MEM, "net-disk": CONSUMER_GROUP_NET_DISK}
 
 
 def produce(spark: SparkSession, wide: str, out: str | None, fmt: str = "json", bootstrap: str | None = None):
@@ -74,7 +76,7 @@ def main(argv: list[str] | None = None) -> None:
         j.add_argument(f"--{x}", required=True)
         j.add_argument(f"--{y}", required=True)
         j.add_argument("--out", required=True)
-        j.add_argument("--team", default="103")
+        j.add_argument("--team", default=DEFAULT_TEAM_NO)
         j.add_argument("--base-date")
     a = ap.parse_args(argv)
 

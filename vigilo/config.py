@@ -39,6 +39,16 @@ STATUS_DISK_PREFIX = "⚠ DISK_IO ALERT: "
 STATUS_OK = "OK"
 
 WIDE_COLUMNS = ("ts", "server_id", "cpu_pct", "mem_pct", "net_in", "net_out", "disk_io")
+
+CONSUMER_GROUP_CPU_MEM = "consumer1-cpu-mem"
+CONSUMER_GROUP_NET_DISK = "consumer2-net-disk"
+DEFAULT_TEAM_NO = "103"
+
+RESULT_NAME_FORMAT = "team_{team_no}_{label}.csv"
+STATUS_LINE_FORMAT = "[{metric}] {ts} | {server_id} | {figures} | {status}"
+FIGURE_FORMAT = "{name}={value}"
+FIGURE_SEPARATOR = " | "
+PROGRESS_FORMAT = "Processed {total} total messages | Avg per topic ≈ {avg:.2f}"
 # ---------------------------------------------------------------------------
 
 
@@ -113,5 +123,5 @@ NET_DISK_JOB = PairJobSpec(
 
 
 def output_name(team_no: str, job: PairJobSpec) -> str:
-    """Result name the batch jobs write, e.g. ``team_103_CPU_MEM.csv``."""
-    return f"team_{team_no}_{job.label}.csv"
+    """Result name the batch jobs write (``RESULT_NAME_FORMAT``)."""
+    return RESULT_NAME_FORMAT.format(team_no=team_no, label=job.label)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,3 +52,14 @@ def status_text(c: Column | str, threshold: float | Column, prefix: str | Column
     """``<prefix><value>`` when the value is over the threshold, else ``OK``."""
     p = prefix if isinstance(prefix, Column) else F.lit(prefix)
     return F.when(over_threshold(c, threshold), F.concat(p, double_text(c))).otherwise(F.lit(STATUS_OK))
+
+
+def format_columns(fmt: str, **cols: Column) -> Column:
+    """``fmt`` with each ``{name}`` replaced by the matching column (text concat, JVM side)."""
+    parts = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", fmt)):
+        if i % 2:
+            parts.append(cols[piece])
+        elif piece:
+            parts.append(F.lit(piece))
+    return F.concat(*parts)

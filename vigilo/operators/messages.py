@@ -16,8 +16,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import METRICS, MetricSpec
-from ..functions.metrics import over_threshold, status_text
+from ..config import FIGURE_FORMAT, FIGURE_SEPARATOR, METRICS, STATUS_LINE_FORMAT, MetricSpec
+from ..functions.metrics import format_columns, over_threshold, status_text
 from ..functions.timefmt import parse_ts_text, with_normalised_hms
 
 FORMATS = ("json", "csv")
@@ -200,13 +200,13 @@ def with_status(parsed: DataFrame, metrics: Iterable[MetricSpec] = METRICS) -> D
     col_name = _route(topic, "column", metrics)
     is_alert = over_threshold(v, thr)
     status = status_text(v, thr, prefix)
-    figures = F.concat(col_name, F.lit("="), v.cast("string"))
+    figures = format_columns(FIGURE_FORMAT, name=col_name, value=v.cast("string"))
     extra = [(m.topic, m.extra_columns[0]) for m in metrics if m.extra_columns]
     for t, c in extra:
-        figures = F.when(topic == t, F.concat(figures, F.lit(f" | {c}="), F.col("value2").cast("string"))
-                         ).otherwise(figures)
-    line = F.concat(F.lit("["), F.col("metric"), F.lit("] "), F.col("ts"), F.lit(" | "),
-                    F.col("server_id"), F.lit(" | "), figures, F.lit(" | "), status)
+        second = format_columns(FIGURE_FORMAT, name=F.lit(c), value=F.col("value2").cast("string"))
+        figures = F.when(topic == t, F.concat(figures, F.lit(FIGURE_SEPARATOR), second)).otherwise(figures)
+    line = format_columns(STATUS_LINE_FORMAT, metric=F.col("metric"), ts=F.col("ts"),
+                          server_id=F.col("server_id"), figures=figures, status=status)
     return parsed.withColumns({"is_alert": is_alert, "status": status, "line": line})
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import PairJobSpec, output_name
+from ..config import DEFAULT_TEAM_NO, PairJobSpec, output_name
 from ..operators.messages import accepted, decode_messages, split_wide, typed_table
 from ..session import scratch_path
 from ..schemas import result_schema
@@ -46,7 +46,7 @@ def ingest_to_csv(spark: SparkSession, wide_csv: str, job: PairJobSpec, work: st
 
 
 def run_alert_job(spark: SparkSession, first_csv: str, second_csv: str, job: PairJobSpec, out_dir: str,
-                  team_no: str = "103", base_date: str | None = None, counts: dict | None = None) -> str:
+                  team_no: str = DEFAULT_TEAM_NO, base_date: str | None = None, counts: dict | None = None) -> str:
     """The batch job as the monitored pipeline runs it: two metric CSVs in, one result CSV out.
 
     Returns the result path (``<out_dir>/team_<n>_<LABEL>.csv``, a directory of

@@ -7,12 +7,12 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import CPU, DISK, MEM, NET, MetricSpec
+from ..config import CONSUMER_GROUP_CPU_MEM, CONSUMER_GROUP_NET_DISK, CPU, DISK, MEM, NET, MetricSpec
 from ..operators.messages import accepted, decode_messages, rejects, with_status
 
 CONSUMER_1 = (CPU, MEM)     # consumer group for topic-cpu + topic-mem
 CONSUMER_2 = (NET, DISK)    # consumer group for topic-net + topic-disk
-CONSUMERS = {"consumer1-cpu-mem": CONSUMER_1, "consumer2-net-disk": CONSUMER_2}
+CONSUMERS = {CONSUMER_GROUP_CPU_MEM: CONSUMER_1, CONSUMER_GROUP_NET_DISK: CONSUMER_2}
 
 STATUS_COLUMNS = ("topic", "metric", "ts", "server_id", "value", "value2", "is_alert", "status", "line")
 

@@ -107,7 +107,7 @@ NET_DISK_ALERTS = _net_disk_alerts()
 
 # --------------------------------------------------------------------------- ingest side
 
-from ..config import METRICS, STATUS_OK  # noqa: E402
+from ..config import CONSUMER_GROUP_CPU_MEM, CONSUMER_GROUP_NET_DISK, METRICS, STATUS_OK  # noqa: E402
 
 # DuckDB strftime equivalents of the event feed's timestamp styles, same order.
 DUCK_TS_STYLES = (
@@ -267,8 +267,8 @@ INGEST_REJECTS = (f"with {FEED}\n"
 
 PROCESSED_COUNTS = f"with {FEED}\nselect topic, count(*) as processed from acc group by topic"
 
-_CONSUMER = ("case when topic in ('topic-cpu', 'topic-mem') then 'consumer1-cpu-mem' "
-             "when topic in ('topic-net', 'topic-disk') then 'consumer2-net-disk' end")
+_CONSUMER = (f"case when topic in ('topic-cpu', 'topic-mem') then '{CONSUMER_GROUP_CPU_MEM}' "
+             f"when topic in ('topic-net', 'topic-disk') then '{CONSUMER_GROUP_NET_DISK}' end")
 
 ALERT_TOTALS = (f"with {FEED},\n s as (select *, {norm_hms('ts_text')} as ts from acc),\n"
                 f" st as (select topic, {_status_cols()} from s)\n"

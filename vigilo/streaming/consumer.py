@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import METRICS, MetricSpec
+from ..config import METRICS, PROGRESS_FORMAT, MetricSpec
 from ..functions.metrics import over_threshold
 from ..operators.messages import decode_messages, with_status
 from ..schemas import MESSAGES
@@ -57,10 +57,10 @@ def with_progress(decoded: DataFrame, metrics: tuple[MetricSpec, ...]) -> DataFr
 
 
 def progress_line(observed: dict) -> str:
-    """``Processed N total messages | Avg per topic ≈ X`` from one batch's observed counters."""
+    """The consumers' progress line (``PROGRESS_FORMAT``) from one batch's observed counters."""
     per_topic = [v for k, v in observed.items() if k.startswith("processed_") and v]
     total = observed.get("processed", 0)
-    return f"Processed {total} total messages | Avg per topic ≈ {total / max(len(per_topic), 1):.2f}"
+    return PROGRESS_FORMAT.format(total=total, avg=total / max(len(per_topic), 1))
 
 
 def _batch_writer(out_dir: str, metrics: tuple[MetricSpec, ...]):
