@@ -161,3 +161,27 @@ def test_properties_dense_grid_and_alert_consistency(spark):
            & ((F.col("avg_cpu") > 89.65) | (F.col("avg_mem") > 89.73))))
     assert bad.count() == 0
     out.unpersist()
+
+
+def test_spine_spans_many_chunks(spark):
+    from vigilo.operators.windows import SPINE_CHUNK
+    lo, hi = 1000, 1000 + 2 * SPINE_CHUNK + 37              # crosses three chunk boundaries
+    extent = spark.createDataFrame([("a", lo, lo + 5), ("b", hi - 3, hi)], "server_id string, lo long, hi long")
+    sp = spine(extent, 4)
+    n = hi - lo + 1
+    stats = sp.groupBy("server_id").agg(F.count("w").alias("n"), F.countDistinct("w").alias("d"),
+                                        F.min("w").alias("lo"), F.max("w").alias("hi")).collect()
+    assert sorted(tuple(r) for r in stats) == [("a", n, n, lo, hi), ("b", n, n, lo, hi)]
+
+
+def test_long_span_dense_through_the_job(spark):
+    t0, t1 = datetime(2024, 1, 1, 0, 0, 0), datetime(2024, 1, 1, 6, 0, 0)     # 2160 slides apart
+    cpu = frame(spark, CPU_TABLE, [(t0, "s", 95.0), (t1, "s", 10.0)])
+    mem = frame(spark, MEM_TABLE, [(t0, "s", 95.0), (t1, "s", 10.0)])
+    out = cpu_mem_alerts(cpu, mem)
+    rows = rows_of(out)
+    assert len(rows) == 2161
+    assert rows[0][1:3] == ("00:00:00", "00:00:30") and rows[-1][1] == "06:00:00"
+    # the first sample's two earlier windows start before the first aligned start (trimmed);
+    # the last sample is in 05:59:40, 05:59:50 and 06:00:00
+    assert sum(r[3] is not None for r in rows) == 4
