@@ -82,3 +82,10 @@ def test_cli_main_argument_wiring(spark, tmp_dir, capsys):
     assert "team_7_NET_DISK.csv" in out and "rows loaded" in out
     got = read_result_csv(spark, f"{tmp_dir}/res/team_7_NET_DISK.csv", result_schema("max_net_in", "max_disk_io", "max"))
     assert got.count() == 610
+
+
+def test_kafka_adapter_fails_clearly_without_connector(spark):
+    import pytest
+    from vigilo.sources import kafka
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka.read_topics(spark, "localhost:9", ["topic-cpu", "topic-mem"], stream=True)
