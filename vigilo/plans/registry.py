@@ -125,12 +125,14 @@ def q_decode_messages_csv(spark, sf_dir):
     return decode_messages(split_wide(_wide(spark, sf_dir), "csv"), "csv").select(*DECODE_COLUMNS)
 
 
+# A subscribed consumer only ever receives its own topics, so only those messages are generated.
+
 def q_cpu_mem_status(spark, sf_dir):
-    return consume(split_wide(_wide(spark, sf_dir), "json"), CONSUMER_1).select(*STATUS_COLUMNS)
+    return consume(split_wide(_wide(spark, sf_dir), "json", CONSUMER_1), CONSUMER_1).select(*STATUS_COLUMNS)
 
 
 def q_net_disk_status(spark, sf_dir):
-    return consume(split_wide(_wide(spark, sf_dir), "json"), CONSUMER_2).select(*STATUS_COLUMNS)
+    return consume(split_wide(_wide(spark, sf_dir), "json", CONSUMER_2), CONSUMER_2).select(*STATUS_COLUMNS)
 
 
 def _feed(spark, sf_dir):
