@@ -43,3 +43,13 @@ def test_topic_partition_pruning(spark, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(topic" in plan and "topic-cpu" in plan
     assert {r.topic for r in df.select("topic").distinct().collect()} == {"topic-cpu"}
+
+
+def test_spread_only_redistributes_narrow_inputs(spark):
+    from vigilo.sources.telemetry import spread
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.range(0, 1000, numPartitions=1)
+    wide = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(narrow).rdd.getNumPartitions() == cores
+    assert "RoundRobinPartitioning" in spread(narrow)._jdf.queryExecution().executedPlan().toString()
+    assert spread(wide) is wide
