@@ -72,9 +72,10 @@ def test_json_decode_rules(spark):
         ("topic-other", '{"ts": "x"}'),                 # unknown topic ignored
         ("topic-disk", '{"disk_io": true}'),            # JSON boolean reads as 1.0
         ("topic-disk", '{"disk_io": "true"}'),          # the string "true" is a bad number
+        ("topic-mem", '{"ts": true, "server_id": "false", "mem_pct": 1}'),   # str(True) -> "True"
     ]
     d = _decode(spark, rows)
-    assert d.count() == 12
+    assert d.count() == 13
     ok = {r.message: r for r in with_status(accepted(d)).collect()}
     r = ok['{"ts": "2024-01-01T10:20:30Z", "server_id": "a", "cpu_pct": 95.5}']
     assert (r.ts, r.server_id, r.value, r.is_alert, r.status) == ("10:20:30", "a", 95.5, True, "⚠ CPU ALERT: 95.5")
@@ -87,6 +88,8 @@ def test_json_decode_rules(spark):
     assert (r.value, r.value2, r.is_alert) == (7205.16, 0.0, False)
     assert r.line == "[NET] 10:20:30 | c | net_in=7205.16 | net_out=0.0 | OK"
     assert ok['{"disk_io": true}'].value == 1.0
+    r = ok['{"ts": true, "server_id": "false", "mem_pct": 1}']
+    assert (r.ts_text, r.server_id) == ("True", "false")
     rej = {r.message: r.reason for r in rejects(d).collect()}
     assert rej == {"not json": REASON_MALFORMED, "[1]": REASON_MALFORMED,
                    '{"cpu_pct": null}': REASON_BAD_NUMBER, '{"cpu_pct": "abc"}': REASON_BAD_NUMBER,

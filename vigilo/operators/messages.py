@@ -78,8 +78,11 @@ def _json_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Co
     topic = F.col("topic")
 
     def text(key: str) -> Column:
-        # str(v.get(key, "")): missing -> "", JSON null -> "None"
-        return F.when(F.map_contains_key(m, F.lit(key)), F.coalesce(m[key], F.lit("None"))).otherwise(F.lit(""))
+        # str(v.get(key, "")): missing -> "", JSON null -> "None", JSON true/false -> "True"/"False"
+        raw = m[key]
+        return (F.when(~F.map_contains_key(m, F.lit(key)), F.lit(""))
+                .when(F.array_contains(F.col("_bool_keys"), F.lit(key)), F.initcap(raw))
+                .otherwise(F.coalesce(raw, F.lit("None"))))
 
     def as_bool_number(key: Column) -> Column:
         # JSON true/false read as 1.0/0.0 (a *string* "true" stays a bad number). The map
@@ -158,6 +161,8 @@ def decode_messages(messages: DataFrame, fmt: str = "json", metrics: Iterable[Me
         maybe_bool = F.exists(F.map_values("_parsed"), lambda x: x.isin("true", "false"))
         df = df.withColumn("_typed", F.when(maybe_bool, F.try_variant_get(
             F.try_parse_json(value), "$", "map<string,variant>")))
+        df = df.withColumn("_bool_keys", F.when(maybe_bool, F.map_keys(F.map_filter(
+            "_typed", lambda k, v: F.schema_of_variant(v) == F.lit("BOOLEAN")))))
     df = (df
           .select("*",
                   metric.alias("metric"),
@@ -167,7 +172,7 @@ def decode_messages(messages: DataFrame, fmt: str = "json", metrics: Iterable[Me
                   f["value2"].alias("value2"),
                   f["skip"].alias("skipped"),
                   f["reason"].alias("reason"))
-          .drop("_parsed", "_typed"))
+          .drop("_parsed", "_typed", "_bool_keys"))
     df = with_normalised_hms(df, "ts_text", "ts")
     df = df.withColumn("event_ts", parse_ts_text("ts_text", base_date))
     order = [c for c in messages.columns] + ["metric", "ts_text", "ts", "event_ts", "server_id_", "value_",
