@@ -155,7 +155,7 @@ class Splitter:
         return np.flatnonzero(marks.T.ravel()[: len(part.buf)])
 
 
-def _byte_symbols() -> dict[str, int]:
+def byte_symbols() -> dict[str, int]:
     """The printable stand-ins of byte-level vocabularies: a byte's own character where it is visible, else 256 on."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in visible]
@@ -166,7 +166,7 @@ class Merger:
     """Counts the BPE tokens of a pre-token's bytes, a transition a byte."""
 
     def __init__(self, model: dict):
-        stand_in = _byte_symbols()
+        stand_in = byte_symbols()
         entries = {bytes(stand_in[c] for c in token): i for token, i in model["vocab"].items()}
         self._merge, self._parts = {}, {}
         for rank, pair in enumerate(model["merges"]):
@@ -302,7 +302,7 @@ class Kept:
             self.keys[at[first]], self.values[at[first]] = h[first], v[first]
             left = np.ones(len(h), bool)
             left[first] = False
-            h, v, at = h[left], v[left], (at[left] + ~free[left] * 0 + (self.values[at[left]] >= 0)) & mask
+            h, v, at = h[left], v[left], (at[left] + (self.values[at[left]] >= 0)) & mask
 
 
 @lru_cache(maxsize=4)
