@@ -268,6 +268,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
+    """The rows of one document of each component, with all their columns.
+
+    Repeated rows of the kept id fall to one of them; rows with a null id stay.
+    """
+    gone = near_duplicates(docs, id_col, text_col, shingle).where("not kept").select(F.col("doc_id").alias(id_col))
+    rest = docs.join(gone.distinct(), id_col, "left_anti").select(docs.columns)
+    repeated = stage(docs.groupBy(id_col).count().where(f"count > 1 and {id_col} is not null").select(id_col), "repeated")
+    if not repeated.limit(1).count():
+        return rest
+    once = rest.join(repeated, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns)
+    return rest.join(repeated, id_col, "left_anti").select(docs.columns).unionByName(once)
+
+
 def op2(spark, sf_dir: str) -> DataFrame:
     """All documents at four words a shingle, by the query's contract."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=4)
