@@ -4,9 +4,10 @@ Documents become pieces of at most CAPACITY tokens; only longer documents are cu
 fill a sequence is the first piece. The pieces' lengths are counted (as many counts as there are token
 positions), and on that histogram the packing is planned: patterns of one to three lengths that fill a
 sequence exactly are enumerated, their repeat counts fitted to the histogram by non-negative least
-squares, rounded up largest first as far as the histogram goes, and the remaining lengths packed best
-fit, a pattern as often as it goes each time. A plan has at most a few thousand patterns, however many
-documents there are. Pieces are then numbered within their length, and a piece's number picks its
+squares (first to all, then to the SUPPORT patterns that count most), rounded up largest first as far as
+the histogram goes, and the remaining lengths packed best fit, a pattern as often as it goes each time,
+which uses up a length each time. A plan has at most SUPPORT + CAPACITY patterns, however many documents
+there are. Pieces are then numbered within their length, and a piece's number picks its
 pattern, copy and place.
 """
 
@@ -26,11 +27,13 @@ from pyspark.sql import functions as F
 from ..session import stage
 from . import scan
 from .common import id_and_text
-from .transducer import MAX_KEPT, Kept, byte_symbols, default_path, open_tokenizer
+from .transducer import Kept, byte_symbols, default_path, open_tokenizer
 
 CAPACITY = 2048
 END_ID = 0
 ROUNDS = 120
+SUPPORT = 4096            # patterns kept of a first fit to all, and fitted again
+MAX_UNITS = 600_000       # distinct units remembered by a worker; then it starts afresh, with the same results
 CHUNKS = 64               # numbering groups of a length; no group holds more than its share of it
 
 _PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -81,8 +84,8 @@ class UnitIds:
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.splitter, _ = open_tokenizer(path)
-        self.special = {s: self.tokenizer.token_to_id(s.decode()) for s in self.splitter._special}
+        self.tokenizer, self.splitter = open_tokenizer(path)
+        self.special = {s: self.tokenizer.token_to_id(s.decode()) for s in self.splitter.special}
         self.symbols = {b: c for c, b in byte_symbols().items()}
         self._forget()
 
@@ -120,7 +123,7 @@ class UnitIds:
 
     def of(self, part: scan.Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the slice, each text's followed by END_ID, and where each text's begin (and the end)."""
-        if self.units.n > MAX_KEPT // 2:
+        if self.units.n > MAX_UNITS:
             self._forget()
         buf = part.buf
         cut = np.zeros(len(buf) + 1, bool)
@@ -217,6 +220,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     out: Counter = Counter()
     patterns = exact_patterns(np.flatnonzero(left), capacity) if left.any() else np.zeros((0, 3), int)
     if len(patterns):
+        x = fitted(patterns, left, ROUNDS // 4)
+        patterns = patterns[np.sort(np.argsort(-x, kind="stable")[:SUPPORT])]
         x = fitted(patterns, left)
         for i in np.argsort(-x, kind="stable"):
             need = Counter(int(v) for v in patterns[i] if v)
@@ -272,7 +277,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_
     pieces = stage(docs.mapInArrow(_pieces(path or default_path(), capacity), _PIECE_DDL), "pieces")
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     rows = places(plan(counts, capacity))
-    # a row for each length of each pattern: bounded by the capacity, whatever the number of documents
+    # a row for each length of each of SUPPORT + CAPACITY patterns at most, whatever the number of documents
     placed = F.broadcast(spark.createDataFrame(rows, "length long, lo long, hi long, base long, many long, first long"))
 
     groups = pieces.groupBy("length", "chunk").agg(F.count("*").alias("n"))
