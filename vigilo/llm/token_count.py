@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import scan
 from .common import id_and_text
-from .transducer import MAX_KEPT, Kept, default_path, kept_counts, open_tokenizer
+from .transducer import MAX_KEPT, default_path, kept_counts, open_merger, open_tokenizer
 
 LIMIT = 1024
 
@@ -18,7 +18,7 @@ _COUNTED_DDL = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 def slice_counts(part: scan.Slice, path: str) -> np.ndarray:
     """Tokens of each text of a slice."""
-    _, splitter, merger = open_tokenizer(path)
+    splitter, merger = open_tokenizer(path)[1], open_merger(path)
     kept = kept_counts(path)
     if kept.n > MAX_KEPT:
         kept.__init__()
@@ -35,7 +35,7 @@ def slice_counts(part: scan.Slice, path: str) -> np.ndarray:
     if len(new):
         keys, first = np.unique(h[new], return_index=True)
         raw = part.buf.tobytes()
-        special = {s for s in splitter._special}
+        special = set(splitter.special)
         pieces = [raw[a:b] for a, b in zip(begin[new[first]].tolist(), end[new[first]].tolist())]
         kept.put(keys, np.array([1 if p in special else merger.count(p) for p in pieces], np.int64))
         n[new] = kept.get(h[new])

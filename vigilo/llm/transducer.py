@@ -24,8 +24,8 @@ import numpy as np
 from . import scan
 
 CHUNK = 64
-MAX_KEPT = 4_000_000      # pre-tokens remembered by a worker; then it starts afresh, with the same results
-MAX_STATES = 400_000
+MAX_KEPT = 1_500_000      # pre-tokens remembered by a worker; then it starts afresh, with the same results
+MAX_STATES = 400_000      # transitions kept, likewise
 
 _END, _L, _N, _O, _S, _P, _C1, _C2 = range(8)
 (_LETTER, _NUMBER, _OTHER, _SPACE_MID, _SPACE_LAST, _WHITE_MID, _WHITE_LAST, _APOS2, _APOS3, _INSIDE) = range(10)
@@ -63,7 +63,7 @@ class Splitter:
 
     def __init__(self, tokenizer, special: list[str]):
         self._pieces = tokenizer.pre_tokenizer.pre_tokenize_str
-        self._special = sorted((s.encode() for s in special), key=lambda s: (-len(s), s))
+        self.special = sorted((s.encode() for s in special), key=lambda s: (-len(s), s))
         self._go, self._cut = _splitter_tables()
         self._ascii = np.array([self._class_of(c) for c in range(128)], np.uint8)
         self._other: dict[int, int] = {}
@@ -102,9 +102,9 @@ class Splitter:
         begins = np.zeros(len(sym), bool)
         begins[part.starts] = True
         begins[part.ends] = True
-        if self._special:
+        if self.special:
             raw = buf.tobytes()
-            for s, e in self._special_spans(raw):
+            for s, e in self.special_spans(raw):
                 sym[s] = _OTHER
                 sym[s + 1: e] = _INSIDE
                 begins[[s, e]] = True
@@ -123,10 +123,10 @@ class Splitter:
         sym[begins] += _RESET
         return sym[: -(-n // CHUNK) * CHUNK]
 
-    def _special_spans(self, raw: bytes):
+    def special_spans(self, raw: bytes):
         at = 0
         while True:
-            found = [(p, -len(s), s) for s in self._special if (p := raw.find(s, at)) >= 0]
+            found = [(p, -len(s), s) for s in self.special if (p := raw.find(s, at)) >= 0]
             if not found:
                 return
             p, _, s = min(found)
@@ -305,21 +305,30 @@ class Kept:
             h, v, at = h[left], v[left], (at[left] + (self.values[at[left]] >= 0)) & mask
 
 
+def _spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
 @lru_cache(maxsize=4)
 def open_tokenizer(path: str):
-    """(library's tokenizer, Splitter, Merger) of a byte-level BPE file, once per worker process."""
+    """(library's tokenizer, Splitter) of a byte-level BPE file, once per worker process."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
+    spec = _spec(path)
     pre = spec.get("pre_tokenizer") or {}
     if spec["model"]["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or spec.get("normalizer"):
         raise ValueError(f"{path}: only byte-level BPE without a normaliser or a prefix space is compiled")
     tokenizer = Tokenizer.from_file(path)
-    return tokenizer, Splitter(tokenizer, [t["content"] for t in spec["added_tokens"]]), Merger(spec["model"])
+    return tokenizer, Splitter(tokenizer, [t["content"] for t in spec["added_tokens"]])
+
+
+@lru_cache(maxsize=4)
+def open_merger(path: str) -> Merger:
+    return Merger(_spec(path)["model"])
 
 
 @lru_cache(maxsize=4)
