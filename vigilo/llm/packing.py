@@ -33,7 +33,7 @@ CAPACITY = 2048
 END_ID = 0
 ROUNDS = 120
 SUPPORT = 4096            # patterns kept of a first fit to all, and fitted again
-MAX_UNITS = 600_000       # distinct units remembered by a worker; then it starts afresh, with the same results
+MAX_UNITS = 600_000       # distinct units remembered by a task; then it starts afresh, with the same results
 CHUNKS = 64               # numbering groups of a length; no group holds more than its share of it
 
 _PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -87,9 +87,9 @@ class UnitIds:
         self.tokenizer, self.splitter = open_tokenizer(path)
         self.special = {s: self.tokenizer.token_to_id(s.decode()) for s in self.splitter.special}
         self.symbols = {b: c for c, b in byte_symbols().items()}
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.units, self.tokens = IdStore(), IdStore()
 
     def _ids_of(self, piece: bytes) -> list[int]:
@@ -124,7 +124,7 @@ class UnitIds:
     def of(self, part: scan.Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the slice, each text's followed by END_ID, and where each text's begin (and the end)."""
         if self.units.n > MAX_UNITS:
-            self._forget()
+            self.forget()
         buf = part.buf
         cut = np.zeros(len(buf) + 1, bool)
         if len(buf) > 1:
@@ -174,6 +174,8 @@ def _pieces(path: str, capacity: int):
             chunk = (scan.mix(np.array(crc, np.uint64) + (start.astype(np.uint64) << np.uint64(32))
                               + scan.mix(doc.astype(np.uint64) + np.uint64(len(ids)))) % np.uint64(CHUNKS)).astype(np.int32)
             yield scan.batch(_PIECE, part.rows.column(0).take(pa.array(doc)), piece, start, length, crc, chunk)
+        _unit_ids(path).forget()
+        scan.give_back()
     return run
 
 

@@ -7,6 +7,7 @@ a text longer than the slice size is a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 SLICE_ROWS = 4096
 
 _BASE = 0x9E3779B97F4A7C15
@@ -43,6 +44,14 @@ class Slice:
         return len(self.starts)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: workers are reused, and the next operator's may grow elsewhere."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[Slice]:
     """Slices of the batches; a null text is empty."""
     for batch in batches:
@@ -61,6 +70,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[Sl
             shift = np.arange(hi - lo)
             yield Slice(batch.slice(lo, hi - lo), buf, cut[:-1] + shift, cut[1:] + shift)
             lo = hi
+    give_back()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

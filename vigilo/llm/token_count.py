@@ -48,6 +48,9 @@ def _count(path: str, limit: int):
         for part in scan.slices(batches):
             n = slice_counts(part, path)
             yield scan.batch(_COUNTED, part.rows.column(0), part.ends - part.starts, n, n > limit)
+        kept_counts(path).__init__()
+        open_merger(path).forget()
+        scan.give_back()
     return run
 
 

@@ -24,7 +24,7 @@ import numpy as np
 from . import scan
 
 CHUNK = 64
-MAX_KEPT = 1_500_000      # pre-tokens remembered by a worker; then it starts afresh, with the same results
+MAX_KEPT = 1_500_000      # pre-tokens remembered by a task; then it starts afresh, with the same results
 MAX_STATES = 400_000      # transitions kept, likewise
 
 _END, _L, _N, _O, _S, _P, _C1, _C2 = range(8)
@@ -188,9 +188,9 @@ class Merger:
                 node = nxt
             self._token[node] = i
         self._right, self._left = {}, {}
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         start = (self._entry(0, -1, 0),)
         self._names = {start: 0}
         self._state = [start]
@@ -256,7 +256,7 @@ class Merger:
 
     def count(self, piece: bytes) -> int:
         if len(self._go) > MAX_STATES:
-            self._forget()
+            self.forget()
         state, total, go = 0, 0, self._go
         for byte in piece:
             step = go.get(state << 8 | byte)
