@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 The n-grams of the test items are counted in the whole corpus; an item's seeds are its rarest ones
-(SEED_SHARE of them, with all ties), so that seeds stay few in texts that merely share common words,
+(SEED_SHARE of those that occur, with all ties, and all of RARE places or fewer), so that seeds stay few in texts that merely share common words,
 and an item whose copies are everywhere still has seeds. Places where a text holds a seed give
 diagonals; near ones make a window, and the item is aligned with the window word by word, local and
 with gaps. The score is the alignment's, as a share of that of an exact copy of the whole item.
@@ -23,7 +23,8 @@ from . import scan
 from .common import id_and_text, ship
 
 GRAM = 3
-SEED_SHARE = 0.6
+SEED_SHARE = 0.8
+RARE = 100               # n-grams of so few places in the corpus are seeds in any case
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAK = 0.5               # share of an exact copy's score from which a text counts as leaked
 PAD = 16                 # words aligned beyond the seeds' diagonals on either side
@@ -92,11 +93,12 @@ class Items:
         """Keep of each item the n-grams whose corpus count is among its lowest."""
         n = counts[np.searchsorted(self.known, self.grams)]
         order = np.lexsort((n, self.owner))
+        order = order[n[order] > 0]                    # what no text holds would seed nothing
         owner, n = self.owner[order], n[order]
         first = np.searchsorted(owner, np.arange(len(self.ids)))
         size = np.diff(np.append(first, len(owner)))
         last = first + np.maximum(np.ceil(SEED_SHARE * size).astype(int) - 1, 0)
-        limit = n[np.minimum(last, max(len(n) - 1, 0))] if len(n) else np.zeros(len(self.ids))
+        limit = np.maximum(n[np.minimum(last, len(n) - 1)], RARE) if len(n) else np.zeros(len(self.ids))
         kept = order[n <= limit[owner]] if len(n) else order
         kept = kept[np.argsort(self.grams[kept], kind="stable")]
         self.grams, self.owner, self.place = self.grams[kept], self.owner[kept], self.place[kept]

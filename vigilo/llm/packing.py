@@ -4,7 +4,7 @@ Documents become pieces of at most CAPACITY tokens; only longer documents are cu
 fill a sequence is the first piece. The pieces' lengths are counted (as many counts as there are token
 positions), and on that histogram the packing is planned: patterns of one to three lengths that fill a
 sequence exactly are enumerated, their repeat counts fitted to the histogram by non-negative least
-squares (first to all, then to the SUPPORT patterns that count most), rounded up largest first as far as
+squares (first to all, then to the SUPPORT patterns that count most), rounded largest first as far as
 the histogram goes, and the remaining lengths packed best fit, a pattern as often as it goes each time,
 which uses up a length each time. A plan has at most SUPPORT + CAPACITY patterns, however many documents
 there are. Pieces are then numbered within their length, and a piece's number picks its
@@ -227,7 +227,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
         x = fitted(patterns, left)
         for i in np.argsort(-x, kind="stable"):
             need = Counter(int(v) for v in patterns[i] if v)
-            times = min(int(np.ceil(x[i])), *(int(left[v]) // m for v, m in need.items()))
+            times = min(int(x[i] + 0.5), *(int(left[v]) // m for v, m in need.items()))
             if times > 0:
                 for v, m in need.items():
                     left[v] -= m * times
