@@ -3,11 +3,11 @@ aggregates split into partial + final, filters and pruning reaching the scans.""
 
 import pytest
 
-import __spark_entry__ as E
+from vigilo.plans.registry import all_queries
 from conftest import SF_SMALL
 
 # Streaming runs stage files and start queries; their batch reads are covered by the others.
-SKIP = {n for n in E.queries() if n.startswith("stream_")}
+SKIP = {n for n in all_queries() if n.startswith("stream_")}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
@@ -16,9 +16,9 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - SKIP))
 def test_plan_shape(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = all_queries()[name](spark, SF_SMALL)
     df.collect()                              # final adaptive plan
     plan = _plan(df)
     for bad in FORBIDDEN:
@@ -28,7 +28,7 @@ def test_plan_shape(spark, name):
 
 
 def test_scan_prunes_columns(spark):
-    df = E.queries()["cpu_mem_joined"](spark, SF_SMALL)
+    df = all_queries()["cpu_mem_joined"](spark, SF_SMALL)
     plan = _plan(df)
     schemas = [line.split("ReadSchema: ")[1] for line in plan.split("\n") if "ReadSchema: " in line]
     assert schemas and all("l_extendedprice" not in s and "l_shipdate" not in s for s in schemas)
@@ -45,11 +45,23 @@ def test_topic_partition_pruning(spark, tmp_dir):
     assert {r.topic for r in df.select("topic").distinct().collect()} == {"topic-cpu"}
 
 
-def test_spread_only_redistributes_narrow_inputs(spark):
+def test_spread_only_when_asked(spark):
     from vigilo.sources.telemetry import spread
-    cores = spark.sparkContext.defaultParallelism
-    narrow = spark.range(0, 1000, numPartitions=1)
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(narrow).rdd.getNumPartitions() == cores
-    assert "RoundRobinPartitioning" in spread(narrow)._jdf.queryExecution().executedPlan().toString()
-    assert spread(wide) is wide
+    df = spark.range(10)
+    assert spread(df, None) is df
+    assert spread(df, 3).rdd.getNumPartitions() == 3
+
+
+def test_cluster_needs_a_shared_folder():
+    import types
+
+    from vigilo.session import shared_dir
+    context = types.SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError):
+        shared_dir(types.SimpleNamespace(conf={}, sparkContext=context))
+
+
+def test_window_shorter_than_slide_is_refused():
+    from vigilo.config import WindowSpec
+    with pytest.raises(ValueError):
+        WindowSpec(length_s=10, slide_s=20).validate()

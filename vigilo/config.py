@@ -83,6 +83,8 @@ class WindowSpec:
     def validate(self) -> "WindowSpec":
         if self.length_s <= 0 or self.slide_s <= 0:
             raise ValueError("window length and slide must be positive")
+        if self.length_s < self.slide_s:
+            raise ValueError("a window shorter than its slide would leave samples out")
         # Window starts are aligned by flooring the second-of-minute to the
         # slide; that equals flooring epoch seconds only when the slide
         # divides a minute.

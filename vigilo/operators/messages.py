@@ -149,7 +149,7 @@ def decode_messages(messages: DataFrame, fmt: str = "json", metrics: Iterable[Me
     topics = [m.topic for m in metrics]
     value = F.col("value").cast("string")
     if fmt == "json":
-        parsed, f = F.from_json(value, "map<string,string>"), _json_fields(value, metrics)
+        parsed, f = F.from_json(value, "map<string,string>", {"allowSingleQuotes": "false"}), _json_fields(value, metrics)
     elif fmt == "csv":
         parsed, f = F.split(value, ",", -1), _csv_fields(value, metrics)
     else:

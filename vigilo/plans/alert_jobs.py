@@ -57,9 +57,9 @@ def windowed_stats(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
     if job.how == "avg":
         g = exploded.groupBy(*keys).agg(
             F.sum(F.col("a_s") * F.col("b_n")).alias("_as"),
-            F.sum(F.col("a_c") * F.col("b_n")).alias("_ac"),
+            F.sum(F.col("a_c") * F.col("b_n").cast("double")).alias("_ac"),
             F.sum(F.col("b_s") * F.col("a_n")).alias("_bs"),
-            F.sum(F.col("b_c") * F.col("a_n")).alias("_bc"),
+            F.sum(F.col("b_c") * F.col("a_n").cast("double")).alias("_bc"),
             lo,
         )
         return g.select(*keys, "_lo",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -16,6 +17,8 @@ _LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+_SOURCE_TASKS = "spark.vigilo.sourceTasks"       # the test tables are single row groups
+
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
@@ -25,6 +28,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", driver_memory))
+    b = b.config(_SOURCE_TASKS, str(cpus if str(cpus).isdigit() else os.cpu_count()))
     for k, v in {**_LOCAL_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -36,13 +40,15 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by the whole cluster for lineage cuts and staged tables.
 
     Uses ``spark.checkpoint.dir`` from the session when the cluster names one.
-    Only when it is unset (local tests) a scratch folder is created and
+    Only when it is unset on a local master (tests) a scratch folder is created and
     registered, so later calls agree.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getCheckpointDir()
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="vigilo-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if spark.sparkContext.getCheckpointDir() is None:

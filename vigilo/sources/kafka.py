@@ -19,14 +19,15 @@ def _shape(df: DataFrame) -> DataFrame:
 
 def read_topics(spark: SparkSession, bootstrap: str, topics: Iterable[str], stream: bool = True,
                 starting: str = "earliest", options: dict | None = None) -> DataFrame:
-    """Subscribe to several topics from ``starting`` offsets (streaming by default)."""
+    """Subscribe to several topics from ``starting`` offsets (streaming by default).
+
+    Lost offsets fail the query, Spark's default; ``options`` may say otherwise.
+    """
     reader = spark.readStream if stream else spark.read
     r = (reader.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap)
          .option("subscribe", ",".join(topics))
          .option("startingOffsets", starting))
-    if stream:
-        r = r.option("failOnDataLoss", "false")
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return _shape(r.load())

@@ -17,25 +17,18 @@ FIXTURE_EPOCH = 1704067205     # 2024-01-01 00:00:05 UTC
 FIXTURE_TICKS = 600
 FIXTURE_SERVERS = 100
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give per-row work at least one task per core.
-
-    A scan with fewer input splits than the default parallelism (a small table
-    stored as one row group) is redistributed round-robin before the per-row
-    work; a scan that is already wide, as any large input is, is returned
-    unchanged, so big inputs pay no extra shuffle. The split count comes from
-    file metadata planning; no data is read.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:          # no RDD view (e.g. a remote session): leave the plan alone
-        return df
-    return df.repartition(target) if splits < target else df
+#: Session setting: deal the rows of each source table to so many tasks. Unset: the scan's own splits.
+SOURCE_TASKS = "spark.vigilo.sourceTasks"
+
+
+def spread(df: DataFrame, tasks: int | None) -> DataFrame:
+    """Round-robin over ``tasks`` tasks when the caller asks for it, else the frame itself."""
+    return df.repartition(tasks) if tasks else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    tasks = spark.conf.get(SOURCE_TASKS, None)
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), int(tasks) if tasks else None)
 
 
 def _fixture_columns() -> dict[str, Column]:

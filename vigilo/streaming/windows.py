@@ -62,8 +62,8 @@ def windowed_alert_stream(a: DataFrame, b: DataFrame, job: PairJobSpec, watermar
     lo = F.min(slide_index("ts", spec.slide_s)).alias("_lo")
     if job.how == "avg":
         g = keyed.groupBy(win.alias("window"), "server_id").agg(
-            F.sum(F.col("a_s") * F.col("b_n")).alias("_as"), F.sum(F.col("a_c") * F.col("b_n")).alias("_ac"),
-            F.sum(F.col("b_s") * F.col("a_n")).alias("_bs"), F.sum(F.col("b_c") * F.col("a_n")).alias("_bc"),
+            F.sum(F.col("a_s") * F.col("b_n")).alias("_as"), F.sum(F.col("a_c") * F.col("b_n").cast("double")).alias("_ac"),
+            F.sum(F.col("b_s") * F.col("a_n")).alias("_bs"), F.sum(F.col("b_c") * F.col("a_n").cast("double")).alias("_bc"),
             lo)
         vals = [F.try_divide("_as", "_ac").alias("x_a"), F.try_divide("_bs", "_bc").alias("x_b")]
     else:
