@@ -44,8 +44,25 @@ def pair_alert(a: Column | str, b: Column | str, job: PairJobSpec) -> Column:
 
 
 def double_text(c: Column | str) -> Column:
-    """Text of a double the way a Python ``print`` of a float shows it for ordinary values."""
-    return _c(c).cast("double").cast("string")
+    """Text of a double as Python prints a float.
+
+    Plain digits from 1e-4 up to 1e16, beyond that ``1.5e+16`` / ``1.5e-05``; ``nan``, ``inf``, ``-inf``.
+    """
+    v = _c(c).cast("double")
+    text = v.cast("string")
+    # 22 places hold every digit of a double from 1e-4 on, 16 digits before the point all below 1e16
+    digits = F.rtrim(v.try_cast("decimal(38,22)").cast("string"), F.lit("0"))
+    plain = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E", -1)
+    size = F.lpad(F.ltrim(power, F.lit("-")), 2, "0")
+    size = F.when(F.length(power) > F.length(size), F.ltrim(power, F.lit("-"))).otherwise(size)
+    scientific = F.concat(mantissa, F.when(F.startswith(power, F.lit("-")), F.lit("e-")).otherwise(F.lit("e+")), size)
+    return (F.when(F.isnan(v), F.lit("nan"))
+            .when(F.abs(v) == float("inf"), F.when(v > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+            .when(~F.contains(text, F.lit("E")), text)
+            .when((F.abs(v) >= 1e-4) & (F.abs(v) < 1e16), plain)
+            .otherwise(scientific))
 
 
 def status_text(c: Column | str, threshold: float | Column, prefix: str | Column) -> Column:

@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Characters Python's str.strip() removes from ASCII text (space, \t, \n, \v, \f, \r).
-_WS = " \t\n\x0b\x0c\r"
+# Characters Python's str.strip() removes from ASCII text (space, \t, \n, \v, \f, \r, \x1c to \x1f).
+_WS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
 
 
 def _strip(c: Column) -> Column:
@@ -91,12 +91,14 @@ def floor_to_slide(ts: Column | str, slide_s: int) -> Column:
 def parse_ts_text(text: Column | str, base_date: str | None = None) -> Column:
     """Best-effort full timestamp from message text.
 
-    Full ISO/space forms parse as they are (offsets honoured). Bare
-    ``HH:mm:ss`` text is placed on ``base_date`` when one is given and is NULL
-    otherwise: a time alone never picks up the current date.
+    Full ISO/space forms parse as the clock time they show: a zone or offset
+    behind it is left out, as ``normalise_hms`` leaves it out, so windows and
+    message times agree. Bare ``HH:mm:ss`` text is placed on ``base_date`` when
+    one is given and is NULL otherwise: a time alone never picks up the current date.
     """
     text = F.col(text) if isinstance(text, str) else text
-    t = F.trim(text)
+    t = _strip(text)
+    t = F.when(F.length(t) == 19, t).otherwise(F.regexp_replace(t, r"(:\d{2}(?:\.\d*)?) ?(?:Z|UTC|[+-]\d{2}:?\d{2})$", "$1"))
     # Only text that carries a date parses as a full timestamp; a bare time
     # would otherwise silently pick up today's date.
     has_date = F.substring(t, 1, 4).try_cast("int").isNotNull() & (F.substring(t, 5, 1) == F.lit("-"))

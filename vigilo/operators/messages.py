@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FIGURE_FORMAT, FIGURE_SEPARATOR, METRICS, STATUS_LINE_FORMAT, MetricSpec
-from ..functions.metrics import format_columns, over_threshold, status_text
+from ..functions.metrics import double_text, format_columns, over_threshold, status_text
 from ..functions.timefmt import parse_ts_text, with_normalised_hms
 
 FORMATS = ("json", "csv")
@@ -25,6 +25,12 @@ FORMATS = ("json", "csv")
 # JSON texts that decode to a falsy value; the consumers skip them silently.
 FALSY_JSON = ("{}", "[]", "0", "0.0", "-0", "null", "false", '""')
 
+# What Python's float() reads, apart from digits beyond ASCII.
+FLOAT_TEXT = (r"(?i)^\s*[+-]?(?:(?:\d(?:_?\d)*\.?(?:\d(?:_?\d)*)?|\.\d(?:_?\d)*)(?:e[+-]?\d(?:_?\d)*)?"
+              r"|inf(?:inity)?|nan)\s*$")
+# Put behind each message before the parse: it is found there only if the message is one whole JSON value.
+_END = "$end"
+
 REASON_MALFORMED = "malformed or not a JSON object"
 REASON_BAD_NUMBER = "bad number"
 REASON_FIELD_COUNT = "wrong field count"
@@ -73,8 +79,25 @@ def _route(topic: Column, attr: str, metrics: Iterable[MetricSpec], cast=None) -
     return expr
 
 
+def _number(text: Column) -> Column:
+    """Double of text that Python's float() reads, else NULL."""
+    return F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+
+
+def _with_object(messages: DataFrame, value: Column) -> DataFrame:
+    """``_parsed``: top-level fields of a message that is one JSON object and nothing else, else NULL.
+
+    One parse a message: the array is a column of its own that the next projection reads.
+    """
+    wrapped = F.concat(F.lit("["), value, F.lit(f',{{"{_END}":""}}]'))
+    both = F.from_json(wrapped, "array<map<string,string>>", {"allowSingleQuotes": "false"})
+    b = F.col("_both")
+    whole = (F.size(b) == 2) & F.map_contains_key(F.get(b, F.lit(1)), F.lit(_END)) & F.is_valid_utf8(value)
+    return messages.withColumn("_both", both).withColumn("_parsed", F.when(whole, F.get(b, F.lit(0)))).drop("_both")
+
+
 def _json_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Column]:
-    m = F.col("_parsed")      # from_json(value, "map<string,string>"), parsed once upstream
+    m = F.col("_parsed")      # made once upstream by _with_object
     topic = F.col("topic")
 
     def text(key: str) -> Column:
@@ -93,9 +116,11 @@ def _json_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Co
     def number(key: Column) -> tuple[Column, Column]:
         present = F.map_contains_key(m, key)
         raw = F.element_at(m, key)
+        # the map shows the JSON words NaN and Infinity in quotes
+        unquoted = F.when(raw.isin('"NaN"', '"Infinity"', '"-Infinity"'), F.btrim(raw, F.lit('"'))).otherwise(raw)
         num = (F.when(~present, F.lit(0.0))
                .when(raw.isin("true", "false"), as_bool_number(key))
-               .otherwise(raw.try_cast("double")))
+               .otherwise(_number(unquoted)))
         bad = present & num.isNull()
         return num, bad
 
@@ -124,9 +149,9 @@ def _csv_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Col
     parts = F.col("_parsed")  # split(value, ","), computed once upstream
     topic = F.col("topic")
     want = _route(topic, "extra_columns", metrics, cast=lambda ex: 3 + len(ex))
-    v1 = F.get(parts, 2).try_cast("double")
+    v1 = _number(F.get(parts, 2))
     has2 = want == 4
-    v2 = F.when(has2, F.get(parts, 3).try_cast("double"))
+    v2 = F.when(has2, _number(F.get(parts, 3)))
     reason = (F.when(value.isNull(), F.lit(REASON_NULL))
               .when(F.size(parts) != want, F.lit(REASON_FIELD_COUNT))
               .when(v1.isNull() | (has2 & v2.isNull()), F.lit(REASON_BAD_NUMBER)))
@@ -149,30 +174,26 @@ def decode_messages(messages: DataFrame, fmt: str = "json", metrics: Iterable[Me
     topics = [m.topic for m in metrics]
     value = F.col("value").cast("string")
     if fmt == "json":
-        parsed, f = F.from_json(value, "map<string,string>", {"allowSingleQuotes": "false"}), _json_fields(value, metrics)
+        f = _json_fields(value, metrics)
     elif fmt == "csv":
-        parsed, f = F.split(value, ",", -1), _csv_fields(value, metrics)
+        f = _csv_fields(value, metrics)
     else:
         raise ValueError(f"format must be one of {FORMATS}, got {fmt!r}")
     metric = _route(F.col("topic"), "name", metrics)
     # Parse once into a column; every field below reads that column.
-    df = messages.where(F.col("topic").isin(*topics)).withColumn("_parsed", parsed)
+    df = messages.where(F.col("topic").isin(*topics))
+    df = _with_object(df, value) if fmt == "json" else df.withColumn("_parsed", F.split(value, ",", -1))
     if fmt == "json":
         maybe_bool = F.exists(F.map_values("_parsed"), lambda x: x.isin("true", "false"))
         df = df.withColumn("_typed", F.when(maybe_bool, F.try_variant_get(
             F.try_parse_json(value), "$", "map<string,variant>")))
         df = df.withColumn("_bool_keys", F.when(maybe_bool, F.map_keys(F.map_filter(
             "_typed", lambda k, v: F.schema_of_variant(v) == F.lit("BOOLEAN")))))
-    df = (df
-          .select("*",
-                  metric.alias("metric"),
-                  f["ts_text"].alias("ts_text"),
-                  f["server_id"].alias("server_id_"),
-                  f["value"].alias("value_"),
-                  f["value2"].alias("value2"),
-                  f["skip"].alias("skipped"),
-                  f["reason"].alias("reason"))
-          .drop("_parsed", "_typed", "_bool_keys"))
+    # A generator of one row: conditions on the decoded fields stay above it, so nothing is parsed again to filter.
+    row = F.struct(metric.alias("metric"), f["ts_text"].alias("ts_text"), f["server_id"].alias("server_id_"),
+                   f["value"].alias("value_"), f["value2"].alias("value2"), f["skip"].alias("skipped"),
+                   f["reason"].alias("reason"))
+    df = df.select(*messages.columns, F.inline(F.array(row)))
     df = with_normalised_hms(df, "ts_text", "ts")
     df = df.withColumn("event_ts", parse_ts_text("ts_text", base_date))
     order = [c for c in messages.columns] + ["metric", "ts_text", "ts", "event_ts", "server_id_", "value_",
@@ -205,10 +226,10 @@ def with_status(parsed: DataFrame, metrics: Iterable[MetricSpec] = METRICS) -> D
     col_name = _route(topic, "column", metrics)
     is_alert = over_threshold(v, thr)
     status = status_text(v, thr, prefix)
-    figures = format_columns(FIGURE_FORMAT, name=col_name, value=v.cast("string"))
+    figures = format_columns(FIGURE_FORMAT, name=col_name, value=double_text(v))
     extra = [(m.topic, m.extra_columns[0]) for m in metrics if m.extra_columns]
     for t, c in extra:
-        second = format_columns(FIGURE_FORMAT, name=F.lit(c), value=F.col("value2").cast("string"))
+        second = format_columns(FIGURE_FORMAT, name=F.lit(c), value=double_text("value2"))
         figures = F.when(topic == t, F.concat(figures, F.lit(FIGURE_SEPARATOR), second)).otherwise(figures)
     line = format_columns(STATUS_LINE_FORMAT, metric=F.col("metric"), ts=F.col("ts"),
                           server_id=F.col("server_id"), figures=figures, status=status)

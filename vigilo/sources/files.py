@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import MetricSpec
+from ..functions.metrics import double_text
 from ..functions.timefmt import parse_ts_text
 from ..schemas import MESSAGES, WIDE_TEXT
 
 
 def metric_csv_schema(metric: MetricSpec) -> T.StructType:
-    """Positional text schema of a per-topic CSV: ``ts, server_id, <value>[, net_out], event_ts``."""
-    names = ["ts", "server_id", metric.column, *metric.extra_columns, "event_ts"]
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    """Positional schema of a per-topic CSV: ``ts, server_id, <value>[, net_out], event_ts``; values are floats."""
+    values = (metric.column, *metric.extra_columns)
+    return T.StructType([T.StructField(n, T.FloatType() if n in values else T.StringType(), True)
+                         for n in ("ts", "server_id", *values, "event_ts")])
 
 
 def read_metric_csv(spark: SparkSession, path: str, metric: MetricSpec,
@@ -28,18 +30,22 @@ def read_metric_csv(spark: SparkSession, path: str, metric: MetricSpec,
     ``ts`` is the full timestamp: the ``event_ts`` column when the file has one,
     else the ``ts`` text when it carries a date, else ``base_date`` + the bare
     time (NULL without ``base_date``: a bare time never takes today's date).
-    Values read as float; text that is not a number reads as NULL.
+    Values are the CSV reader's floats; what it can't read (``nan`` and ``inf`` too) is NULL.
     """
     raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
            .schema(metric_csv_schema(metric)).csv(path))
     ts = F.coalesce(F.try_to_timestamp("event_ts"), parse_ts_text("ts", base_date))
-    vals = [F.col(c).try_cast("float").alias(c) for c in (metric.column, *metric.extra_columns)]
-    return raw.select(ts.alias("ts"), F.col("server_id"), *vals)
+    return raw.select(ts.alias("ts"), F.col("server_id"), metric.column, *metric.extra_columns)
 
 
 def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Scan the producer's wide CSV: header row, seven text columns."""
-    return spark.read.option("header", True).schema(WIDE_TEXT).csv(path)
+    """Scan the producer's wide CSV: header row, seven text columns.
+
+    Empty cells (and cells that a short line lacks) are empty text, doubled quotes inside quotes are one
+    quote. Lines end at line breaks, also inside quotes, so that large files are split.
+    """
+    raw = spark.read.option("header", True).option("escape", '"').schema(WIDE_TEXT).csv(path)
+    return raw.select(*[F.coalesce(c, F.lit("")).alias(c) for c in raw.columns])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -48,8 +54,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def append_metric_csv(typed: DataFrame, path: str) -> None:
-    """Append typed rows to a per-topic CSV directory (the consumers' append)."""
-    write_csv(typed, path, mode="append")
+    """Append typed rows to a per-topic CSV directory (the consumers' append), numbers as Python prints them."""
+    text = [double_text(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in typed.schema]
+    write_csv(typed.select(*text), path, mode="append")
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
