@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vigilo.config import CPU, MEM, METRICS, NET
+from vigilo.functions.metrics import double_text
 from vigilo.functions.timefmt import normalise_hms, parse_ts_text
 from vigilo.operators.messages import (
     REASON_BAD_NUMBER, REASON_FIELD_COUNT, REASON_MALFORMED, accepted, decode_messages, rejects, split_wide,
@@ -135,6 +136,48 @@ def test_consumer_subset_ignores_other_topics(spark):
     assert len(METRICS) == 4 and NET.extra_columns == ("net_out",)
 
 
+def test_only_one_whole_json_object_counts(spark):
+    bad = ['{"cpu_pct": 95} trailing', '{"cpu_pct": 95}}', "{'cpu_pct': 95}", '{"cpu_pct": 95},{"a":1}', '{"cpu_pct": 95}]', ""]
+    d = _decode(spark, [("topic-cpu", x) for x in bad])
+    assert {r.message: r.reason for r in d.collect()} == {x: REASON_MALFORMED for x in bad}
+    broken = spark.sql("select 'topic-cpu' as topic, cast(X'7B227365727665725F6964223A22FF227D' as string) as value")
+    assert decode_messages(broken).collect()[0].reason == REASON_MALFORMED
+
+
+def test_numbers_are_those_of_python(spark):
+    text = ["1.5f", "1.5d", "0x1p3", "1__0", "_1", "1_0.5", " inf ", "-Infinity", "+1.", ".5", "1e3", "\"5\"", "", "NaN"]
+
+    def value(x):
+        try:
+            return repr(float(x))
+        except ValueError:
+            return None
+    import json
+    d = _decode(spark, [("topic-cpu", json.dumps({"server_id": x, "cpu_pct": x})) for x in text])
+    got = {r.server_id: None if r.reason else repr(r.value) for r in d.collect()}
+    assert got == {x: value(x) for x in text}
+    words = _decode(spark, [("topic-cpu", f'{{"cpu_pct": {x}}}') for x in ("NaN", "Infinity", "1e400")])
+    assert [r.reason for r in words.collect()] == [None] * 3
+
+
+def test_number_text_is_pythons(spark):
+    values = [1.5, 12345678.5, 0.0005, 1e-4, 9.9e-5, 1e16, 1.5e16, 123456789012345.6, -1e7, 1e22, float("nan"), float("inf"),
+              float("-inf"), 0.0, -0.0, 1e300, 0.001, 1234567890123456.0, None]
+    rows = spark.createDataFrame([(x,) for x in values], "v double").select("v", double_text("v").alias("t")).collect()
+    assert [r.t for r in rows] == [None if r.v is None else repr(r.v) for r in rows]
+
+
+def test_decode_parses_once(spark):
+    msgs = spark.createDataFrame([("topic-cpu", '{"cpu_pct": 1}')], "topic string, value string")
+    plan = with_status(accepted(decode_messages(msgs)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_offset_is_left_out_of_both_times(spark):
+    d = _decode(spark, [("topic-cpu", '{"ts": "2024-01-01T10:20:30+05:30", "cpu_pct": 1}')]).collect()[0]
+    assert (d.ts, d.event_ts.strftime("%H:%M:%S")) == ("10:20:30", "10:20:30")
+
+
 def test_status_columns_with_f_lit(spark):
     msgs = spark.createDataFrame([("topic-disk", '{"disk_io": 4220.25}')], "topic string, value string")
     r = with_status(accepted(decode_messages(msgs))).select("status", F.col("line")).collect()[0]

@@ -1,12 +1,12 @@
 """The two windowed alert jobs (CPU+MEM averages, NET+DISK maxima).
 
-Plan shape (one lazy DataFrame, no action before the sink):
+Plan shape (the windowed aggregate is staged in the shared folder for dense results, the rest is lazy):
 
   scan a ─┐
           ├─ union ─ partial agg ─ [shuffle ts,server] ─ final agg   (pair_stats: per-key n, c, sum / max)
   scan b ─┘
      ─ explode into ≤ ceil(L/S) windows ─ partial agg ─ [shuffle server,w] ─ final agg   (windowed)
-     ─ LEFT JOIN dense spine on (server,w)   (windowed side keeps its partitioning)
+     ─ LEFT JOIN dense spine on (server,w)
      ─ round, CASE ─ [range shuffle] ─ sort (server_id, window start)
 
 Averages over the m*n pair join are reproduced exactly by weighting each
@@ -15,7 +15,7 @@ side's per-key sum and count by the other side's row count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CPU_MEM_JOB, NET_DISK_JOB, PairJobSpec
@@ -34,15 +34,6 @@ def load_rounded(df: DataFrame, value_col: str) -> DataFrame:
     return df.select("ts", "server_id", round2_float(value_col).alias(value_col))
 
 
-def observe_rows(a: DataFrame, b: DataFrame, job: PairJobSpec) -> tuple[DataFrame, DataFrame, dict]:
-    """Attach row-count observations to both inputs (filled by the job's own action)."""
-    obs = {job.first.column: Observation(f"rows_{job.first.column}"),
-           job.second.column: Observation(f"rows_{job.second.column}")}
-    a = a.observe(obs[job.first.column], F.count(F.lit(1)).alias("rows"))
-    b = b.observe(obs[job.second.column], F.count(F.lit(1)).alias("rows"))
-    return a, b, obs
-
-
 def windowed_stats(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
     """Per (server_id, w) aggregate over non-empty windows (warm-up windows included).
 

@@ -8,18 +8,18 @@ file formats end to end.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT_TEAM_NO, PairJobSpec, output_name
 from ..operators.messages import accepted, decode_messages, split_wide, typed_table
-from ..session import scratch_path
+from ..session import scratch_path, stage
 from ..schemas import result_schema
 from ..sources.files import (
     append_metric_csv, read_metric_csv, read_result_csv, read_wide_csv, write_csv, write_result,
 )
 from ..sources.telemetry import wide_text
-from .alert_jobs import observe_rows, pair_alerts
+from .alert_jobs import pair_alerts
 
 
 def stage_wide_csv(spark: SparkSession, lineitem: DataFrame, work: str) -> str:
@@ -34,14 +34,11 @@ def ingest_to_csv(spark: SparkSession, wide_csv: str, job: PairJobSpec, work: st
     """Producer split + consumer decode, appending each topic's typed rows to its CSV."""
     msgs = split_wide(read_wide_csv(spark, wide_csv), fmt, (job.first, job.second))
     parsed = accepted(decode_messages(msgs, fmt, (job.first, job.second), base_date))
-    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)   # two sinks, one decode
+    parsed = stage(parsed, "decoded")       # two sinks, one decode
     paths = {}
-    try:
-        for m in (job.first, job.second):
-            paths[m.column] = f"{work}/{m.topic}_csv"
-            append_metric_csv(typed_table(parsed, m), paths[m.column])
-    finally:
-        parsed.unpersist()
+    for m in (job.first, job.second):
+        paths[m.column] = f"{work}/{m.topic}_csv"
+        append_metric_csv(typed_table(parsed, m), paths[m.column])
     return paths
 
 
@@ -51,15 +48,24 @@ def run_alert_job(spark: SparkSession, first_csv: str, second_csv: str, job: Pai
 
     Returns the result path (``<out_dir>/team_<n>_<LABEL>.csv``, a directory of
     ordered part files). When ``counts`` is given it receives the rows loaded
-    per input, observed during the job's own scan (no extra pass).
+    per input, and ``<input>_without_ts`` where rows had no full timestamp and so are in no window. An input whose rows all lack one
+    (bare times and no ``base_date``) is an error.
     """
-    a = read_metric_csv(spark, first_csv, job.first, base_date)
-    b = read_metric_csv(spark, second_csv, job.second, base_date)
-    a, b, obs = observe_rows(a, b, job)
+    return run_alerts(read_metric_csv(spark, first_csv, job.first, base_date),
+                      read_metric_csv(spark, second_csv, job.second, base_date), job, out_dir, team_no, counts)
+
+
+def run_alerts(a: DataFrame, b: DataFrame, job: PairJobSpec, out_dir: str, team_no: str = DEFAULT_TEAM_NO,
+               counts: dict | None = None) -> str:
+    """``run_alert_job`` for typed metric tables of any source."""
+    for df, m in ((a, job.first), (b, job.second)):
+        r = df.agg(F.count("*").alias("rows"), F.count_if(F.col("ts").isNull()).alias("without_ts")).first()
+        if r.rows and r.rows == r.without_ts:
+            raise ValueError(f"no row of {m.column} has a full timestamp: give base_date")
+        if counts is not None:
+            counts.update({m.column: r.rows, **({f"{m.column}_without_ts": r.without_ts} if r.without_ts else {})})
     path = f"{out_dir.rstrip('/')}/{output_name(team_no, job)}"
     write_result(pair_alerts(a, b, job), path)
-    if counts is not None:
-        counts.update({name: o.get["rows"] for name, o in obs.items()})
     return path
 
 

@@ -14,7 +14,7 @@ from ..config import (
     ALERT_NET_ONLY, CPU_THRESHOLD, DISK_IO_THRESHOLD, MEM_THRESHOLD, NET_IN_THRESHOLD,
     SLIDE_SECONDS, WINDOW_SECONDS,
 )
-from ..sources.telemetry import FIXTURE_EPOCH, FIXTURE_SERVERS, FIXTURE_TICKS
+from ..sources.telemetry import FIXTURE_EPOCH, FIXTURE_TICKS
 
 
 def r2d(x: str) -> str:
@@ -31,9 +31,11 @@ def dbl(x) -> str:
     return f"cast({x} as double)"
 
 
-KEEP = (f"not (l_suppkey % 5 = 0 and l_orderkey % {FIXTURE_TICKS} between 300 and 359)")
-TS = f"make_timestamp(({FIXTURE_EPOCH} + l_orderkey % {FIXTURE_TICKS}) * 1000000)"
-SERVER = f"concat('srv-', cast(l_suppkey % {FIXTURE_SERVERS} as varchar))"
+# servers of every fifth supplier are silent for a minute: their samples of that minute carry the minute before
+TICK = (f"(l_orderkey % {FIXTURE_TICKS} - case when l_suppkey % 5 = 0 and "
+        f"l_orderkey % {FIXTURE_TICKS} between 300 and 359 then 60 else 0 end)")
+TS = f"make_timestamp(({FIXTURE_EPOCH} + {TICK}) * 1000000)"
+SERVER = "concat('srv-', cast(l_suppkey as varchar))"
 
 TELEMETRY = f"""
 telemetry as (
@@ -45,7 +47,6 @@ telemetry as (
     cast(l_extendedprice/20 as float) as net_out,
     cast((l_partkey*13 % 4300) + l_tax as float) as disk_io
   from lineitem
-  where {KEEP}
 )"""
 
 
@@ -150,7 +151,6 @@ wide as (
     {_cents('round(l_extendedprice*100/20)')} as net_out,
     {_cents('(l_partkey*13 % 4300)*100 + round(l_tax*100)')} as disk_io
   from lineitem
-  where {KEEP}
 )"""
 
 
@@ -404,6 +404,8 @@ def file_sql() -> dict[str, str]:
         "stream_cpu_mem_alerts": CPU_MEM_ALERTS,
         "stream_net_disk_status": NET_DISK_STATUS,
         "stream_net_disk_windows": NET_DISK_NONEMPTY,
+        "stream_topics_cpu_mem_alerts": CPU_MEM_ALERTS,
+        "stream_topics_net_disk_alerts": _net_disk_alerts(TELEMETRY_FROM_TEXT),
     }
 
 

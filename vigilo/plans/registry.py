@@ -20,7 +20,7 @@ from ..config import CPU_MEM_JOB, NET_DISK_JOB
 from . import window_reports as wr
 from .alert_jobs import cpu_mem_alerts, net_disk_alerts
 from .file_jobs import alerts_via_csv
-from .stream_jobs import consumer_run, windowed_run
+from .stream_jobs import consumer_run, topic_alerts, windowed_run
 from .ingest_jobs import (
     CONSUMER_1, CONSUMER_2, STATUS_COLUMNS, alert_totals, consume, processed_counts,
     progress_snapshot, reject_table,
@@ -187,6 +187,14 @@ def q_stream_net_disk_windows(spark, sf_dir):
     return windowed_run(spark, *_pair(spark, sf_dir, NET_DISK_JOB))
 
 
+def q_stream_topics_cpu_mem_alerts(spark, sf_dir):
+    return topic_alerts(spark, read_table(spark, sf_dir, "lineitem"), CPU_MEM_JOB)
+
+
+def q_stream_topics_net_disk_alerts(spark, sf_dir):
+    return topic_alerts(spark, read_table(spark, sf_dir, "lineitem"), NET_DISK_JOB, "csv")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "cpu_mem_alerts": q_cpu_mem_alerts,
@@ -221,4 +229,6 @@ def all_queries() -> dict[str, Query]:
         "stream_cpu_mem_alerts": q_stream_cpu_mem_alerts,
         "stream_net_disk_status": q_stream_net_disk_status,
         "stream_net_disk_windows": q_stream_net_disk_windows,
+        "stream_topics_cpu_mem_alerts": q_stream_topics_cpu_mem_alerts,
+        "stream_topics_net_disk_alerts": q_stream_topics_net_disk_alerts,
     }

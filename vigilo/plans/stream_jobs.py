@@ -9,28 +9,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import PairJobSpec
-from ..config import MetricSpec
+from ..config import MetricSpec, PairJobSpec
 from ..operators.messages import split_wide
 from ..session import scratch_path
 from ..sources.files import publish_messages
 from ..sources.telemetry import wide_text
-from ..streaming.consumer import message_file_stream, read_consumer_output, start_consumer
-from ..streaming.windows import HEARTBEAT_SERVER, read_windowed, start_windowed_alerts
-from .alert_jobs import finish
+from ..streaming.consumer import message_file_stream, read_consumer_output, read_metric_table, start_consumer
+from ..streaming.windows import HEARTBEAT_SERVER, late_rows, read_windowed, start_windowed_alerts
+from .alert_jobs import finish, pair_alerts
 
 HEARTBEATS = 3
+SLICE_SECONDS = 60           # a feed arrives in slices of so much event time
+FILES_PER_TRIGGER = 64       # of each feed
 
 
-def consumer_run(spark: SparkSession, lineitem: DataFrame, metrics: tuple[MetricSpec, ...],
-                 fmt: str = "json") -> DataFrame:
-    """Producer → published message files → consumer stream → accepted rows with status."""
+class LateRows(RuntimeError):
+    """The watermark dropped rows: the windows are not complete."""
+
+
+def _consume(spark: SparkSession, lineitem: DataFrame, metrics: tuple[MetricSpec, ...], fmt: str) -> str:
+    """Producer → published message files → consumer stream; the output folder."""
     work = scratch_path(spark, "consumer-stream")
     publish_messages(split_wide(wide_text(lineitem), fmt, metrics), f"{work}/topics")
-    q = start_consumer(message_file_stream(spark, f"{work}/topics", max_files_per_trigger=4),
-                       f"{work}/out", f"{work}/checkpoint", metrics, fmt, available_now=True)
+    q = start_consumer(message_file_stream(spark, f"{work}/topics"), f"{work}/out", f"{work}/checkpoint", metrics, fmt,
+                       available_now=True)
     q.awaitTermination()
-    return read_consumer_output(spark, f"{work}/out")
+    return f"{work}/out"
+
+
+def consumer_run(spark: SparkSession, lineitem: DataFrame, metrics: tuple[MetricSpec, ...],
+                 fmt: str = "json") -> DataFrame:
+    """Accepted rows with status, as a consumer stream appended them."""
+    return read_consumer_output(spark, _consume(spark, lineitem, metrics, fmt))
+
+
+def topic_alerts(spark: SparkSession, lineitem: DataFrame, job: PairJobSpec, fmt: str = "json") -> DataFrame:
+    """Topics → consumer stream → per-topic typed tables → the windowed job."""
+    out = _consume(spark, lineitem, (job.first, job.second), fmt)
+    return pair_alerts(*(read_metric_table(spark, out, m) for m in (job.first, job.second)), job)
 
 
 def _heartbeat(staged: DataFrame, value_cols: list[str], i: int) -> DataFrame:
@@ -41,14 +57,26 @@ def _heartbeat(staged: DataFrame, value_cols: list[str], i: int) -> DataFrame:
         *[F.lit(None).cast("float").alias(c) for c in value_cols])
 
 
-def windowed_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSpec,
-                 watermark: str = "10 minutes", dense: bool = False) -> DataFrame:
+def arrive(df: DataFrame, path: str, slice_s: int = SLICE_SECONDS) -> None:
+    """Append a feed slice by slice of event time, as a live feed's files appear (files are streamed in that order)."""
+    spark = df.sparkSession
+    cut = F.floor(F.unix_seconds("ts") / slice_s).alias("slice")
+    df.withColumn("slice", cut).repartition("slice", F.pmod(F.hash("server_id"), F.lit(4))) \
+        .write.mode("overwrite").partitionBy("slice").parquet(f"{path}-slices")
+    slices = spark.read.parquet(f"{path}-slices")
+    for r in slices.select("slice").distinct().orderBy("slice").collect():     # one value a slice of time, not of data
+        slices.where(F.col("slice") == r.slice).drop("slice").write.mode("append").parquet(path)
+
+
+def windowed_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSpec, watermark: str = "5 minutes",
+                 dense: bool = False, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Two metric feeds → windowed alert stream → finalised windows.
 
-    The feeds are staged as files (their natural partitioning) and consumed in
-    two data triggers; then heartbeat rows are appended one at a time, each
-    followed by a restart of the query from its checkpoint, so the watermark
-    moves past the last window and both stateful operators flush.
+    The feeds arrive as files in order of event time and are consumed in triggers of ``files_per_trigger`` files a
+    feed; then heartbeat rows are appended one at a time, each followed by a restart of the query from its checkpoint,
+    so the watermark moves past the last window and both stateful operators flush. Rows that come later than the
+    watermark allows are counted by the stream; if there are any, ``LateRows`` is raised instead of a result that
+    silently lacks them.
 
     ``dense=False``: the non-empty windows as the stream emits them;
     ``dense=True``: the batch read of the sink densified and trimmed, which is
@@ -58,18 +86,19 @@ def windowed_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSp
     feeds = {"a": (a, job.first.column), "b": (b, job.second.column)}
     staged = {}
     for k, (df, col) in feeds.items():
-        df.select("ts", "server_id", col).write.mode("overwrite").parquet(f"{work}/{k}")
+        arrive(df.select("ts", "server_id", col), f"{work}/{k}")
         staged[k] = spark.read.parquet(f"{work}/{k}")
-    per_trigger = max(1, -(-len(staged["a"].inputFiles()) // 2))
 
-    def run(files_per_trigger: int) -> None:
-        sa, sb = (spark.readStream.schema(staged[k].schema).option("maxFilesPerTrigger", files_per_trigger)
-                  .parquet(f"{work}/{k}") for k in ("a", "b"))
-        q = start_windowed_alerts(sa, sb, job, f"{work}/out", f"{work}/checkpoint", watermark,
-                                  available_now=True, state_partitions=spark.sparkContext.defaultParallelism)
+    def run(files: int) -> None:
+        sa, sb = (spark.readStream.schema(staged[k].schema).option("maxFilesPerTrigger", files).parquet(f"{work}/{k}")
+                  for k in ("a", "b"))
+        q = start_windowed_alerts(sa, sb, job, f"{work}/out", f"{work}/checkpoint", watermark, available_now=True)
         q.awaitTermination()
+        late = late_rows(q)
+        if late:
+            raise LateRows(f"{late} rows came later than the watermark of {watermark}; see {work}")
 
-    run(per_trigger)
+    run(files_per_trigger)
     for i in range(1, HEARTBEATS + 1):
         for k, (_, col) in feeds.items():
             _heartbeat(staged[k], [col], i).coalesce(1).write.mode("append").parquet(f"{work}/{k}")

@@ -28,6 +28,10 @@ def pairs_table(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
     return j.select(F.date_format("ts", FULL_TS).alias("ts"), "server_id", job.first.column, job.second.column)
 
 
+def spine_tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def bounds(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
     """One row: first/last paired sample, first/last aligned window start, number of starts."""
     s = job.window.slide_s
@@ -45,8 +49,8 @@ def bounds(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
 def starts(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
     """Every window start from the first aligned start through the last sample."""
     s = job.window.slide_s
-    k = _keys(a, b, job).agg(slide_index(F.min("ts"), s).alias("f"), slide_index(F.max("ts"), s).alias("l"))
-    w = k.select(F.explode(F.sequence("f", "l")).alias("w"))
+    k = _keys(a, b, job).agg(slide_index(F.min("ts"), s).alias("lo"), slide_index(F.max("ts"), s).alias("hi"))
+    w = spine(k.where("lo is not null").select(F.lit("").alias("server_id"), "lo", "hi"), spine_tasks(a))
     st, en = window_bounds_cols("w", job.window)
     return w.select(F.date_format(st, FULL_TS).alias("window_start"), F.date_format(en, FULL_TS).alias("window_end"))
 
@@ -61,8 +65,7 @@ def dense_spine(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
     s = job.window.slide_s
     extent = _keys(a, b, job).groupBy("server_id").agg(
         slide_index(F.min("ts"), s).alias("lo"), slide_index(F.max("ts"), s).alias("hi"))
-    n = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sp = spine(extent, n)
+    sp = spine(extent, spine_tasks(a))
     st, en = window_bounds_cols("w", job.window)
     return sp.select("server_id", F.date_format(st, FULL_TS).alias("window_start"),
                      F.date_format(en, FULL_TS).alias("window_end"))

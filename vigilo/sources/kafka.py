@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+OFFSETS_PER_TRIGGER = 50_000_000     # bounds a micro-batch, the first one over a backlog too
+
+
 def _shape(df: DataFrame) -> DataFrame:
     return df.select("topic", F.col("value").cast("string").alias("value"), "offset", "timestamp")
 
@@ -21,14 +24,16 @@ def read_topics(spark: SparkSession, bootstrap: str, topics: Iterable[str], stre
                 starting: str = "earliest", options: dict | None = None) -> DataFrame:
     """Subscribe to several topics from ``starting`` offsets (streaming by default).
 
-    Lost offsets fail the query, Spark's default; ``options`` may say otherwise.
+    Lost offsets fail the query, Spark's default, and a stream's trigger takes OFFSETS_PER_TRIGGER messages at most;
+    ``options`` may say otherwise.
     """
     reader = spark.readStream if stream else spark.read
     r = (reader.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap)
          .option("subscribe", ",".join(topics))
          .option("startingOffsets", starting))
-    for k, v in (options or {}).items():
+    bound = {"maxOffsetsPerTrigger": OFFSETS_PER_TRIGGER} if stream else {}
+    for k, v in {**bound, **(options or {})}.items():
         r = r.option(k, v)
     return _shape(r.load())
 

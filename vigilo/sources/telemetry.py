@@ -1,9 +1,11 @@
 """Server telemetry derived from the driver's ``lineitem`` table.
 
 The monitored pipeline ships no data, so the test and bench inputs are a fixed
-projection of ``lineitem``: 600 one-second ticks from 2024-01-01 00:00:05 UTC,
-100 servers, some servers biased over the thresholds, and a 60 s hole on every
-fifth supplier key so that some windows are empty. The projection is plain
+projection of all of ``lineitem``: 600 one-second ticks from 2024-01-01 00:00:05
+UTC, a server for each supplier (so servers, keys and windows grow with the
+table), some servers biased over the thresholds. Servers of every fifth supplier
+key are silent for 60 s, so that some windows are empty: their samples of that
+minute carry the times of the minute before. The projection is plain
 column arithmetic, so Catalyst prunes ``lineitem`` to the five columns used.
 """
 
@@ -15,7 +17,6 @@ from pyspark.sql import functions as F
 # Fixed values of the fixture projection (shared with the DuckDB oracle text).
 FIXTURE_EPOCH = 1704067205     # 2024-01-01 00:00:05 UTC
 FIXTURE_TICKS = 600
-FIXTURE_SERVERS = 100
 
 #: Session setting: deal the rows of each source table to so many tasks. Unset: the scan's own splits.
 SOURCE_TASKS = "spark.vigilo.sourceTasks"
@@ -31,12 +32,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), int(tasks) if tasks else None)
 
 
+def _time() -> Column:
+    tick, sk = F.col("l_orderkey") % FIXTURE_TICKS, F.col("l_suppkey")
+    return F.timestamp_seconds(F.lit(FIXTURE_EPOCH) + tick - F.when((sk % 5 == 0) & tick.between(300, 359), 60).otherwise(0))
+
+
+def _server() -> Column:
+    return F.concat(F.lit("srv-"), F.col("l_suppkey").cast("string"))
+
+
 def _fixture_columns() -> dict[str, Column]:
-    ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+    pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     q, price, tax = F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_tax")
     return {
-        "ts": F.timestamp_seconds(F.lit(FIXTURE_EPOCH) + ok % FIXTURE_TICKS),
-        "server_id": F.concat(F.lit("srv-"), (sk % FIXTURE_SERVERS).cast("string")),
+        "ts": _time(),
+        "server_id": _server(),
         "cpu_pct": F.when(sk % 2 == 0, F.lit(80) + q * 0.4).otherwise(q).cast("float"),
         "mem_pct": F.when(sk % 3 == 0, F.lit(80) + (pk % 50) * F.expr("0.4"))
                     .otherwise(pk % 80).cast("float"),
@@ -46,15 +56,10 @@ def _fixture_columns() -> dict[str, Column]:
     }
 
 
-def _keep() -> Column:
-    ok, sk = F.col("l_orderkey"), F.col("l_suppkey")
-    return ~((sk % 5 == 0) & (ok % FIXTURE_TICKS).between(300, 359))
-
-
 def telemetry(lineitem: DataFrame) -> DataFrame:
     """Typed wide telemetry: ``ts, server_id, cpu_pct, mem_pct, net_in, net_out, disk_io``."""
     cols = _fixture_columns()
-    return lineitem.where(_keep()).select(*[c.alias(n) for n, c in cols.items()])
+    return lineitem.select(*[c.alias(n) for n, c in cols.items()])
 
 
 def metric_frames(lineitem: DataFrame) -> dict[str, DataFrame]:
@@ -84,7 +89,7 @@ def wide_text(lineitem: DataFrame) -> DataFrame:
     Values are written with two decimals from integer cents so that every
     engine prints them identically; ``ts`` is ``yyyy-MM-dd HH:mm:ss``.
     """
-    ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+    pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     q, price, tax = F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_tax")
     cents = {
         "cpu_pct": F.when(sk % 2 == 0, F.lit(8000) + q * 40).otherwise(q * 100),
@@ -93,9 +98,8 @@ def wide_text(lineitem: DataFrame) -> DataFrame:
         "net_out": F.round(price * 100 / 20),
         "disk_io": (pk * 13 % 4300) * 100 + F.round(tax * 100),
     }
-    return lineitem.where(_keep()).select(
-        F.date_format(F.timestamp_seconds(F.lit(FIXTURE_EPOCH) + ok % FIXTURE_TICKS),
-                      "yyyy-MM-dd HH:mm:ss").alias("ts"),
-        F.concat(F.lit("srv-"), (sk % FIXTURE_SERVERS).cast("string")).alias("server_id"),
+    return lineitem.select(
+        F.date_format(_time(), "yyyy-MM-dd HH:mm:ss").alias("ts"),
+        _server().alias("server_id"),
         *[_cents_text(F.round(c).cast("long")).alias(n) for n, c in cents.items()],
     )

@@ -2,36 +2,37 @@
 
 ``start_consumer`` reads topic messages from a stream (Kafka via
 ``sources.kafka.read_topics`` or published message files), decodes them,
-attaches per-message status and appends accepted rows and rejects to two
-parquet tables. The checkpoint replaces the consumer group's committed
-offsets: a restarted query resumes where it stopped.
-
-Each micro-batch is written once per output under ``batch_id=<n>`` with
-overwrite, so a batch replayed after a failure replaces its own earlier
-attempt instead of duplicating it.
+attaches per-message status and appends accepted rows and rejects. The
+checkpoint replaces the consumer group's committed offsets: a restarted query
+resumes where it stopped.
+
+A micro-batch is one write, ``run=<query id>/batch_id=<n>/kind=<accepted or
+rejected>/topic=<topic>``, with overwrite: a batch replayed after a failure
+replaces its own earlier attempt, and a consumer started from another
+checkpoint never touches rows of an earlier one. ``read_metric_table`` gives
+a topic's typed table (partitions of other topics are not read), which the
+windowed jobs scan; ``progress_totals`` the running totals.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import METRICS, PROGRESS_FORMAT, MetricSpec
-from ..functions.metrics import over_threshold
-from ..operators.messages import decode_messages, with_status
+from ..functions.metrics import format_columns, over_threshold
+from ..operators.messages import decode_messages, typed_table, with_status
 from ..schemas import MESSAGES
 
+FILES_PER_TRIGGER = 256      # bounds a micro-batch, the first one over a backlog too
+
 
-def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Stream of published message files (parquet, partitioned by topic)."""
-    r = spark.readStream.schema(MESSAGES)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(path)
+    return spark.readStream.schema(MESSAGES).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
 
 
 PROGRESS = "progress"
@@ -65,15 +66,10 @@ def progress_line(observed: dict) -> str:
 
 def _batch_writer(out_dir: str, metrics: tuple[MetricSpec, ...]):
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            ok = b.where(~F.col("skipped") & F.col("reason").isNull())
-            with_status(ok, metrics).drop("skipped", "reason").write.mode("overwrite") \
-                .parquet(f"{out_dir}/accepted/batch_id={batch_id}")
-            b.where(F.col("reason").isNotNull()).write.mode("overwrite") \
-                .parquet(f"{out_dir}/rejects/batch_id={batch_id}")
-        finally:
-            b.unpersist()
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")   # kept by the checkpoint
+        kind = F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
+        (with_status(batch.where(~F.col("skipped")), metrics).drop("skipped").withColumn("kind", kind)
+         .write.mode("overwrite").partitionBy("kind", "topic").parquet(f"{out_dir}/run={run}/batch_id={batch_id}"))
     return write
 
 
@@ -95,5 +91,30 @@ def start_consumer(messages: DataFrame, out_dir: str, checkpoint: str, metrics:
 
 
 def read_consumer_output(spark: SparkSession, out_dir: str, kind: str = "accepted") -> DataFrame:
-    """Batch view of a consumer's appended output (``accepted`` or ``rejects``)."""
-    return spark.read.parquet(f"{out_dir}/{kind}").drop("batch_id")
+    """Batch view of a consumer's appended output (``accepted`` or ``rejected``)."""
+    return spark.read.parquet(out_dir).where(F.col("kind") == kind).drop("run", "batch_id", "kind")
+
+
+def read_metric_table(spark: SparkSession, out_dir: str, metric: MetricSpec) -> DataFrame:
+    """A topic's accepted rows as the windowed jobs read them: ``ts`` (full time), ``server_id``, float values."""
+    typed = typed_table(read_consumer_output(spark, out_dir), metric)
+    return typed.select(F.col("event_ts").alias("ts"), "server_id",
+                        *[F.col(c).cast("float").alias(c) for c in (metric.column, *metric.extra_columns)])
+
+
+def progress_totals(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Totals after each micro-batch: ``batch_id, processed, alerts, total, topics_seen, line`` (the progress line).
+
+    Counted from what the batches wrote, so they survive restarts; one row a batch of a run. Topics seen are those
+    of the run so far.
+    """
+    rows = spark.read.parquet(out_dir).where(F.col("kind") == "accepted")
+    per_topic = rows.groupBy("run", "batch_id", "topic").agg(F.count("*").alias("n"), F.count_if("is_alert").alias("alerts"))
+    batches = per_topic.groupBy("run", "batch_id").agg(F.sum("n").alias("processed"), F.sum("alerts").alias("alerts"),
+                                                       F.collect_set("topic").alias("topics"))    # topics: one a metric at most
+    so_far = Window.partitionBy("run").orderBy("batch_id")
+    seen = F.size(F.array_distinct(F.flatten(F.collect_list("topics").over(so_far))))
+    out = batches.select("run", "batch_id", "processed", "alerts", F.sum("processed").over(so_far).alias("total"), seen.alias("topics_seen"))
+    line = format_columns(PROGRESS_FORMAT.replace("{avg:.2f}", "{avg}"), total=F.col("total").cast("string"),
+                          avg=F.format_string("%.2f", F.col("total") / F.greatest("topics_seen", F.lit(1))))
+    return out.withColumn("line", line)

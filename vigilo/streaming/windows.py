@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import PairJobSpec
+from ..config import MetricSpec, PairJobSpec
 from ..functions.timefmt import slide_index
+from ..operators.messages import accepted, decode_messages, typed_table
 
 HEARTBEAT_SERVER = "__heartbeat__"
 
@@ -109,8 +110,19 @@ def read_windowed(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.parquet(out_dir).where(F.col("server_id") != F.lit(HEARTBEAT_SERVER))
 
 
-def heartbeat(spark: SparkSession, ts_seconds: int, value_cols: list[str]) -> DataFrame:
-    """One end-of-stream row for a metric feed: ``ts, HEARTBEAT_SERVER, NULL values``."""
-    cols = ", ".join(f"cast(null as float) as {c}" for c in value_cols)
-    return spark.sql(f"select timestamp_seconds({int(ts_seconds)}) as ts, "
-                     f"'{HEARTBEAT_SERVER}' as server_id, {cols}")
+def metric_stream(messages: DataFrame, metric: MetricSpec, fmt: str = "json", base_date: str | None = None) -> DataFrame:
+    """A topic stream's accepted messages of one metric as a typed feed: ``ts`` (full time), ``server_id``, the value."""
+    typed = typed_table(accepted(decode_messages(messages, fmt, (metric,), base_date)), metric)
+    return typed.select(F.col("event_ts").alias("ts"), "server_id", F.col(metric.column).cast("float").alias(metric.column))
+
+
+def start_topic_alerts(messages: DataFrame, job: PairJobSpec, out_dir: str, checkpoint: str, fmt: str = "json",
+                       base_date: str | None = None, **options) -> StreamingQuery:
+    """Live windowed alerts straight from a stream of topic messages; options as ``start_windowed_alerts``."""
+    a, b = (metric_stream(messages, m, fmt, base_date) for m in (job.first, job.second))
+    return start_windowed_alerts(a, b, job, out_dir, checkpoint, **options)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark dropped in the query's recent triggers, over all stateful operators."""
+    return sum(int(o["numRowsDroppedByWatermark"]) for p in query.recentProgress for o in p["stateOperators"])
