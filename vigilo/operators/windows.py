@@ -38,6 +38,12 @@ def assign_windows(df: DataFrame, spec: WindowSpec, ts_col: str = "ts") -> DataF
     return out
 
 
+def bucket_windows(buckets: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Add ``w`` to rows of whole slide buckets (``_b``): one row for each window, of ``length / slide`` slides, that holds it."""
+    n = spec.length_s // spec.slide_s
+    return buckets.withColumn("w", F.explode(F.sequence(F.col("_b") - (n - 1), F.col("_b"))))
+
+
 def window_extent(windowed: DataFrame) -> DataFrame:
     """Per server: first bucket holding data (``lo``) and last window start (``hi``).
 

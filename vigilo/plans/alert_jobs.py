@@ -5,7 +5,8 @@ Plan shape (the windowed aggregate is staged in the shared folder for dense resu
   scan a ─┐
           ├─ union ─ partial agg ─ [shuffle ts,server] ─ final agg   (pair_stats: per-key n, c, sum / max)
   scan b ─┘
-     ─ explode into ≤ ceil(L/S) windows ─ partial agg ─ [shuffle server,w] ─ final agg   (windowed)
+     ─ partial agg ─ [shuffle server,bucket] ─ final agg   (per slide bucket)
+     ─ explode buckets into their L/S windows ─ partial agg ─ [shuffle server,w] ─ final agg   (windowed)
      ─ LEFT JOIN dense spine on (server,w)
      ─ round, CASE ─ [range shuffle] ─ sort (server_id, window start)
 
@@ -20,9 +21,9 @@ from pyspark.sql import functions as F
 
 from ..config import CPU_MEM_JOB, NET_DISK_JOB, PairJobSpec
 from ..functions.metrics import pair_alert, round2_float
-from ..functions.timefmt import hms
+from ..functions.timefmt import hms, slide_index
 from ..operators.pairing import pair_join, pair_stats
-from ..operators.windows import assign_windows, densify, window_bounds_cols
+from ..operators.windows import assign_windows, bucket_windows, densify, window_bounds_cols
 from ..session import stage
 
 def _num_partitions(df: DataFrame) -> int:
@@ -34,29 +35,36 @@ def load_rounded(df: DataFrame, value_col: str) -> DataFrame:
     return df.select("ts", "server_id", round2_float(value_col).alias(value_col))
 
 
+def _weighted(stats: DataFrame) -> DataFrame:
+    """Sums over the m*n pairs of each key: a side's sum and count times the other side's rows (doubles: no overflow)."""
+    return stats.select("ts", "server_id", *[
+        (F.col(x) * F.col(n).cast("double")).alias(name)
+        for name, x, n in (("_as", "a_s", "b_n"), ("_ac", "a_c", "b_n"), ("_bs", "b_s", "a_n"), ("_bc", "b_c", "a_n"))])
+
+
 def windowed_stats(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
     """Per (server_id, w) aggregate over non-empty windows (warm-up windows included).
 
     Columns: ``server_id, w, _lo`` and ``x_a, x_b`` = the unrounded avg or max.
+    Where windows are whole slides, keys are first summed up per slide bucket, and only the
+    buckets are repeated for their windows; else each key is.
     """
-    spec = job.window
+    spec = job.window.validate()
     fa, fb = job.first.column, job.second.column
     stats = pair_stats(load_rounded(a, fa), fa, load_rounded(b, fb), fb, job.how)
-    exploded = assign_windows(stats, spec)
-    keys = ("server_id", "w")
-    lo = F.min("_b").alias("_lo")
     if job.how == "avg":
-        g = exploded.groupBy(*keys).agg(
-            F.sum(F.col("a_s") * F.col("b_n")).alias("_as"),
-            F.sum(F.col("a_c") * F.col("b_n").cast("double")).alias("_ac"),
-            F.sum(F.col("b_s") * F.col("a_n")).alias("_bs"),
-            F.sum(F.col("b_c") * F.col("a_n").cast("double")).alias("_bc"),
-            lo,
-        )
-        return g.select(*keys, "_lo",
-                        F.try_divide("_as", "_ac").alias("x_a"),
-                        F.try_divide("_bs", "_bc").alias("x_b"))
-    return exploded.groupBy(*keys).agg(F.max("a_m").alias("x_a"), F.max("b_m").alias("x_b"), lo)
+        stats, merge = _weighted(stats), {c: F.sum(c).alias(c) for c in ("_as", "_ac", "_bs", "_bc")}
+    else:
+        merge = {c: F.max(c).alias(c) for c in ("a_m", "b_m")}
+    if spec.length_s % spec.slide_s == 0:
+        buckets = (stats.withColumn("_b", slide_index("ts", spec.slide_s)).groupBy("server_id", "_b").agg(*merge.values()))
+        exploded = bucket_windows(buckets, spec)
+    else:
+        exploded = assign_windows(stats, spec)
+    g = exploded.groupBy("server_id", "w").agg(*merge.values(), F.min("_b").alias("_lo"))
+    if job.how == "avg":
+        return g.select("server_id", "w", "_lo", F.try_divide("_as", "_ac").alias("x_a"), F.try_divide("_bs", "_bc").alias("x_b"))
+    return g.select("server_id", "w", "_lo", F.col("a_m").alias("x_a"), F.col("b_m").alias("x_b"))
 
 
 def finish(windowed: DataFrame, job: PairJobSpec, dense: bool = True, sort: bool = True,

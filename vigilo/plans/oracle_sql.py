@@ -9,12 +9,47 @@ is rounded HALF_UP on its shortest decimal text, so the oracle goes through
 
 from __future__ import annotations
 
-from ..config import (
-    ALERT_CPU_MEM_BOTH, ALERT_CPU_ONLY, ALERT_DISK_ONLY, ALERT_MEM_ONLY, ALERT_NET_DISK_BOTH,
-    ALERT_NET_ONLY, CPU_THRESHOLD, DISK_IO_THRESHOLD, MEM_THRESHOLD, NET_IN_THRESHOLD,
-    SLIDE_SECONDS, WINDOW_SECONDS,
+from typing import NamedTuple
+
+# ---------------------------------------------------------------------------
+# Fixed values, written out here and not taken from the configuration, so that
+# a wrong value there shows as a difference.
+# ---------------------------------------------------------------------------
+FIXTURE_EPOCH = 1704067205     # 2024-01-01 00:00:05 UTC
+FIXTURE_TICKS = 600
+WINDOW_SECONDS = 30
+SLIDE_SECONDS = 10
+CPU_THRESHOLD = 89.65
+MEM_THRESHOLD = 89.73
+NET_IN_THRESHOLD = 7205.16
+DISK_IO_THRESHOLD = 4220.24
+ALERT_CPU_MEM_BOTH = "High CPU + Memory stress"
+ALERT_CPU_ONLY = "CPU spike suspected"
+ALERT_MEM_ONLY = "Memory saturation suspected"
+ALERT_NET_DISK_BOTH = "Network flood + Disk thrash suspected"
+ALERT_NET_ONLY = "Possible DDoS"
+ALERT_DISK_ONLY = "Disk thrash suspected"
+STATUS_OK = "OK"
+CONSUMER_GROUP_CPU_MEM = "consumer1-cpu-mem"
+CONSUMER_GROUP_NET_DISK = "consumer2-net-disk"
+
+
+class _Metric(NamedTuple):
+    name: str
+    topic: str
+    column: str
+    threshold: float
+    status_prefix: str
+    extra_columns: tuple = ()
+
+
+METRICS = (
+    _Metric("CPU", "topic-cpu", "cpu_pct", CPU_THRESHOLD, "⚠ CPU ALERT: "),
+    _Metric("MEM", "topic-mem", "mem_pct", MEM_THRESHOLD, "⚠ MEM ALERT: "),
+    _Metric("NET", "topic-net", "net_in", NET_IN_THRESHOLD, "⚠ NET_IN ALERT: ", ("net_out",)),
+    _Metric("DISK", "topic-disk", "disk_io", DISK_IO_THRESHOLD, "⚠ DISK_IO ALERT: "),
 )
-from ..sources.telemetry import FIXTURE_EPOCH, FIXTURE_TICKS
+# ---------------------------------------------------------------------------
 
 
 def r2d(x: str) -> str:
@@ -108,8 +143,6 @@ NET_DISK_ALERTS = _net_disk_alerts()
 
 # --------------------------------------------------------------------------- ingest side
 
-from ..config import CONSUMER_GROUP_CPU_MEM, CONSUMER_GROUP_NET_DISK, METRICS, STATUS_OK  # noqa: E402
-
 # DuckDB strftime equivalents of the event feed's timestamp styles, same order.
 DUCK_TS_STYLES = (
     "strftime(ts, '%Y-%m-%d %H:%M:%S')",
