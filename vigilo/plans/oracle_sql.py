@@ -256,7 +256,9 @@ STYLED = "case " + " ".join(f"when event_id % 7 = {i} then {s}" for i, s in enum
 
 FEED = f"""
 ev as (
-  select event_id, user_id, event_type, value, props,
+  select event_id, user_id, event_type, props,
+    case when event_type = 'click' and user_id % 7 = 0 then value * 1e6
+         when event_type = 'click' and user_id % 7 = 1 then value / 1e6 else value end as value,
     {_topic_case('event_id')} as topic,
     {STYLED} as styled,
     'user-' || cast(user_id as varchar) as server
@@ -271,7 +273,7 @@ fe as (
          when event_type = 'view' then 'skip'
          when event_type = 'signup' then 'props'
          when event_type = 'purchase' then 'null'
-         when event_type = 'error' then 'cut'
+         when event_type = 'error' then case user_id % 4 when 0 then 'cut' when 1 then 'trail' when 2 then 'single' else 'suffix' end
          else 'normal' end as kind
   from ev),
 fm as (
@@ -279,7 +281,9 @@ fm as (
     '{{"ts":"' || styled || '","server_id":"' || server || '","' || vcol || '":' || cast(value as varchar)
       || case when has2 then ',"{[m for m in METRICS if m.extra_columns][0].extra_columns[0]}":' || cast(value as varchar) else '' end || '}}' as normal_text,
     '{{"ts":"' || styled || '","server_id":"' || server || '","' || vcol || '":null'
-      || case when has2 then ',"{[m for m in METRICS if m.extra_columns][0].extra_columns[0]}":null' else '' end || '}}' as null_text
+      || case when has2 then ',"{[m for m in METRICS if m.extra_columns][0].extra_columns[0]}":null' else '' end || '}}' as null_text,
+    '{{"ts":"' || styled || '","server_id":"' || server || '","' || vcol || '":"' || cast(value as varchar)
+      || case when has2 then 'f","{[m for m in METRICS if m.extra_columns][0].extra_columns[0]}":"' || cast(value as varchar) else '' end || 'f"}}' as suffix_text
   from fe),
 acc as (
   select event_id as "offset", topic, metric,
@@ -292,11 +296,12 @@ acc as (
 EVENT_FEED_DECODE = (f"with {FEED},\n s as (select *, {norm_hms('ts_text')} as ts from acc)\n"
                      f"select \"offset\", topic, metric, ts, server_id, value, value2, {_status_cols()}, ts_text from s")
 
-INGEST_REJECTS = (f"with {FEED}\n"
-                  "select topic, event_id as \"offset\", "
-                  "case kind when 'cut' then substr(normal_text, 1, length(normal_text) - 1) else null_text end as message, "
-                  "case kind when 'cut' then 'malformed or not a JSON object' else 'bad number' end as reason "
-                  "from fm where kind in ('cut', 'null')")
+INGEST_REJECTS = f"""with {FEED}
+select topic, event_id as "offset",
+  case kind when 'cut' then substr(normal_text, 1, length(normal_text) - 1) when 'trail' then normal_text || ' trailing'
+    when 'single' then replace(normal_text, '"', '''') when 'suffix' then suffix_text else null_text end as message,
+  case when kind in ('null', 'suffix') then 'bad number' else 'malformed or not a JSON object' end as reason
+from fm where kind not in ('normal', 'props', 'skip')"""
 
 PROCESSED_COUNTS = f"with {FEED}\nselect topic, count(*) as processed from acc group by topic"
 

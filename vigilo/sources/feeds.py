@@ -52,7 +52,9 @@ def event_feed(events: DataFrame) -> DataFrame:
     click → normal object with a JSON number; view → ``{}`` when ``user_id % 3 = 0``
     else normal; signup → the event's ``props`` object (no metric keys);
     purchase → number sent as a string when ``user_id`` is even, else JSON null;
-    error → the normal object cut short by one character (malformed).
+    error → by ``user_id % 4`` the normal object cut short by one character, with text behind it, in
+    single quotes (all malformed), or with the number as text with a type letter (``"1.5f"``, a bad number).
+    Clicks of ``user_id % 7`` 0 and 1 carry the value times and divided by a million.
 
     Built in staged projections (key names, value text, object) so that no
     expression is repeated inside another.
@@ -68,10 +70,13 @@ def event_feed(events: DataFrame) -> DataFrame:
                      idx).alias("_key2"),
         styled_ts(F.col("ts"), eid % len(TS_STYLES)).alias("_ts"),
         F.concat(F.lit("user-"), uid.cast("string")).alias("_server"),
-        F.col("value").cast("string").alias("_num"),
+        F.when((etype == "click") & (uid % 7 == 0), F.col("value") * 1e6)
+         .when((etype == "click") & (uid % 7 == 1), F.col("value") / 1e6)
+         .otherwise(F.col("value")).cast("string").alias("_num"),
     )
     num = F.col("_num")
-    v = (F.when(etype != "purchase", num)
+    v = (F.when((etype == "error") & (uid % 4 == 3), _quoted(F.concat(num, F.lit("f"))))
+         .when(etype != "purchase", num)
          .when(uid % 2 == 0, _quoted(num))
          .otherwise(F.lit("null")))
     df = df.withColumn("_v", v)
@@ -84,6 +89,8 @@ def event_feed(events: DataFrame) -> DataFrame:
     o = F.col("_obj")
     value = (F.when(etype == "view", F.when(uid % 3 == 0, F.lit("{}")).otherwise(o))
              .when(etype == "signup", F.col("props"))
-             .when(etype == "error", F.expr("substring(_obj, 1, length(_obj) - 1)"))
+             .when((etype == "error") & (uid % 4 == 0), F.expr("substring(_obj, 1, length(_obj) - 1)"))
+             .when((etype == "error") & (uid % 4 == 1), F.concat(o, F.lit(" trailing")))
+             .when((etype == "error") & (uid % 4 == 2), F.replace(o, F.lit('"'), F.lit("'")))
              .otherwise(o))
     return df.select("topic", value.alias("value"), "offset", "timestamp")
