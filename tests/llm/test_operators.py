@@ -386,3 +386,24 @@ def test_leaks(spark, docs, empty):
     assert decontaminate.find_leaks(docs, bench).count() == 0
     assert decontaminate.find_leaks(empty, bench).count() == 0 and decontaminate.find_leaks(docs, bench.where("false")).count() == 0
     assert decontaminate.drop_leaked(docs, bench).columns == docs.columns
+
+
+def test_leaks_of_long_items(spark):
+    """A run of a long item counts by its own length, also where it is the item's most common part."""
+    rng = random.Random(21)
+    make = lambda n: ["w%d" % rng.randrange(4000) for _ in range(n)]
+    item = make(400)
+    runs = [(0, 150), (250, 400), (120, 151), (37, 67), (0, 10)]
+    made = [(i, [*make(80), *item[a:b], *make(80)]) for i, (a, b) in enumerate(runs)]
+    edited = item[100:250]
+    for k in range(10, 150, 15):
+        edited[k] = "edited"
+    made += [(10, [*make(50), *edited, *make(50)]), (11, make(600))]
+    made += [(100 + i, [*make(20), *item[330:370], *make(20)]) for i in range(150)]          # 40 words that are everywhere
+    made += [(1000 + i, [*make(20), *item[a:a + 20], *make(20)]) for i, a in enumerate([*range(0, 300, 10)] * 2)]  # too short to count
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in made], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontaminate.find_leaks(table, bench).collect()}
+    assert set(got) == {0, 1, 2, 3, 10, *range(100, 250)}
+    assert 0.375 <= got[0] < 0.39 and 0.0775 <= got[2] < 0.1
+    assert {r.doc_id for r in decontaminate.drop_leaked(table, bench).collect()} == {i for i, _ in made} - set(got)

@@ -4,7 +4,9 @@ The n-grams of the test items are counted in the whole corpus; an item's seeds a
 (SEED_SHARE of those that occur, with all ties, and all of RARE places or fewer), so that seeds stay few in texts that merely share common words,
 and an item whose copies are everywhere still has seeds. Places where a text holds a seed give
 diagonals; near ones make a window, and the item is aligned with the window word by word, local and
-with gaps. The score is the alignment's, as a share of that of an exact copy of the whole item.
+with gaps. The score is the alignment's, as a share of that of an exact copy of the whole item. A text
+leaks an item from a share of LEAK on, or where the alignment is worth RUN words in a row, however long
+the item is; the rarest n-gram of every STRETCH words is a seed too, so that each such run holds one.
 
 Items come to the tasks in blocks of ITEM_BLOCK, each with its own pass over the texts, so what a task
 holds is bounded however many items there are.
@@ -27,6 +29,8 @@ SEED_SHARE = 0.8
 RARE = 100               # n-grams of so few places in the corpus are seeds in any case
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAK = 0.5               # share of an exact copy's score from which a text counts as leaked
+RUN = 30                 # words in a row whose score counts as leaked whatever share of the item they are
+STRETCH = (RUN + 2 - GRAM) // 2          # the n-grams that begin in one such stretch lie whole in any run that begins up to it
 PAD = 16                 # words aligned beyond the seeds' diagonals on either side
 ITEM_BLOCK = 20_000
 _PAIRS = 256             # alignments computed at once
@@ -99,7 +103,11 @@ class Items:
         size = np.diff(np.append(first, len(owner)))
         last = first + np.maximum(np.ceil(SEED_SHARE * size).astype(int) - 1, 0)
         limit = np.maximum(n[np.minimum(last, len(n) - 1)], RARE) if len(n) else np.zeros(len(self.ids))
-        kept = order[n <= limit[owner]] if len(n) else order
+        few = n <= limit[owner] if len(n) else np.zeros(0, bool)
+        _, stretch = np.unique(np.stack([owner, self.place[order] // STRETCH]), axis=1, return_inverse=True)
+        least = np.full(len(order), np.iinfo(np.int64).max)
+        np.minimum.at(least, stretch.ravel(), n)
+        kept = order[few | (n == least[stretch.ravel()])]
         kept = kept[np.argsort(self.grams[kept], kind="stable")]
         self.grams, self.owner, self.place = self.grams[kept], self.owner[kept], self.place[kept]
         self.seeds = np.unique(self.grams)
@@ -121,7 +129,7 @@ class Items:
         yield scan.batch(_COUNT, seen, n[seen])
 
     def leaks(self, part: scan.Slice) -> Iterator[tuple[int, int, float, int]]:
-        """(text, item, score, last word) of every window whose alignment reaches LEAK."""
+        """(text, item, share, last word) of every window whose alignment reaches LEAK or is worth RUN words."""
         w = _words(part)
         h, d, p = scan.gram_hashes(w, GRAM)
         at = self._in(self.seeds, h)
@@ -145,7 +153,7 @@ class Items:
         windows = [w.h[w.first[t] + a: w.first[t] + b] for t, a, b in zip(text[first], begin, stop)]
         score, end = align([self.words[i] for i in item[first]], windows)
         share = score / (MATCH * np.maximum(length[item[first]], 1))
-        for k in np.flatnonzero(share >= LEAK):
+        for k in np.flatnonzero((share >= LEAK) | (score >= MATCH * RUN)):
             yield int(text[first][k]), int(item[first][k]), float(share[k]), int(begin[k] + end[k])
 
     def leak_batches(self, batches):
@@ -182,8 +190,9 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id"
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per leaked (doc_id, item_id): score (0.5 to 1) and the word where the best alignment ends.
+    """One row per leaked (doc_id, item_id): score (share of an exact copy's) and the word where the best alignment ends.
 
+    Scores are 0.5 to 1; of items of more than 2 x RUN words also less, where RUN words or more are copied.
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Null texts hold
     nothing, items of fewer than three words or without text match nothing; repeated ids give one row
     an item, with the highest score (ties: the earliest end); an empty table gives no rows.
