@@ -234,6 +234,16 @@ def test_kd_tree_prunes_exactly():
         assert sorted(tree.search(-1, q, bound[i], 5, best[-1][0]), reverse=True) == best
 
 
+def test_top_k_of_repeated_ids(spark):
+    """One leaf in which the query's own id is repeated at the top."""
+    rng = random.Random(7)
+    for repeats in (2, 6, 40):
+        vec = [(50, [9.0, 9.0])] * repeats + [(i, [rng.random(), rng.random()]) for i in range(1, 24)]
+        got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(spark.createDataFrame(vec, "vec_id long, embedding array<double>")).collect()]
+        scored = sorted((-sum(math.floor(256 * x) * 9 * 256 for x in v), i) for i, v in vec if i != 50)[:5]
+        assert sorted(got) == [(50, k, i, -s) for k, (s, i) in enumerate(scored, 1)]
+
+
 def test_language_held_out(spark, empty, docs):
     table = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = lang_id.identify(table).join(table.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").collect()

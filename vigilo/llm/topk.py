@@ -76,12 +76,11 @@ class KdTree:
             scores = self.points[a:b] @ query
             least = best[0][0] if len(best) == k else floor
             at = np.flatnonzero(scores >= least) if least is not None else np.arange(b - a)
+            at = at[self.ids[a:b][at] != query_id]                 # however often the query's own id is repeated
             if len(at) > 4 * k:
-                at = at[np.lexsort((self.ids[a:b][at], -scores[at]))][: k + 1]
+                at = at[np.lexsort((self.ids[a:b][at], -scores[at]))][:k]
             for i in at:
                 found = (int(scores[i]), -int(self.ids[a + i]))
-                if -found[1] == query_id:
-                    continue
                 if len(best) < k:
                     heapq.heappush(best, found)
                 elif found > best[0]:
