@@ -20,7 +20,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; those without letters, or of no clear language, go."""
+    """Documents whose words' languages are known, one or several; those without letters, or of unclear words, go."""
     return lang_id.keep_identified(docs)
 
 

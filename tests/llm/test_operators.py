@@ -257,6 +257,30 @@ def test_language_held_out(spark, empty, docs):
     assert kept.columns == docs.columns and kept.where("text is null or trim(text) = ''").count() == 0
 
 
+def test_mixed_languages_are_kept(spark):
+    """Texts that switch languages stay, unsure words go, and where nothing was learned all rows stay."""
+    table = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    words = defaultdict(list)
+    for r in table.where("lang is not null and length(text) > 400").orderBy("doc_id").collect():
+        words[r.lang] += r.text.split()
+    a, b, c = sorted(words)[:3]
+    mixed = [(10 ** 6, [(a, 40), (b, 35), (c, 25)]), (10 ** 6 + 1, [(a, 60), (b, 60)]), (10 ** 6 + 2, [(a, 34), (b, 33), (c, 33)]),
+             (10 ** 6 + 3, [(x, 10) for x in (a, b, c) * 4]), (10 ** 6 + 4, [(c, 49), (a, 51)])]
+    rows = [(i, " ".join(" ".join(words[lang][200:200 + n]) for lang, n in parts), None) for i, parts in mixed]
+    rows += [(10 ** 6 + 9, "12 34 !", None)]
+    both = table.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r.score < 0.5 for r in lang_id.identify(both).where("doc_id in (1000000, 1000002, 1000003)").collect()} == {True}
+    kept = {r.doc_id for r in lang_id.keep_identified(both).where("doc_id >= 1000000").collect()}
+    assert kept == {i for i, _ in mixed}
+    unlabelled = both.withColumn("lang", F.lit(None).cast("string"))
+    assert lang_id.keep_identified(unlabelled).count() == both.count()
+    held_out = both.withColumn("lang", F.when(lang_id._held_out(F.col("doc_id")), F.col("lang")))
+    assert lang_id.keep_identified(held_out).count() == both.count()
+    unsure = lang_id.LangModel(list("abcd"), np.zeros((4, 4 << lang_id.HASH_BITS), np.float32), np.zeros(4), np.zeros((4, 4)))
+    batch = pa.record_batch({"doc_id": [1], "text": ["some words of no clear language"]})
+    assert sum(x.num_rows for x in unsure.kept_rows("text", 0.5)(iter([batch]))) == 0
+
+
 def test_forward_backward_sums_over_paths():
     rng = np.random.default_rng(1)
     score, start, step = rng.normal(size=(1, 4, 3)), rng.normal(size=3), rng.normal(size=(3, 3))

@@ -155,17 +155,17 @@ class LangModel:
         weights[:, used] = small
         return cls(langs, weights, start, step)
 
-    def predict(self, part: scan.Slice) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the language of each text (-1: unknown) and its mean probability over the words."""
+    def predict(self, part: scan.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the language of each text (-1: unknown), its mean probability over the words, and that of each word's own best language."""
         n = len(part)
-        best, score = np.full(n, -1), np.zeros(n)
+        best, score, sure = np.full(n, -1), np.zeros(n), np.zeros(n)
         if not self.langs:
-            return best, score
+            return best, score, sure
         w = scan.words(scan.LOWER[part.buf], part.starts, _LETTERS)
         counts = w.counts()
         total = np.zeros((n, len(self.langs)))
         if len(self.langs) == 1:
-            total[:, 0] = counts
+            total[:, 0] = sure[:] = counts
         elif len(w.h):
             emitted = _word_scores(self.weights, part.buf, w).T
             chains = -(-counts // CHAIN)
@@ -181,6 +181,7 @@ class LangModel:
                 place = np.minimum(first[at][:, None] + np.arange(wide), len(w.h) - 1)
                 gamma, _ = forward_backward(emitted[place].astype(float), length[at], self.start, self.step)
                 np.add.at(total, owner[at], gamma.sum(1))
+                np.add.at(sure, owner[at], gamma.max(2).sum(1))
         has = np.zeros(n, bool)
         letters = np.append(0, np.cumsum(_ASCII_LETTER[part.buf]))
         has[:] = letters[part.ends] > letters[part.starts]
@@ -188,19 +189,19 @@ class LangModel:
             has[i] = any(c.isalpha() for c in part.buf[part.starts[i]: part.ends[i]].tobytes().decode())
         best[has] = total[has].argmax(1)
         score[has] = np.clip(total[has].max(1) / np.maximum(counts[has], 1), 0, 1)
-        return best, score
+        return best, score, np.where(has, np.clip(sure / np.maximum(counts, 1), 0, 1), 0)
 
     def predict_batches(self, batches):
         names = pa.array([*self.langs, UNKNOWN], pa.string())
         for part in scan.slices(batches):
-            best, score = self.predict(part)
+            best, score, _ = self.predict(part)
             yield scan.batch(_PREDICTED, part.rows.column(0), names.take(pa.array(np.where(best < 0, len(self.langs), best))), score)
 
     def kept_rows(self, text_col: str, least: float):
         def run(batches):
             for part in scan.slices(batches, text_col):
-                best, score = self.predict(part)
-                yield part.rows.filter(pa.array((best >= 0) & (score >= least)))
+                best, _, sure = self.predict(part)
+                yield part.rows.filter(pa.array((best >= 0) & (sure >= least))) if self.langs else part.rows
         return run
 
 
@@ -252,7 +253,11 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows whose language is known with at least this score, with all their columns."""
+    """The rows whose words' languages are known, with all their columns.
+
+    The mean probability of each word's own best language must reach `least`, so texts that switch
+    languages stay; texts without a letter go. Where no language was learned all rows stay.
+    """
     model = fit(docs, id_col, text_col, lang_col)
     return docs.mapInArrow(model.kept_rows(text_col, least), docs.schema)
 
