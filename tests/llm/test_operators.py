@@ -340,6 +340,26 @@ def test_packing(spark, docs, rows, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_packed_sequences_hold_their_ids(spark, docs, rows):
+    """The rows of a sequence spell it, and the checksum is theirs."""
+    import zlib
+
+    tokenizer = transducer.open_tokenizer(transducer.default_path())[0]
+    got = packing.pack(docs).collect()
+    sequences, pieces = defaultdict(dict), defaultdict(list)
+    for r in got:
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+        sequences[r.sequence_id].update(zip(range(r.offset, r.offset + r.length), r.ids))
+        pieces[r.doc_id].append((r.start, r.ids))
+    assert all(sorted(x) == list(range(len(x))) and len(x) <= 2048 for x in sequences.values())
+    assert sum(len(x) for x in sequences.values()) == sum(r.length for r in got)
+    for i, t in rows:
+        if sum(j == i for j, _ in rows) == 1:
+            assert [x for _, ids in sorted(pieces[i]) for x in ids] == [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
+    small = packing.op7(spark, SF_SMALL)
+    assert small.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
 def test_plan_places_every_piece():
     rng = random.Random(1)
     counts = Counter(rng.choice((rng.randint(1, 2048), 700, 2048)) for _ in range(4000))

@@ -8,7 +8,8 @@ squares (first to all, then to the SUPPORT patterns that count most), rounded la
 the histogram goes, and the remaining lengths packed best fit, a pattern as often as it goes each time,
 which uses up a length each time. A plan has at most SUPPORT + CAPACITY patterns, however many documents
 there are. Pieces are then numbered within their length, and a piece's number picks its
-pattern, copy and place.
+pattern, copy and place. Pieces carry their token ids all the way, so that the rows of a sequence_id,
+by offset, are the packed sequence; checksums are taken from those ids.
 """
 
 from __future__ import annotations
@@ -34,11 +35,12 @@ END_ID = 0
 ROUNDS = 120
 SUPPORT = 4096            # patterns kept of a first fit to all, and fitted again
 MAX_UNITS = 600_000       # distinct units remembered by a task; then it starts afresh, with the same results
-CHUNKS = 64               # numbering groups of a length; no group holds more than its share of it
+CHUNKS = 256              # numbering groups of a length; no group holds more than its share of it
 
 _PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
-                    ("ids_crc32", pa.int64()), ("chunk", pa.int32())])
-_PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, chunk int"
+                    ("ids", pa.list_(pa.int32())), ("chunk", pa.int32())])
+_PIECE_DDL = "doc_id long, piece int, start long, length long, ids array<int>, chunk int"
+_PACKED_DDL = "doc_id long, piece int, start long, length long, ids array<int>, ids_crc32 long, sequence_id long, offset long"
 
 #: A space is surely the first byte of a token if one of these bytes follows: visible ASCII but '<', with
 #: which special strings begin, and leading bytes of characters that are never white space.
@@ -169,16 +171,26 @@ def _pieces(path: str, capacity: int):
             start = np.where(piece > 0, head + (piece - 1) * capacity, 0)
             length = np.where(piece > 0, capacity, head)
             lo = first[doc] + start
-            raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
-            crc = [zlib.crc32(raw[4 * a: 4 * b]) for a, b in zip(lo.tolist(), (lo + length).tolist())]
-            chunk = (scan.mix(np.array(crc, np.uint64) + (start.astype(np.uint64) << np.uint64(32))
-                              + scan.mix(doc.astype(np.uint64) + np.uint64(len(ids)))) % np.uint64(CHUNKS)).astype(np.int32)
-            yield scan.batch(_PIECE, part.rows.column(0).take(pa.array(doc)), piece, start, length, crc, chunk)
+            chunk = (scan.mix((start.astype(np.uint64) << np.uint64(32))
+                              + scan.mix(doc.astype(np.uint64) + (np.uint64(len(ids)) << np.uint64(32)))) % np.uint64(CHUNKS)).astype(np.int32)
+            spelled = scan.lists(ids.astype(np.int32), np.append(lo, len(ids)), pa.int32())       # pieces lie one after another
+            yield scan.batch(_PIECE, part.rows.column(0).take(pa.array(doc)), piece, start, length, spelled, chunk)
         _unit_ids(path).forget()
         scan.give_back()
     return run
 
 
+def _with_checksums(batches):
+    """The rows with the CRC-32 of their ids as little-endian 32-bit numbers, before the last two columns."""
+    for rows in batches:
+        ids = rows.column(rows.schema.get_field_index("ids"))
+        at = ids.offsets.to_numpy().tolist()
+        raw = memoryview(ids.values.to_numpy().astype("<u4")).cast("B")
+        crc = pa.array([zlib.crc32(raw[4 * a: 4 * b]) for a, b in zip(at, at[1:])], pa.int64())
+        names, columns = rows.schema.names, rows.columns
+        yield pa.RecordBatch.from_arrays([*columns[:-2], crc, *columns[-2:]], names=[*names[:-2], "ids_crc32", *names[-2:]])
+
+
 def exact_patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:
     """Rows of one, two or three of the lengths, largest first, that fill the capacity exactly; 0 fills up."""
     have = np.zeros(capacity + 1, bool)
@@ -268,9 +280,9 @@ def places(planned: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, i
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+    """One row per piece: doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset.
 
-    A document is its library ids and then id 0; a null or empty text is that one id. Repeated rows and
+    ids are the piece's token ids, those of the sequence from the offset on. A document is its library ids and then id 0; a null or empty text is that one id. Repeated rows and
     null ids are packed each; an empty table gives no rows. path: the tokenizer's file, there on every
     executor. The histogram and the plan, of bounded size, pass through the driver; pieces do not.
     """
@@ -285,15 +297,16 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_
     groups = pieces.groupBy("length", "chunk").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.select("length", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("passed"))
-    own = F.row_number().over(Window.partitionBy("length", "chunk").orderBy("doc_id", "piece", "ids_crc32"))
+    own = F.row_number().over(Window.partitionBy("length", "chunk").orderBy("doc_id", "piece", "ids"))
     numbered = pieces.withColumn("own", own).join(groups, ["length", "chunk"]).withColumn("number", F.col("own") - 1 + F.col("passed"))
     found = numbered.join(placed, (numbered.length == placed.length) & (F.col("number") >= F.col("lo")) & (F.col("number") < F.col("hi")))
     step = F.col("number") - F.col("lo")
     return found.select(
-        "doc_id", "piece", "start", numbered.length, "ids_crc32",
+        "doc_id", "piece", "start", numbered.length, "ids",
         (F.col("base") + F.floor(step / F.col("many"))).cast("long").alias("sequence_id"),
-        (F.col("first") + (step % F.col("many")) * numbered.length).alias("offset"))
+        (F.col("first") + (step % F.col("many")) * numbered.length).alias("offset")).mapInArrow(_with_checksums, _PACKED_DDL)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """The packed pieces; their ids as a checksum."""
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("ids")
