@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lang_id, licenses, near_dup, packing, quality, sharding, token_count, topk, url_filter
+from . import (align, decontaminate, imatch, lang_id, licenses, near_dup, packing, quality, sharding, token_count, topk, url_filter,
+               variants)
 
 QUERIES = {
     "op1_url_filters": url_filter.op1,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_token_counts": token_count.op8,
     "op9_quality_classifier": quality.op9,
     "op10_benchmark_decontamination": decontaminate.op10,
+    "op11_spelling_variants": variants.op11,
+    "op12_document_fingerprints": imatch.op12,
+    "op13_cross_tokenizer_alignment": align.op13,
 }
 
 ORACLES = {"op2_minhash_near_dedup": near_dup.ORACLE, "op5_exact_top_k": topk.ORACLE}
