@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,10 @@ from pyspark.sql import functions as F
 from ..session import scratch_path, stage
 from . import scan
 from .common import id_and_text
-from .packing import UnitIds
+from .packing import MAX_UNITS, IdStore, UnitIds
 from .transducer import Splitter, byte_symbols, default_path, open_tokenizer
 
 SENT_PAIRS = 6_000_000     # pair tables of so many rows at most (12 bytes each) go to the tasks whole; larger ones are joined
-BATCH_TEXTS = 64           # texts handed to the sentence-piece library at once
 _B_IDS = 1 << 17           # a pair is a's id times this, plus b's
 
 
@@ -43,38 +43,39 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     a, b = ends_a.astype(np.int64), ends_b.astype(np.int64)
     raw_a, raw_b = memoryview(a.tobytes()), memoryview(b.tobytes())
     list_a, list_b = a.tolist(), b.tolist()
-    n, i, j = len(list_a), 0, 0
+    n, n_b, i, j = len(list_a), len(list_b), 0, 0
     runs: list[tuple[int, int, int]] = []              # one-to-one runs: first A token, first B token, number of groups
     while i < n:
-        begin, step, growing = i, 1, True
-        shift = j - i
-        most = min(n, len(list_b) - shift)
-        while step and i < most:
-            stop = min(i + step, most)
-            if raw_a[8 * i: 8 * stop] == raw_b[8 * (i + shift): 8 * (stop + shift)]:
-                i = stop
-                step = step * 2 if growing else step // 2
-            else:
-                growing = False
-                step = (stop - i) // 2
-        j = i + shift
-        if i > begin:
-            runs.append((begin, begin + shift, i - begin))
-        if i == n:
-            break
-        x, y = list_a[i], list_b[j]                    # an irregular group
-        while x != y:
-            if x < y:
-                i += 1
-                x = list_a[i]
-            else:
-                j += 1
-                y = list_b[j]
-        runs.append((i, j, 1))
-        i, j = i + 1, j + 1
+        x, y = list_a[i], list_b[j]
+        if x == y:
+            begin, shift, step, growing = i, j - i, 1, True
+            most = n if n + shift <= n_b else n_b - shift
+            while step and i < most:
+                stop = i + step
+                if stop > most:
+                    stop = most
+                if raw_a[8 * i: 8 * stop] == raw_b[8 * (i + shift): 8 * (stop + shift)]:
+                    step = step * 2 if growing else step // 2
+                    i = stop
+                else:
+                    growing = False
+                    step = (stop - i) // 2
+            runs.append((begin, j, i - begin))
+            j = i + shift
+        else:                                          # an irregular group
+            while x != y:
+                if x < y:
+                    i += 1
+                    x = list_a[i]
+                else:
+                    j += 1
+                    y = list_b[j]
+            runs.append((i, j, 1))
+            i += 1
+            j += 1
     if not runs:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    first_a, first_b, size = np.array(runs, np.int64).T
+    first_a, first_b, size = np.fromiter(chain.from_iterable(runs), np.int64, 3 * len(runs)).reshape(-1, 3).T
     place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     return np.repeat(first_a, size) + place, np.repeat(first_b, size) + place
 
@@ -116,16 +117,59 @@ def _open_a(path: str) -> tuple[_PlainIds, _Spelling]:
     return ids, _Spelling(entries)
 
 
-@lru_cache(maxsize=2)
-def _open_b(path: str):
-    import sentencepiece
+class _PieceIds:
+    """Ids by a sentence-piece model, asked once for each distinct unit: a word with the spaces before it.
+
+    No entry of the vocabulary holds a space behind another character, so nothing is merged across units.
+    """
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        if any("▁" in x.lstrip("▁") for x in pieces):
+            raise ValueError(f"{path}: entries with a space behind another character are not aligned")
+        self.spelling = _Spelling([bytes([int(x[3:5], 16)]) if self.model.is_byte(i) else x.replace("▁", " ").encode()
+                                   for i, x in enumerate(pieces)])
+        self.forget()
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    entries = []
-    for i in range(sp.get_piece_size()):
-        piece = sp.id_to_piece(i)
-        entries.append(bytes([int(piece[3:5], 16)]) if sp.is_byte(i) else piece.replace("▁", " ").encode())
-    return sp, _Spelling(entries)
+    def forget(self) -> None:
+        self.units = IdStore()
+
+    def of(self, part: scan.Slice) -> tuple[np.ndarray, np.ndarray]:
+        """As UnitIds.of: ids of texts that begin with a space, an end id behind each text's, and where each text's begin."""
+        if self.units.n > MAX_UNITS:
+            self.forget()
+        buf = part.buf
+        cut = buf == 0x20
+        cut[1:] &= buf[:-1] != 0x20
+        cut[part.starts] = True
+        cut[part.ends] = True
+        begin = np.flatnonzero(cut)
+        end = np.append(begin[1:], len(buf))
+        marks = np.zeros(len(buf), bool)
+        marks[part.ends] = True
+        closing = marks[begin]
+        unit, own = np.zeros(len(begin), np.int64), np.flatnonzero(~closing)
+        h = scan.span_hashes(buf, begin[own], end[own])
+        got = self.units.kept.get(h)
+        new = np.flatnonzero(got < 0)
+        if len(new):
+            keys, first = np.unique(h[new], return_index=True)
+            raw, at = buf.tobytes(), own[new[first]]
+            found = self.model.encode([raw[a + 1:b].decode() for a, b in zip(begin[at].tolist(), end[at].tolist())], num_threads=1)
+            size = np.array([len(x) for x in found], np.int64)
+            self.units.add(keys, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size)
+            got[new] = self.units.kept.get(h[new])
+        unit[own] = got
+        ids, total = self.units.spelled(unit)
+        return ids, np.append(0, total[np.flatnonzero(closing) + 1])
+
+
+@lru_cache(maxsize=2)
+def _open_b(path: str) -> _PieceIds:
+    return _PieceIds(path)
 
 
 def piece_path() -> str:
@@ -150,26 +194,25 @@ def _decimal(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out, width
 
 
+def _without_ends(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and their number for each text, of ids with an end id behind each text's."""
+    own = np.ones(len(ids), bool)
+    own[first[1:] - 1] = False
+    return ids[own].astype(np.int64), np.diff(first) - 1
+
+
 class Aligned:
     """Tokens, groups and links of a slice's texts; arrays run over all texts, *_first says where each text begins."""
 
     def __init__(self, part: scan.Slice, path_a: str, path_b: str):
         n = len(part)
-        (ids_a, spell_a), (sp, spell_b) = _open_a(path_a), _open_b(path_b)
-        raw = part.buf.tobytes()
-        texts = [raw[s:e].decode() for s, e in zip(part.starts.tolist(), part.ends.tolist())]
+        (ids_a, spell_a), ids_b = _open_a(path_a), _open_b(path_b)
+        spell_b = ids_b.spelling
         buf = np.insert(part.buf, part.starts, np.uint8(0x20))             # each text behind a space of its own
         begin = part.starts + np.arange(n)
         size = part.ends - part.starts + 1
         spaced = scan.Slice(None, buf, begin, begin + size)
-        a, first = ids_a.of(spaced)                                        # an end id behind each text
-        own = np.ones(len(a), bool)
-        own[first[1:] - 1] = False
-        a, n_a = a[own].astype(np.int64), np.diff(first) - 1
-        b_lists = [x for lo in range(0, n, BATCH_TEXTS) for x in sp.encode(texts[lo: lo + BATCH_TEXTS], num_threads=1)]
-        n_b = np.array([len(x) for x in b_lists], np.int64)
-        b = np.fromiter((i for x in b_lists for i in x), np.int64, int(n_b.sum()))
-        del b_lists, texts
+        (a, n_a), (b, n_b) = (_without_ends(*ids.of(spaced)) for ids in (ids_a, ids_b))
         good = size > 1                                                    # not the empty text
         for ids, count, spell in ((a, n_a, spell_a), (b, n_b, spell_b)):
             spelled, _ = spell.of(ids)
@@ -186,8 +229,13 @@ class Aligned:
         self.last_a, self.last_b = align(ends_a, ends_b)                   # a text's end is an end of both: no group crosses texts
         self.doc_a, self.doc_b = np.repeat(np.arange(n), self.n_a), np.repeat(np.arange(n), self.n_b)
         self.n_groups = np.bincount(self.doc_a[self.last_a], minlength=n)
-        cuts = np.union1d(ends_a, ends_b)                                  # a link ends at each end of either
-        self.link_a, self.link_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
+        # a link ends at each end of either: its A token is the one after all A ends before it, likewise B
+        cuts = np.concatenate([ends_a, ends_b])
+        order = np.argsort(cuts, kind="stable")
+        last = np.append(np.diff(cuts[order]) > 0, True) if len(cuts) else np.zeros(0, bool)
+        of_a, common = (order < len(ends_a))[last], np.diff(np.flatnonzero(last), prepend=-1) == 2
+        self.link_a = np.cumsum(of_a | common) - (of_a | common)
+        self.link_b = np.cumsum(~of_a | common) - (~of_a | common)
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """(text, id pair) of every link."""
@@ -253,6 +301,7 @@ def _aligned(path_a: str, path_b: str, with_groups: bool):
                                  scan.lists(pair[first], offsets, pa.int64()), scan.lists(times, offsets, pa.int32()))
                 uid += x.n
         _open_a(path_a)[0].forget()
+        _open_b(path_b).forget()
         scan.give_back()
     return run
 
