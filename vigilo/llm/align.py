@@ -132,6 +132,7 @@ class _PieceIds:
             raise ValueError(f"{path}: entries with a space behind another character are not aligned")
         self.spelling = _Spelling([bytes([int(x[3:5], 16)]) if self.model.is_byte(i) else x.replace("▁", " ").encode()
                                    for i, x in enumerate(pieces)])
+        self.space = [self.model.piece_to_id("▁")]
         self.forget()
 
     def forget(self) -> None:
@@ -159,6 +160,7 @@ class _PieceIds:
             keys, first = np.unique(h[new], return_index=True)
             raw, at = buf.tobytes(), own[new[first]]
             found = self.model.encode([raw[a + 1:b].decode() for a, b in zip(begin[at].tolist(), end[at].tolist())], num_threads=1)
+            found = [x or self.space for x in found]                       # a single space: the library adds none to an empty text
             size = np.array([len(x) for x in found], np.int64)
             self.units.add(keys, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size)
             got[new] = self.units.kept.get(h[new])
