@@ -1,6 +1,8 @@
 """Driver contract: entry, registered queries and oracle keys; quick oracle checks at sf0.001."""
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -43,3 +45,13 @@ def test_matches_oracle_small(spark, duck, name):
     d, dn = _rows(rel.columns, rel.fetchall())
     assert sn == dn
     assert s == d
+
+
+def test_base_queries_without_numpy_or_the_training_data_folder():
+    """A missing dependency, or a left-over empty folder, costs the training-data queries only."""
+    code = ("import sys; sys.modules['%s'] = None; sys.path.insert(0, %r); import __spark_entry__ as e; "
+            "q = e.queries(); assert 'cpu_mem_alerts' in q and 'pipeline' not in q and set(e.oracle_sql()) <= set(q); print(len(q))")
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    for missing in ("numpy", "vigilo.llm.registry"):
+        out = subprocess.run([sys.executable, "-c", code % (missing, root)], capture_output=True, text=True, cwd="/")
+        assert out.returncode == 0 and int(out.stdout) >= 34, out.stderr[-500:]

@@ -11,33 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import WindowSpec
-from ..functions.timefmt import index_to_ts, slide_index
+from ..functions.timefmt import index_to_ts
 
 # Windows generated per spine row before redistribution; bounds the work of a
 # single generator row no matter how long the time span is.
 SPINE_CHUNK = 2048
 
 
-def assign_windows(df: DataFrame, spec: WindowSpec, ts_col: str = "ts") -> DataFrame:
-    """Add ``_b`` (slide bucket of the row) and ``w`` (start index of each window holding it).
-
-    Each row is repeated once per window that contains it (at most
-    ``ceil(length / slide)`` times). Windows that begin before the first
-    aligned start ("warm-up" windows) are produced too; densification drops them.
-    """
-    spec.validate()
-    n = spec.per_sample
-    ts = F.col(ts_col)
-    out = (df.withColumn("_b", slide_index(ts, spec.slide_s))
-           .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-           .withColumn("w", F.col("_b") - F.col("_k"))
-           .drop("_k"))
-    if spec.length_s % spec.slide_s:
-        end_us = (F.col("w") * F.lit(spec.slide_s) + F.lit(spec.length_s)) * F.lit(1_000_000)
-        out = out.where(F.unix_micros(ts) < end_us)
-    return out
-
-
 def bucket_windows(buckets: DataFrame, spec: WindowSpec) -> DataFrame:
     """Add ``w`` to rows of whole slide buckets (``_b``): one row for each window, of ``length / slide`` slides, that holds it."""
     n = spec.length_s // spec.slide_s

@@ -6,7 +6,8 @@ Plan shape (the windowed aggregate is staged in the shared folder for dense resu
           ├─ union ─ partial agg ─ [shuffle ts,server] ─ final agg   (pair_stats: per-key n, c, sum / max)
   scan b ─┘
      ─ partial agg ─ [shuffle server,bucket] ─ final agg   (per slide bucket)
-     ─ explode buckets into their L/S windows ─ partial agg ─ [shuffle server,w] ─ final agg   (windowed)
+     ─ explode buckets into their L/S windows ─ partial agg ─ [shuffle server,w] ─ final agg   (windowed;
+       many windows a bucket, or windows that aren't whole slides: running aggregates over panes instead)
      ─ LEFT JOIN dense spine on (server,w)
      ─ round, CASE ─ [range shuffle] ─ sort (server_id, window start)
 
@@ -23,9 +24,13 @@ from ..config import CPU_MEM_JOB, NET_DISK_JOB, PairJobSpec
 from ..functions.metrics import pair_alert, round2_float
 from ..functions.timefmt import hms, slide_index
 from ..operators.pairing import pair_join, pair_stats
-from ..operators.windows import assign_windows, bucket_windows, densify, window_bounds_cols
+from ..operators.panes import pane_seconds, sliding
+from ..operators.windows import bucket_windows, densify, window_bounds_cols
 from ..session import stage
 
+EXPAND = 8       # windows that a bucket is repeated for at most; beyond that the aggregate slides over panes
+
+
 def _num_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -35,9 +40,9 @@ def load_rounded(df: DataFrame, value_col: str) -> DataFrame:
     return df.select("ts", "server_id", round2_float(value_col).alias(value_col))
 
 
-def _weighted(stats: DataFrame) -> DataFrame:
+def _weighted(stats: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Sums over the m*n pairs of each key: a side's sum and count times the other side's rows (doubles: no overflow)."""
-    return stats.select("ts", "server_id", *[
+    return stats.select("ts", "server_id", *keep, *[
         (F.col(x) * F.col(n).cast("double")).alias(name)
         for name, x, n in (("_as", "a_s", "b_n"), ("_ac", "a_c", "b_n"), ("_bs", "b_s", "a_n"), ("_bc", "b_c", "a_n"))])
 
@@ -46,25 +51,35 @@ def windowed_stats(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
     """Per (server_id, w) aggregate over non-empty windows (warm-up windows included).
 
     Columns: ``server_id, w, _lo`` and ``x_a, x_b`` = the unrounded avg or max.
-    Where windows are whole slides, keys are first summed up per slide bucket, and only the
-    buckets are repeated for their windows; else each key is.
     """
-    spec = job.window.validate()
     fa, fb = job.first.column, job.second.column
-    stats = pair_stats(load_rounded(a, fa), fa, load_rounded(b, fb), fb, job.how)
+    return windows_of_keys(pair_stats(load_rounded(a, fa), fa, load_rounded(b, fb), fb, job.how), job)
+
+
+def windows_of_keys(stats: DataFrame, job: PairJobSpec, flags: tuple[str, ...] = (), expand: int = EXPAND) -> DataFrame:
+    """``windowed_stats`` from the statistics of paired keys.
+
+    Keys are summed up per slide bucket first. Where up to ``expand`` windows hold a bucket, buckets are repeated
+    for their windows; where there are more, or windows aren't whole slides, the aggregate slides over panes
+    (``operators.panes``). ``flags``: columns of which a window gets the largest value.
+    """
+    spec = job.window.validate()
     if job.how == "avg":
-        stats, merge = _weighted(stats), {c: F.sum(c).alias(c) for c in ("_as", "_ac", "_bs", "_bc")}
+        keys, merge = _weighted(stats, flags), {c: F.sum(c) for c in ("_as", "_ac", "_bs", "_bc")}
     else:
-        merge = {c: F.max(c).alias(c) for c in ("a_m", "b_m")}
-    if spec.length_s % spec.slide_s == 0:
-        buckets = (stats.withColumn("_b", slide_index("ts", spec.slide_s)).groupBy("server_id", "_b").agg(*merge.values()))
-        exploded = bucket_windows(buckets, spec)
+        keys, merge = stats, {c: F.max(c) for c in ("a_m", "b_m")}
+    merge |= {c: F.max(c) for c in flags}
+    whole = spec.length_s % spec.slide_s == 0
+    step = spec.slide_s if whole else pane_seconds(spec)
+    buckets = (keys.withColumn("_b", slide_index("ts", step)).groupBy("server_id", "_b").agg(*[agg.alias(c) for c, agg in merge.items()]))
+    if whole and spec.length_s // spec.slide_s <= expand:
+        g = bucket_windows(buckets, spec).groupBy("server_id", "w").agg(*[agg.alias(c) for c, agg in merge.items()], F.min("_b").alias("_lo"))
     else:
-        exploded = assign_windows(stats, spec)
-    g = exploded.groupBy("server_id", "w").agg(*merge.values(), F.min("_b").alias("_lo"))
+        g = sliding(buckets.withColumnRenamed("_b", "_p"), spec, merge, _num_partitions(stats))
+        g = g.withColumn("_lo", F.floor(F.col("_p_lo") * step / spec.slide_s).cast("long"))
     if job.how == "avg":
-        return g.select("server_id", "w", "_lo", F.try_divide("_as", "_ac").alias("x_a"), F.try_divide("_bs", "_bc").alias("x_b"))
-    return g.select("server_id", "w", "_lo", F.col("a_m").alias("x_a"), F.col("b_m").alias("x_b"))
+        return g.select("server_id", "w", "_lo", F.try_divide("_as", "_ac").alias("x_a"), F.try_divide("_bs", "_bc").alias("x_b"), *flags)
+    return g.select("server_id", "w", "_lo", F.col("a_m").alias("x_a"), F.col("b_m").alias("x_b"), *flags)
 
 
 def finish(windowed: DataFrame, job: PairJobSpec, dense: bool = True, sort: bool = True,

@@ -85,7 +85,7 @@ telemetry as (
 )"""
 
 
-def _pair_ctes(a: str, b: str, source: str | None = None) -> str:
+def _pair_ctes(a: str, b: str, source: str | None = None, window: int = WINDOW_SECONDS) -> str:
     """Rounded inputs, pair join, bounds, starts, servers and spine (literal form)."""
     return f"""with {source or TELEMETRY},
   ta as (select ts, server_id, {r2f(a)} as {a} from telemetry),
@@ -99,7 +99,7 @@ def _pair_ctes(a: str, b: str, source: str | None = None) -> str:
       hi, interval {SLIDE_SECONDS} second)) as ws
     from bounds),
   servers as (select distinct server_id from j),
-  spine as (select s.server_id, st.ws, st.ws + interval {WINDOW_SECONDS} second as we
+  spine as (select s.server_id, st.ws, st.ws + interval {window} second as we
             from servers s, starts st)"""
 
 
@@ -110,7 +110,8 @@ def _case(x: str, y: str, tx: float, ty: float, both: str, only_x: str, only_y:
             f"when {Y} > {dbl(ty)} and {X} <= {dbl(tx)} then '{only_y}' end")
 
 
-CPU_MEM_ALERTS = _pair_ctes("cpu_pct", "mem_pct") + f""",
+def _cpu_mem_alerts(window: int = WINDOW_SECONDS) -> str:
+    return _pair_ctes("cpu_pct", "mem_pct", window=window) + f""",
   agg as (
     select sp.server_id, sp.ws, sp.we,
       {r2d('avg(cast(j.cpu_pct as double))')} as avg_cpu,
@@ -123,8 +124,8 @@ select server_id, strftime(ws, '%H:%M:%S') as window_start, strftime(we, '%H:%M:
   {_case('avg_cpu', 'avg_mem', CPU_THRESHOLD, MEM_THRESHOLD, ALERT_CPU_MEM_BOTH, ALERT_CPU_ONLY, ALERT_MEM_ONLY)} as alert
 from agg order by server_id, ws"""
 
-def _net_disk_alerts(source: str | None = None) -> str:
-    return _pair_ctes("net_in", "disk_io", source) + f""",
+def _net_disk_alerts(source: str | None = None, window: int = WINDOW_SECONDS) -> str:
+    return _pair_ctes("net_in", "disk_io", source, window) + f""",
   agg as (
     select sp.server_id, sp.ws, sp.we,
       {r2f('max(j.net_in)')} as max_net_in,
@@ -138,6 +139,7 @@ select server_id, strftime(ws, '%H:%M:%S') as window_start, strftime(we, '%H:%M:
 from agg order by server_id, ws"""
 
 
+CPU_MEM_ALERTS = _cpu_mem_alerts()
 NET_DISK_ALERTS = _net_disk_alerts()
 
 
@@ -415,6 +417,8 @@ def window_sql() -> dict[str, str]:
         "window_spine": WINDOW_SPINE,
         "cpu_mem_windows_nonempty": CPU_MEM_NONEMPTY,
         "net_disk_windows_nonempty": NET_DISK_NONEMPTY,
+        "cpu_mem_alerts_1h": _cpu_mem_alerts(3600),
+        "net_disk_alerts_1h": _net_disk_alerts(window=3600),
         "alert_summary": ALERT_SUMMARY,
         "input_row_counts": INPUT_ROW_COUNTS,
     }

@@ -7,18 +7,19 @@ projection, or ``events`` through the event feed) over their whole extent.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import METRICS
+from ..config import METRICS, WindowSpec
 from ..functions.timefmt import normalise_hms
 from ..operators.messages import decode_messages, split_wide, topic_counts
 from ..sources.feeds import TS_STYLES, event_feed, styled_ts
 from ..sources.telemetry import load_metrics, read_table, wide_text
 from ..config import CPU_MEM_JOB, NET_DISK_JOB
 from . import window_reports as wr
-from .alert_jobs import cpu_mem_alerts, net_disk_alerts
+from .alert_jobs import cpu_mem_alerts, net_disk_alerts, pair_alerts
 from .file_jobs import alerts_via_csv
 from .stream_jobs import consumer_run, topic_alerts, windowed_run
 from .ingest_jobs import (
@@ -80,6 +81,19 @@ def q_net_disk_windows_nonempty(spark, sf_dir):
     return wr.nonempty_windows(*_pair(spark, sf_dir, NET_DISK_JOB))
 
 
+HOUR = WindowSpec(length_s=3600, slide_s=10)      # 360 windows hold each sample
+
+
+def q_cpu_mem_alerts_1h(spark, sf_dir):
+    a, b, job = _pair(spark, sf_dir, CPU_MEM_JOB)
+    return pair_alerts(a, b, replace(job, window=HOUR))
+
+
+def q_net_disk_alerts_1h(spark, sf_dir):
+    a, b, job = _pair(spark, sf_dir, NET_DISK_JOB)
+    return pair_alerts(a, b, replace(job, window=HOUR))
+
+
 def q_alert_summary(spark, sf_dir):
     return wr.alert_summary({"cpu_mem": q_cpu_mem_alerts(spark, sf_dir),
                              "net_disk": q_net_disk_alerts(spark, sf_dir)})
@@ -207,6 +221,8 @@ def all_queries() -> dict[str, Query]:
         "window_spine": q_window_spine,
         "cpu_mem_windows_nonempty": q_cpu_mem_windows_nonempty,
         "net_disk_windows_nonempty": q_net_disk_windows_nonempty,
+        "cpu_mem_alerts_1h": q_cpu_mem_alerts_1h,
+        "net_disk_alerts_1h": q_net_disk_alerts_1h,
         "alert_summary": q_alert_summary,
         "input_row_counts": q_input_row_counts,
         "cpu_mem_alerts_via_csv": q_cpu_mem_alerts_via_csv,
