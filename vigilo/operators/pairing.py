@@ -14,7 +14,7 @@ exactly like the inner join drops them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEYS = ("ts", "server_id")
@@ -33,8 +33,8 @@ def _side(df: DataFrame, value_col: str, side: int) -> DataFrame:
     ).where(F.col("ts").isNotNull() & F.col("server_id").isNotNull())
 
 
-def pair_stats(a: DataFrame, a_col: str, b: DataFrame, b_col: str, how: str = "avg") -> DataFrame:
-    """Per-key statistics of both sides, one row per ``(ts, server_id)`` on both sides.
+def key_partials(a: DataFrame, a_col: str, b: DataFrame, b_col: str, how: str = "avg") -> DataFrame:
+    """Per-key statistics of both sides, one row per ``(ts, server_id)`` on either side; see ``merge_partials``.
 
     Columns: ``ts, server_id, a_n, b_n`` plus ``a_s, a_c, b_s, b_c`` for
     ``how="avg"`` or ``a_m, b_m`` for ``how="max"``.
@@ -50,5 +50,20 @@ def pair_stats(a: DataFrame, a_col: str, b: DataFrame, b_col: str, how: str = "a
             aggs += [F.sum(mine.cast("double")).alias(f"{tag}_s"), F.count(mine).alias(f"{tag}_c")]
         else:
             aggs += [F.max(mine).alias(f"{tag}_m")]
-    return (u.groupBy(*KEYS).agg(*aggs)
-            .where((F.col("a_n") > 0) & (F.col("b_n") > 0)))
+    return u.groupBy(*KEYS).agg(*aggs)
+
+
+def merge_partials(partials: DataFrame, how: str, *more: Column) -> DataFrame:
+    """Partials of several batches of rows as those of all the rows: counts and sums add up, maxima are maxima."""
+    columns = ("a_n", "b_n", "a_s", "a_c", "b_s", "b_c") if how == "avg" else ("a_n", "b_n", "a_m", "b_m")
+    return partials.groupBy(*KEYS).agg(*[(F.max if c.endswith("_m") else F.sum)(c).alias(c) for c in columns], *more)
+
+
+def on_both_sides(partials: DataFrame) -> DataFrame:
+    """The keys that the inner join keeps."""
+    return partials.where((F.col("a_n") > 0) & (F.col("b_n") > 0))
+
+
+def pair_stats(a: DataFrame, a_col: str, b: DataFrame, b_col: str, how: str = "avg") -> DataFrame:
+    """``key_partials`` of the keys on both sides."""
+    return on_both_sides(key_partials(a, a_col, b, b_col, how))

@@ -437,6 +437,13 @@ telemetry as (
 )"""
 
 
+STREAM_PROGRESS_TOTALS = f"""with s as ({CPU_MEM_STATUS}),
+  t as (select count(*) as processed, count(*) filter (where is_alert) as alerts, count(distinct topic) as topics_seen from s)
+select processed, alerts, processed as total, cast(topics_seen as integer) as topics_seen,
+  'Processed ' || processed || ' total messages | Avg per topic ≈ ' || printf('%.2f', cast(processed as double) / greatest(topics_seen, 1)) as line
+from t"""
+
+
 def file_sql() -> dict[str, str]:
     return {
         "cpu_mem_alerts_via_csv": CPU_MEM_ALERTS,
@@ -448,6 +455,10 @@ def file_sql() -> dict[str, str]:
         "stream_net_disk_windows": NET_DISK_NONEMPTY,
         "stream_topics_cpu_mem_alerts": CPU_MEM_ALERTS,
         "stream_topics_net_disk_alerts": _net_disk_alerts(TELEMETRY_FROM_TEXT),
+        "incremental_cpu_mem_alerts": CPU_MEM_ALERTS,
+        "incremental_net_disk_alerts": NET_DISK_ALERTS,
+        "stream_late_corrected": CPU_MEM_ALERTS,
+        "stream_progress_totals": STREAM_PROGRESS_TOTALS,
     }
 
 

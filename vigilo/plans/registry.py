@@ -21,7 +21,9 @@ from ..config import CPU_MEM_JOB, NET_DISK_JOB
 from . import window_reports as wr
 from .alert_jobs import cpu_mem_alerts, net_disk_alerts, pair_alerts
 from .file_jobs import alerts_via_csv
-from .stream_jobs import consumer_run, topic_alerts, windowed_run
+from ..session import scratch_path
+from .incremental import in_batches
+from .stream_jobs import consumer_progress, consumer_run, corrected_run, topic_alerts, windowed_run
 from .ingest_jobs import (
     CONSUMER_1, CONSUMER_2, STATUS_COLUMNS, alert_totals, consume, processed_counts,
     progress_snapshot, reject_table,
@@ -209,6 +211,22 @@ def q_stream_topics_net_disk_alerts(spark, sf_dir):
     return topic_alerts(spark, read_table(spark, sf_dir, "lineitem"), NET_DISK_JOB, "csv")
 
 
+def q_incremental_cpu_mem_alerts(spark, sf_dir):
+    return in_batches(spark, *_pair(spark, sf_dir, CPU_MEM_JOB), scratch_path(spark, "store"))
+
+
+def q_incremental_net_disk_alerts(spark, sf_dir):
+    return in_batches(spark, *_pair(spark, sf_dir, NET_DISK_JOB), scratch_path(spark, "store"))
+
+
+def q_stream_late_corrected(spark, sf_dir):
+    return corrected_run(spark, *_pair(spark, sf_dir, CPU_MEM_JOB))
+
+
+def q_stream_progress_totals(spark, sf_dir):
+    return consumer_progress(spark, read_table(spark, sf_dir, "lineitem"), CONSUMER_1).select("processed", "alerts", "total", "topics_seen", "line")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "cpu_mem_alerts": q_cpu_mem_alerts,
@@ -247,4 +265,8 @@ def all_queries() -> dict[str, Query]:
         "stream_net_disk_windows": q_stream_net_disk_windows,
         "stream_topics_cpu_mem_alerts": q_stream_topics_cpu_mem_alerts,
         "stream_topics_net_disk_alerts": q_stream_topics_net_disk_alerts,
+        "incremental_cpu_mem_alerts": q_incremental_cpu_mem_alerts,
+        "incremental_net_disk_alerts": q_incremental_net_disk_alerts,
+        "stream_late_corrected": q_stream_late_corrected,
+        "stream_progress_totals": q_stream_progress_totals,
     }

@@ -14,9 +14,10 @@ from ..operators.messages import split_wide
 from ..session import scratch_path
 from ..sources.files import publish_messages
 from ..sources.telemetry import wide_text
-from ..streaming.consumer import message_file_stream, read_consumer_output, read_metric_table, start_consumer
+from ..streaming.consumer import message_file_stream, progress_totals, read_consumer_output, read_metric_table, start_consumer
 from ..streaming.windows import HEARTBEAT_SERVER, late_rows, read_windowed, start_windowed_alerts
 from .alert_jobs import finish, pair_alerts
+from .incremental import AlertStore, start_corrected_alerts
 
 HEARTBEATS = 3
 SLICE_SECONDS = 60           # a feed arrives in slices of so much event time
@@ -43,12 +44,38 @@ def consumer_run(spark: SparkSession, lineitem: DataFrame, metrics: tuple[Metric
     return read_consumer_output(spark, _consume(spark, lineitem, metrics, fmt))
 
 
+def consumer_progress(spark: SparkSession, lineitem: DataFrame, metrics: tuple[MetricSpec, ...], fmt: str = "json") -> DataFrame:
+    """The last of the running totals that a consumer stream committed batch by batch; `alerts` over all batches."""
+    out = _consume(spark, lineitem, metrics, fmt)
+    totals = progress_totals(spark, out)
+    # one row a batch, and one consumer
+    return totals.agg(F.sum("processed").alias("processed"), F.sum("alerts").alias("alerts"),
+                      F.max_by(F.struct("total", "topics_seen", "line"), "batch_id").alias("t")).select("processed", "alerts", "t.*")
+
+
 def topic_alerts(spark: SparkSession, lineitem: DataFrame, job: PairJobSpec, fmt: str = "json") -> DataFrame:
     """Topics → consumer stream → per-topic typed tables → the windowed job."""
     out = _consume(spark, lineitem, (job.first, job.second), fmt)
     return pair_alerts(*(read_metric_table(spark, out, m) for m in (job.first, job.second)), job)
 
 
+LATE_SHARE = 100            # one row in so many arrives after all others
+
+
+def corrected_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSpec, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Two metric feeds, a hundredth of the rows published last → the stream that corrects its windows → the result table."""
+    work = scratch_path(spark, f"corrected-{job.label.lower()}")
+    late = F.pmod(F.xxhash64("ts", "server_id"), F.lit(LATE_SHARE)) == 0
+    feeds = []
+    for k, (df, m) in {"a": (a, job.first), "b": (b, job.second)}.items():
+        df = df.select("ts", "server_id", m.column)
+        for part in (df.where(~late), df.where(late)):
+            part.write.mode("append").parquet(f"{work}/{k}")
+        feeds.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{work}/{k}"))
+    start_corrected_alerts(*feeds, job, f"{work}/store", f"{work}/checkpoint", available_now=True).awaitTermination()
+    return AlertStore(spark, f"{work}/store", job).alerts()
+
+
 def _heartbeat(staged: DataFrame, value_cols: list[str], i: int) -> DataFrame:
     """One row ``i`` hours past the feed's last sample, on the reserved heartbeat server."""
     return staged.agg(F.max("ts").alias("ts")).select(

@@ -6,19 +6,19 @@ attaches per-message status and appends accepted rows and rejects. The
 checkpoint replaces the consumer group's committed offsets: a restarted query
 resumes where it stopped.
 
-A micro-batch is one write, ``run=<query id>/batch_id=<n>/kind=<accepted or
-rejected>/topic=<topic>``, with overwrite: a batch replayed after a failure
-replaces its own earlier attempt, and a consumer started from another
-checkpoint never touches rows of an earlier one. ``read_metric_table`` gives
-a topic's typed table (partitions of other topics are not read), which the
-windowed jobs scan; ``progress_totals`` the running totals.
+A micro-batch is one commit of ``sources.commits`` under the stream's id, below ``rows``: readers see all of
+it or nothing, a batch replayed after a failure replaces its own earlier attempt for them at once, a
+consumer started from another checkpoint never touches rows of an earlier one, and old batches are merged,
+so files stay few. ``read_metric_table`` gives a topic's typed table (partitions of other topics are not
+read), which the windowed jobs scan. Each batch also commits a row a topic below ``counters``, taken while
+the batch was written; ``progress_totals`` adds those up and reads no messages.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,6 +26,7 @@ from ..config import METRICS, PROGRESS_FORMAT, MetricSpec
 from ..functions.metrics import format_columns, over_threshold
 from ..operators.messages import decode_messages, typed_table, with_status
 from ..schemas import MESSAGES
+from ..sources.commits import CommittedTable
 
 FILES_PER_TRIGGER = 256      # bounds a micro-batch, the first one over a backlog too
 
@@ -64,12 +65,32 @@ def progress_line(observed: dict) -> str:
     return PROGRESS_FORMAT.format(total=total, avg=total / max(len(per_topic), 1))
 
 
+def output_table(spark: SparkSession, out_dir: str) -> CommittedTable:
+    """Decoded messages with their status, by ``kind`` (accepted or rejected) and topic."""
+    return CommittedTable(spark, f"{out_dir}/rows", ("kind", "topic"))
+
+
+def counter_table(spark: SparkSession, out_dir: str) -> CommittedTable:
+    """``run, batch_id, topic, processed, alerts``: a row for each topic that a batch had accepted messages of."""
+    return CommittedTable(spark, f"{out_dir}/counters")
+
+
 def _batch_writer(out_dir: str, metrics: tuple[MetricSpec, ...]):
     def write(batch: DataFrame, batch_id: int) -> None:
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")   # kept by the checkpoint
+        spark = batch.sparkSession
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")   # kept by the checkpoint
+        rows, counters = output_table(spark, out_dir), counter_table(spark, out_dir)
+        if rows.is_merged(batch_id, run):
+            return
         kind = F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
-        (with_status(batch.where(~F.col("skipped")), metrics).drop("skipped").withColumn("kind", kind)
-         .write.mode("overwrite").partitionBy("kind", "topic").parquet(f"{out_dir}/run={run}/batch_id={batch_id}"))
+        out = with_status(batch.where(~F.col("skipped")), metrics).drop("skipped").withColumn("kind", kind)
+        seen = Observation()
+        mine = {m.topic: (F.col("kind") == "accepted") & (F.col("topic") == m.topic) for m in metrics}
+        rows.commit(out.observe(seen, *[F.count_if(c).alias(f"processed {t}") for t, c in mine.items()],
+                                *[F.count_if(c & F.col("is_alert")).alias(f"alerts {t}") for t, c in mine.items()]), batch_id, run)
+        n = seen.get
+        counted = [(run, batch_id, t, n[f"processed {t}"], n[f"alerts {t}"]) for t in mine if n[f"processed {t}"]]
+        counters.commit(spark.createDataFrame(counted, "run string, batch_id long, topic string, processed long, alerts long"), batch_id, run)
     return write
 
 
@@ -91,8 +112,8 @@ def start_consumer(messages: DataFrame, out_dir: str, checkpoint: str, metrics:
 
 
 def read_consumer_output(spark: SparkSession, out_dir: str, kind: str = "accepted") -> DataFrame:
-    """Batch view of a consumer's appended output (``accepted`` or ``rejected``)."""
-    return spark.read.parquet(out_dir).where(F.col("kind") == kind).drop("run", "batch_id", "kind")
+    """Batch view of a consumer's output (``accepted`` or ``rejected``) as committed now."""
+    return output_table(spark, out_dir).read().where(F.col("kind") == kind).drop("kind")
 
 
 def read_metric_table(spark: SparkSession, out_dir: str, metric: MetricSpec) -> DataFrame:
@@ -105,13 +126,11 @@ def read_metric_table(spark: SparkSession, out_dir: str, metric: MetricSpec) ->
 def progress_totals(spark: SparkSession, out_dir: str) -> DataFrame:
     """Totals after each micro-batch: ``batch_id, processed, alerts, total, topics_seen, line`` (the progress line).
 
-    Counted from what the batches wrote, so they survive restarts; one row a batch of a run. Topics seen are those
+    Added up from the counters that the batches committed, so they survive restarts; one row a batch of a run. Topics seen are those
     of the run so far.
     """
-    rows = spark.read.parquet(out_dir).where(F.col("kind") == "accepted")
-    per_topic = rows.groupBy("run", "batch_id", "topic").agg(F.count("*").alias("n"), F.count_if("is_alert").alias("alerts"))
-    batches = per_topic.groupBy("run", "batch_id").agg(F.sum("n").alias("processed"), F.sum("alerts").alias("alerts"),
-                                                       F.collect_set("topic").alias("topics"))    # topics: one a metric at most
+    batches = counter_table(spark, out_dir).read().groupBy("run", "batch_id").agg(
+        F.sum("processed").alias("processed"), F.sum("alerts").alias("alerts"), F.collect_set("topic").alias("topics"))  # topics: one a metric at most
     so_far = Window.partitionBy("run").orderBy("batch_id")
     seen = F.size(F.array_distinct(F.flatten(F.collect_list("topics").over(so_far))))
     out = batches.select("run", "batch_id", "processed", "alerts", F.sum("processed").over(so_far).alias("total"), seen.alias("topics_seen"))
