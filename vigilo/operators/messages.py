@@ -18,16 +18,11 @@ from pyspark.sql import functions as F
 
 from ..config import FIGURE_FORMAT, FIGURE_SEPARATOR, METRICS, STATUS_LINE_FORMAT, MetricSpec
 from ..functions.metrics import double_text, format_columns, over_threshold, status_text
+from ..functions.pyjson import is_falsy, nested_text, number, number_text
 from ..functions.timefmt import parse_ts_text, with_normalised_hms
 
 FORMATS = ("json", "csv")
 
-# JSON texts that decode to a falsy value; the consumers skip them silently.
-FALSY_JSON = ("{}", "[]", "0", "0.0", "-0", "null", "false", '""')
-
-# What Python's float() reads, apart from digits beyond ASCII.
-FLOAT_TEXT = (r"(?i)^\s*[+-]?(?:(?:\d(?:_?\d)*\.?(?:\d(?:_?\d)*)?|\.\d(?:_?\d)*)(?:e[+-]?\d(?:_?\d)*)?"
-              r"|inf(?:inity)?|nan)\s*$")
 # Put behind each message before the parse: it is found there only if the message is one whole JSON value.
 _END = "$end"
 
@@ -79,84 +74,95 @@ def _route(topic: Column, attr: str, metrics: Iterable[MetricSpec], cast=None) -
     return expr
 
 
-def _number(text: Column) -> Column:
-    """Double of text that Python's float() reads, else NULL."""
-    return F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
-
-
 def _with_object(messages: DataFrame, value: Column) -> DataFrame:
     """``_parsed``: top-level fields of a message that is one JSON object and nothing else, else NULL.
 
     One parse a message: the array is a column of its own that the next projection reads.
     """
-    wrapped = F.concat(F.lit("["), value, F.lit(f',{{"{_END}":""}}]'))
-    both = F.from_json(wrapped, "array<map<string,string>>", {"allowSingleQuotes": "false"})
+    both = F.from_json(_wrapped(value), "array<map<string,string>>", {"allowSingleQuotes": "false"})
     b = F.col("_both")
     whole = (F.size(b) == 2) & F.map_contains_key(F.get(b, F.lit(1)), F.lit(_END)) & F.is_valid_utf8(value)
     return messages.withColumn("_both", both).withColumn("_parsed", F.when(whole, F.get(b, F.lit(0)))).drop("_both")
 
 
-def _json_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Column]:
-    m = F.col("_parsed")      # made once upstream by _with_object
-    topic = F.col("topic")
+def _wrapped(value: Column) -> Column:
+    return F.concat(F.lit("["), value, F.lit(f',{{"{_END}":""}}]'))
 
-    def text(key: str) -> Column:
-        # str(v.get(key, "")): missing -> "", JSON null -> "None", JSON true/false -> "True"/"False"
-        raw = m[key]
-        return (F.when(~F.map_contains_key(m, F.lit(key)), F.lit(""))
-                .when(F.array_contains(F.col("_bool_keys"), F.lit(key)), F.initcap(raw))
-                .otherwise(F.coalesce(raw, F.lit("None"))))
-
-    def as_bool_number(key: Column) -> Column:
-        # JSON true/false read as 1.0/0.0 (a *string* "true" stays a bad number). The map
-        # cannot tell the two apart; "_typed" holds a typed (variant) parse, made upstream
-        # only for messages that carry such a value.
-        return F.try_variant_get(F.element_at(F.col("_typed"), key), "$", "double")
-
-    def number(key: Column) -> tuple[Column, Column]:
-        present = F.map_contains_key(m, key)
-        raw = F.element_at(m, key)
-        # the map shows the JSON words NaN and Infinity in quotes
-        unquoted = F.when(raw.isin('"NaN"', '"Infinity"', '"-Infinity"'), F.btrim(raw, F.lit('"'))).otherwise(raw)
-        num = (F.when(~present, F.lit(0.0))
-               .when(raw.isin("true", "false"), as_bool_number(key))
-               .otherwise(_number(unquoted)))
-        bad = present & num.isNull()
-        return num, bad
-
-    v1, bad1 = number(_route(topic, "column", metrics))
+
+def _with_json_fields(df: DataFrame, value: Column, metrics: tuple[MetricSpec, ...]) -> DataFrame:
+    """The top-level fields that count, looked up once each: of repeated keys the last.
+
+    ``_ts, _server, _one, _two``: the parser's text of the field (NULL: JSON null or missing), ``_at_*``: its place among
+    the keys from the end, 0 where it is missing. ``_types``: JSON types by key, by a second parse that is made only
+    for messages one of whose fields reads alike as a string and as something else. That parse takes no repeated
+    keys; in messages with such, what reads like something else than a string counts as that.
+    """
+    topic = F.col("topic")
     extra = {m.topic: m.extra_columns[0] for m in metrics if m.extra_columns}
-    if extra:
-        k2 = None
-        for t, c in extra.items():
-            k2 = F.when(topic == t, F.lit(c)) if k2 is None else k2.when(topic == t, F.lit(c))
-        n2, b2 = number(k2)
-        v2 = F.when(k2.isNotNull(), n2)
-        bad2 = k2.isNotNull() & b2
-    else:
-        v2, bad2 = F.lit(None).cast("double"), F.lit(False)
-    trimmed = F.trim(value)
-    skip = (m.isNull() & trimmed.isin(*FALSY_JSON)) | (F.size(m) == 0)
-    reason = (F.when(value.isNull(), F.lit(REASON_NULL))
-              .when(skip, F.lit(None))
-              .when(m.isNull(), F.lit(REASON_MALFORMED))
-              .when(bad1 | bad2, F.lit(REASON_BAD_NUMBER)))
-    return {"ts_text": text("ts"), "server_id": text("server_id"), "value": v1, "value2": v2,
-            "skip": F.coalesce(skip, F.lit(False)), "reason": reason}
+    second = F.lit(None).cast("string")
+    for t, c in extra.items():
+        second = F.when(topic == t, F.lit(c)).otherwise(second)
+    df = _with_object(df, value)
+    df = df.withColumns({"_keys": F.reverse(F.map_keys("_parsed")), "_values": F.reverse(F.map_values("_parsed")),
+                         "_n": F.size("_parsed"), "_first": _route(topic, "column", metrics), "_second": second})
+    keys = {"ts": F.lit("ts"), "server": F.lit("server_id"), "one": F.col("_first"), "two": F.col("_second")}
+    df = df.withColumns({f"_at_{k}": F.coalesce(F.array_position("_keys", c), F.lit(0)).cast("int") for k, c in keys.items()})
+    df = df.withColumns({f"_{k}": F.get("_values", F.col(f"_at_{k}") - 1) for k in keys})
+
+    def word_or_nested(c: str) -> Column:
+        return F.col(c).isin("true", "false") | F.ascii(c).isin(34, 91, 123)       # a quote or an opening bracket
+
+    def like_number(c: str) -> Column:
+        return (F.ascii(c).between(48, 57) | (F.ascii(c) == 45)) & ~F.contains(c, F.lit(":"))
+    unsure = (word_or_nested("_ts") | word_or_nested("_server") | word_or_nested("_one") | word_or_nested("_two")
+              | like_number("_ts") | like_number("_server"))
+    typed = F.try_variant_get(F.try_parse_json(value), "$", "map<string,variant>")
+    df = df.withColumn("_unsure", F.coalesce(unsure, F.lit(False)))
+    return df.withColumn("_types", F.when(F.col("_unsure"), F.transform_values(typed, lambda k, v: F.schema_of_variant(v))))
+
+
+def _json_fields(value: Column) -> dict[str, Column]:
+    def text(name: str, key: str) -> Column:
+        # str(v.get(key, "")): missing -> "", JSON null -> "None", true/false -> "True"/"False", lists and objects as Python prints them
+        raw, kind = F.col(f"_{name}"), F.element_at("_types", F.lit(key))
+        other = (F.when(F.ascii(raw).isin(91, 123), nested_text(raw))
+                 .when(raw.isin("true", "false"), F.initcap(raw))
+                 .when((F.ascii(raw) == 34) | raw.try_cast("double").isNotNull(), number_text(raw)))
+        return (F.when(F.col(f"_at_{name}") == 0, F.lit(""))
+                .when(raw.isNull(), F.lit("None"))
+                .when(~F.col("_unsure") | (kind == "STRING"), raw)
+                .otherwise(F.coalesce(other, raw)))
+
+    def figure(name: str, key: str) -> Column:
+        # float(v.get(key, 0)): JSON true/false are 1.0/0.0, the words NaN and Infinity (in the parser's quotes) numbers
+        raw, kind = F.col(f"_{name}"), F.element_at("_types", F.col(key))
+        other = F.when(raw == "true", F.lit(1.0)).when(raw == "false", F.lit(0.0)).when(
+            raw.isin('"NaN"', '"Infinity"', '"-Infinity"'), F.btrim(raw, F.lit('"')).try_cast("double"))
+        return (F.when(F.col(f"_at_{name}") == 0, F.lit(0.0))
+                .when((raw.isin("true", "false") | (F.ascii(raw) == 34)), F.when(F.coalesce(kind != "STRING", F.lit(True)), other))
+                .otherwise(number(raw)))
+
+    return {"ts_text": text("ts", "ts"), "server_id": text("server", "server_id"), "value": figure("one", "_first"),
+            "value2": F.when(F.col("_second").isNotNull(), figure("two", "_second")),
+            "skip": F.coalesce(F.when(F.col("_n") >= 0, F.col("_n") == 0).otherwise(is_falsy(value)), F.lit(False))}
+
+
+def _json_reason(value: Column) -> Column:
+    bad = F.col("_f.value").isNull() | (F.col("_second").isNotNull() & F.col("_f.value2").isNull())
+    return (F.when(value.isNull(), F.lit(REASON_NULL)).when(F.col("_f.skip"), F.lit(None))
+            .when(F.col("_parsed").isNull(), F.lit(REASON_MALFORMED)).when(bad, F.lit(REASON_BAD_NUMBER)))
 
 
 def _csv_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Column]:
     parts = F.col("_parsed")  # split(value, ","), computed once upstream
-    topic = F.col("topic")
-    want = _route(topic, "extra_columns", metrics, cast=lambda ex: 3 + len(ex))
-    v1 = _number(F.get(parts, 2))
-    has2 = want == 4
-    v2 = F.when(has2, _number(F.get(parts, 3)))
-    reason = (F.when(value.isNull(), F.lit(REASON_NULL))
-              .when(F.size(parts) != want, F.lit(REASON_FIELD_COUNT))
-              .when(v1.isNull() | (has2 & v2.isNull()), F.lit(REASON_BAD_NUMBER)))
-    return {"ts_text": F.get(parts, 0), "server_id": F.get(parts, 1), "value": v1, "value2": v2,
-            "skip": F.lit(False), "reason": reason}
+    want = _route(F.col("topic"), "extra_columns", metrics, cast=lambda ex: 3 + len(ex))
+    return {"ts_text": F.get(parts, 0), "server_id": F.get(parts, 1), "value": number(F.get(parts, 2)),
+            "value2": F.when(want == 4, number(F.get(parts, 3))), "skip": F.lit(False), "want": want}
+
+
+def _csv_reason(value: Column) -> Column:
+    return (F.when(value.isNull(), F.lit(REASON_NULL)).when(F.size("_parsed") != F.col("_f.want"), F.lit(REASON_FIELD_COUNT))
+            .when(F.col("_f.value").isNull() | ((F.col("_f.want") == 4) & F.col("_f.value2").isNull()), F.lit(REASON_BAD_NUMBER)))
 
 
 def decode_messages(messages: DataFrame, fmt: str = "json", metrics: Iterable[MetricSpec] = METRICS,
@@ -173,26 +179,21 @@ def decode_messages(messages: DataFrame, fmt: str = "json", metrics: Iterable[Me
     metrics = tuple(metrics)
     topics = [m.topic for m in metrics]
     value = F.col("value").cast("string")
-    if fmt == "json":
-        f = _json_fields(value, metrics)
-    elif fmt == "csv":
-        f = _csv_fields(value, metrics)
-    else:
+    if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, got {fmt!r}")
-    metric = _route(F.col("topic"), "name", metrics)
-    # Parse once into a column; every field below reads that column.
     df = messages.where(F.col("topic").isin(*topics))
-    df = _with_object(df, value) if fmt == "json" else df.withColumn("_parsed", F.split(value, ",", -1))
     if fmt == "json":
-        maybe_bool = F.exists(F.map_values("_parsed"), lambda x: x.isin("true", "false"))
-        df = df.withColumn("_typed", F.when(maybe_bool, F.try_variant_get(
-            F.try_parse_json(value), "$", "map<string,variant>")))
-        df = df.withColumn("_bool_keys", F.when(maybe_bool, F.map_keys(F.map_filter(
-            "_typed", lambda k, v: F.schema_of_variant(v) == F.lit("BOOLEAN")))))
-    # A generator of one row: conditions on the decoded fields stay above it, so nothing is parsed again to filter.
-    row = F.struct(metric.alias("metric"), f["ts_text"].alias("ts_text"), f["server_id"].alias("server_id_"),
-                   f["value"].alias("value_"), f["value2"].alias("value2"), f["skip"].alias("skipped"),
-                   f["reason"].alias("reason"))
+        df = _with_json_fields(df, value, metrics)
+        fields, reason = _json_fields(value), _json_reason(value)
+    else:
+        df = df.withColumn("_parsed", F.split(value, ",", -1))
+        fields, reason = _csv_fields(value, metrics), _csv_reason(value)
+    # Each figure is read once, into a struct; the reason reads that. A generator of one row behind it: conditions
+    # on the decoded fields stay above, so nothing is parsed again to filter.
+    df = df.withColumn("_f", F.struct(*[c.alias(n) for n, c in fields.items()]))
+    row = F.struct(_route(F.col("topic"), "name", metrics).alias("metric"), F.col("_f.ts_text").alias("ts_text"),
+                   F.col("_f.server_id").alias("server_id_"), F.col("_f.value").alias("value_"), F.col("_f.value2").alias("value2"),
+                   F.col("_f.skip").alias("skipped"), reason.alias("reason"))
     df = df.select(*messages.columns, F.inline(F.array(row)))
     df = with_normalised_hms(df, "ts_text", "ts")
     df = df.withColumn("event_ts", parse_ts_text("ts_text", base_date))
