@@ -290,7 +290,9 @@ fm as (
 acc as (
   select event_id as "offset", topic, metric,
     case when kind = 'props' then '' else styled end as ts_text,
-    case when kind = 'props' then '' else server end as server_id,
+    case when kind = 'props' then ''
+         when event_type = 'click' and user_id % 7 = 3 then '[''' || server || ''', {{''a'': 1.5, ''b'': None}}, True]'
+         else server end as server_id,
     case when kind = 'props' then 0.0 else value end as value,
     case when has2 then (case when kind = 'props' then 0.0 else value end) end as value2
   from fm where kind in ('normal', 'props'))"""

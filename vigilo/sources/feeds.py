@@ -37,6 +37,10 @@ def styled_ts(ts: Column, selector: Column) -> Column:
     return expr
 
 
+# Fixed spellings of falsy JSON values, which the consumers skip, selected by user_id / 3 % 8.
+FALSY = ("{}", "[ ]", "0.00", "-0.0", "0e5", "\n[]", " false", "{ }")
+
+
 def wide_messages(lineitem: DataFrame, fmt: str = "json") -> DataFrame:
     return split_wide(wide_text(lineitem), fmt)
 
@@ -49,12 +53,13 @@ def event_feed(events: DataFrame) -> DataFrame:
     """Kafka-shaped ``topic, value, offset, timestamp`` rows, one per event.
 
     topic = the four metric topics by ``event_id % 4``; the payload by event type:
-    click → normal object with a JSON number; view → ``{}`` when ``user_id % 3 = 0``
+    click → normal object with a JSON number; view → one of ``FALSY`` when ``user_id % 3 = 0``
     else normal; signup → the event's ``props`` object (no metric keys);
     purchase → number sent as a string when ``user_id`` is even, else JSON null;
     error → by ``user_id % 4`` the normal object cut short by one character, with text behind it, in
     single quotes (all malformed), or with the number as text with a type letter (``"1.5f"``, a bad number).
-    Clicks of ``user_id % 7`` 0 and 1 carry the value times and divided by a million.
+    Clicks of ``user_id % 7`` 0 and 1 carry the value times and divided by a million; those of 2 hold each key twice, other
+    values first; those of 3 have a list as their server.
 
     Built in staged projections (key names, value text, object) so that no
     expression is repeated inside another.
@@ -80,14 +85,19 @@ def event_feed(events: DataFrame) -> DataFrame:
          .when(uid % 2 == 0, _quoted(num))
          .otherwise(F.lit("null")))
     df = df.withColumn("_v", v)
+    listed = F.concat(F.lit("["), _quoted(F.col("_server")), F.lit(', {"a": 1.50, "b": null}, true]'))
+    server = F.when((etype == "click") & (uid % 7 == 3), listed).otherwise(_quoted(F.col("_server")))
+    twice = F.concat(F.lit('{"ts":"x","server_id":null,"'), F.col("_key"), F.lit('":-1,"ts":'))
     obj = F.concat(
-        F.lit('{"ts":'), _quoted(F.col("_ts")), F.lit(',"server_id":'), _quoted(F.col("_server")),
+        F.when((etype == "click") & (uid % 7 == 2), twice).otherwise(F.lit('{"ts":')), _quoted(F.col("_ts")),
+        F.lit(',"server_id":'), server,
         F.lit(',"'), F.col("_key"), F.lit('":'), F.col("_v"),
         F.coalesce(F.concat(F.lit(',"'), F.col("_key2"), F.lit('":'), F.col("_v")), F.lit("")),
         F.lit("}"))
     df = df.withColumn("_obj", obj)
     o = F.col("_obj")
-    value = (F.when(etype == "view", F.when(uid % 3 == 0, F.lit("{}")).otherwise(o))
+    value = (F.when(etype == "view", F.when(uid % 3 == 0, F.element_at(
+                F.array(*map(F.lit, FALSY)), (F.floor(uid / 3) % len(FALSY) + 1).cast("int"))).otherwise(o))
              .when(etype == "signup", F.col("props"))
              .when((etype == "error") & (uid % 4 == 0), F.expr("substring(_obj, 1, length(_obj) - 1)"))
              .when((etype == "error") & (uid % 4 == 1), F.concat(o, F.lit(" trailing")))
