@@ -446,6 +446,10 @@ select processed, alerts, processed as total, cast(topics_seen as integer) as to
 from t"""
 
 
+OFFSET_LEDGER = f"""with {WIDE}, s as ({_split('csv')}), n as (select topic, count(*) as n from s group by topic)
+select {_CONSUMER} as consumer, topic, n as taken, n as offsets, cast(0 as bigint) as first_offset, n - 1 as last_offset, n as next_offset from n"""
+
+
 def file_sql() -> dict[str, str]:
     return {
         "cpu_mem_alerts_via_csv": CPU_MEM_ALERTS,
@@ -461,6 +465,7 @@ def file_sql() -> dict[str, str]:
         "incremental_net_disk_alerts": NET_DISK_ALERTS,
         "stream_late_corrected": CPU_MEM_ALERTS,
         "stream_progress_totals": STREAM_PROGRESS_TOTALS,
+        "offset_ledger": OFFSET_LEDGER,
     }
 
 

@@ -16,6 +16,7 @@ from ..config import METRICS, WindowSpec
 from ..functions.timefmt import normalise_hms
 from ..operators.messages import decode_messages, split_wide, topic_counts
 from ..sources.feeds import TS_STYLES, event_feed, styled_ts
+from ..sources.offsets import offset_ledger
 from ..sources.telemetry import load_metrics, read_table, wide_text
 from ..config import CPU_MEM_JOB, NET_DISK_JOB
 from . import window_reports as wr
@@ -25,7 +26,7 @@ from ..session import scratch_path
 from .incremental import in_batches
 from .stream_jobs import consumer_progress, consumer_run, corrected_run, topic_alerts, windowed_run
 from .ingest_jobs import (
-    CONSUMER_1, CONSUMER_2, STATUS_COLUMNS, alert_totals, consume, processed_counts,
+    CONSUMER_1, CONSUMER_2, CONSUMERS, STATUS_COLUMNS, alert_totals, consume, processed_counts,
     progress_snapshot, reject_table,
 )
 
@@ -227,6 +228,11 @@ def q_stream_progress_totals(spark, sf_dir):
     return consumer_progress(spark, read_table(spark, sf_dir, "lineitem"), CONSUMER_1).select("processed", "alerts", "total", "topics_seen", "line")
 
 
+def q_offset_ledger(spark, sf_dir):
+    groups = {name: tuple(m.topic for m in metrics) for name, metrics in CONSUMERS.items()}
+    return offset_ledger(spark, split_wide(_wide(spark, sf_dir), "csv"), groups, scratch_path(spark, "topics"), most=1000)
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "cpu_mem_alerts": q_cpu_mem_alerts,
@@ -269,4 +275,5 @@ def all_queries() -> dict[str, Query]:
         "incremental_net_disk_alerts": q_incremental_net_disk_alerts,
         "stream_late_corrected": q_stream_late_corrected,
         "stream_progress_totals": q_stream_progress_totals,
+        "offset_ledger": q_offset_ledger,
     }
