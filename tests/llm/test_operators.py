@@ -281,6 +281,61 @@ def test_mixed_languages_are_kept(spark):
     assert sum(x.num_rows for x in unsure.kept_rows("text", 0.5)(iter([batch]))) == 0
 
 
+def _slice(texts):
+    rows = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    return next(scan.slices(iter([rows])))
+
+
+def _random_model(labels=4, seed=3):
+    rng = np.random.default_rng(seed)
+    return lang_id.LangModel(list("abcdef"[:labels]), rng.normal(0, 0.6, (labels, 4 << lang_id.HASH_BITS)).astype(np.float32),
+                             rng.normal(0, 1, labels), rng.normal(0, 1.5, (labels, labels)))
+
+
+def test_a_text_is_one_chain_whatever_its_length():
+    rng, model = random.Random(2), _random_model()
+    texts = [" ".join(rng.choice(WORDS) for _ in range(n)) for n in (10_000, 1, 63, 64, 65, 128, 129, 500)] + ["", "7 8"]
+    part = _slice(texts)
+    best, score, sure = model.predict(part)
+    w, label, share = model.word_labels(part)
+    emitted = lang_id._word_scores(model.weights, part.buf, w).T.astype(float)
+    for i in range(len(texts)):
+        a, b = w.first[i], w.first[i + 1]
+        if a == b:
+            assert best[i] == -1 and score[i] == 0
+            continue
+        gamma = lang_id.forward_backward(emitted[None, a:b], np.array([b - a]), model.start, model.step)[0][0]
+        mean = gamma.mean(0)
+        assert best[i] == mean.argmax() and score[i] == pytest.approx(mean.max(), abs=1e-9)
+        assert sure[i] == pytest.approx(gamma.max(1).mean(), abs=1e-9)
+        assert share[a:b] == pytest.approx(gamma.max(1), abs=1e-9)
+        assert (label[a:b] == gamma.argmax(1)).all()
+
+
+def test_language_spans(spark, docs, empty):
+    english, german = "the house and the garden were very quiet that evening", "das haus und der garten waren an jenem abend sehr still"
+    learn = [(i, [english, german][i % 2] + f" {chr(97 + i % 26)}", ["en", "de"][i % 2]) for i in range(80)]
+    mixed = [(1000, f"{english} {german}", None), (1001, None, None), (1002, " 12 ", None), (1000, german, None)]
+    table = spark.createDataFrame(learn + mixed, "doc_id long, text string, lang string")
+    got = [r for r in lang_id.language_spans(table).collect() if r.doc_id >= 1000]
+    assert sorted((r.doc_id, r.first_word, r.last_word, r.lang) for r in got) == [(1000, 0, 9, "en"), (1000, 0, 10, "de"), (1000, 10, 20, "de")]
+    assert all(0.5 < r.score <= 1 for r in got)
+    assert lang_id.language_spans(empty).count() == 0
+    none = lang_id.language_spans(table.withColumn("lang", F.lit(None).cast("string"))).where("doc_id = 1000").collect()
+    assert {(r.lang, r.score) for r in none} == {("und", 0.0)}
+
+
+def test_training_is_bounded_for_unspaced_texts_and_repeated_ids(spark):
+    long = "\u6f22\u5b57" * 200_000
+    table = spark.createDataFrame([(1, long, "zh")] * 5 + [(i, "plain words in a row", "en") for i in range(3, 9)], "doc_id long, text string, lang string")
+    model = lang_id.fit(table)
+    assert model.langs == ["en", "zh"]
+    (piece,) = {s for b in lang_id._snippets(iter([pa.record_batch({"lang": ["zh"], "text": [long]})])) for s in b.column(1).to_pylist()}
+    assert len(piece.encode()) <= lang_id.SNIPPET_BYTES and long.startswith(piece)
+    best, _, _ = model.predict(_slice([long, "plain words"]))
+    assert [model.langs[k] for k in best] == ["zh", "en"]
+
+
 def test_forward_backward_sums_over_paths():
     rng = np.random.default_rng(1)
     score, start, step = rng.normal(size=(1, 4, 3)), rng.normal(size=3), rng.normal(size=(3, 3))

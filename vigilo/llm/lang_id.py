@@ -8,8 +8,11 @@ probability over its words.
 
 Training words come from a bounded sample (DOCS_PER_LANG documents a language, SAMPLE in all, SNIPPETS
 runs of SNIPPET_WORDS words each, spread over the whole text); training chains join runs of different
-documents, so that transitions see switches. A chain has CHAIN words at most; a longer text is several
-chains, none of its words is left out.
+documents, so that transitions see switches. A run is cut at SNIPPET_BYTES, for texts without spaces.
+
+A text is one chain however long it is. Its words are worked on in chunks of CHUNK: every chunk's
+transition product gives the probabilities at the chunks' borders, and with those forward-backward runs
+over the chunks side by side, with the results of one run over the whole text.
 """
 
 from __future__ import annotations
@@ -24,8 +27,8 @@ from ..session import stage
 from . import scan
 from .common import id_and_text, ship
 
-DOCS_PER_LANG, SAMPLE, SNIPPETS, SNIPPET_WORDS = 300, 20_000, 8, 12
-CHAIN = 64
+DOCS_PER_LANG, SAMPLE, SNIPPETS, SNIPPET_WORDS, SNIPPET_BYTES = 300, 20_000, 8, 12, 1024
+CHUNK = 64               # words worked on at once; results don't depend on it
 HASH_BITS = 16
 ROUNDS, RATE, DECAY = 40, 0.5, 1e-4
 UNKNOWN = "und"
@@ -37,6 +40,8 @@ _ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 _PREDICTED = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 _PREDICTED_DDL = "doc_id long, lang_pred string, score double"
+_SPANS = pa.schema([("doc_id", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("lang", pa.string()), ("score", pa.float64())])
+_SPANS_DDL = "doc_id long, first_word long, last_word long, lang string, score double"
 _SNIPPET = pa.schema([("lang", pa.string()), ("snippet", pa.string())])
 
 
@@ -68,17 +73,25 @@ def _word_scores(weights: np.ndarray, buf: np.ndarray, w: scan.Words) -> np.ndar
     return out
 
 
-def forward_backward(score: np.ndarray, length: np.ndarray, start: np.ndarray, step: np.ndarray):
+def _expected(score: np.ndarray) -> np.ndarray:
+    return np.exp(score - score.max(-1, keepdims=True))
+
+
+def forward_backward(score: np.ndarray, length: np.ndarray, start: np.ndarray, step: np.ndarray,
+                     entry: np.ndarray | None = None, leave: np.ndarray | None = None):
     """Probabilities of each label at each word, and expected transitions.
 
     score: chains x words x labels; length: words of each chain, the rest is padding; start and step:
-    log weights of first labels and of transitions.
+    log weights of first labels and of transitions. For parts of longer chains, entry and leave (chains x
+    labels) are what the words before tell of the first word, and the words behind of the last.
     """
     chains, words, labels = score.shape
-    e = np.exp(score - score.max(2, keepdims=True))
+    e = _expected(score)
     go = np.exp(step - step.max())
-    alpha, beta = np.empty_like(e), np.ones_like(e)
-    a = np.exp(start - start.max()) * e[:, 0]
+    entry = np.exp(start - start.max()) if entry is None else entry
+    leave = np.ones((chains, labels)) if leave is None else leave
+    alpha, beta = np.empty_like(e), np.repeat(leave[:, None], words, axis=1)
+    a = entry * e[:, 0]
     alpha[:, 0] = a = a / a.sum(1, keepdims=True)
     for t in range(1, words):
         a = (a @ go) * e[:, t]
@@ -91,13 +104,43 @@ def forward_backward(score: np.ndarray, length: np.ndarray, start: np.ndarray, s
         b = ahead @ go.T
         pair = (alpha[:, t] * b).sum(1, keepdims=True)
         moves += ((alpha[:, t] * inside / np.maximum(pair, 1e-30)).T @ ahead) * go
-        beta[:, t] = np.where(inside, b / np.maximum(b.sum(1, keepdims=True), 1e-30), 1.0)
+        beta[:, t] = np.where(inside, b / np.maximum(b.sum(1, keepdims=True), 1e-30), leave)
     gamma = alpha * beta
     gamma /= np.maximum(gamma.sum(2, keepdims=True), 1e-30)
     gamma[np.arange(words)[None, :] >= length[:, None]] = 0
     return gamma, moves
 
 
+def _products(score: np.ndarray, length: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """For each chunk the weight of reaching each last label from each first label, up to a factor."""
+    chunks, words, labels = score.shape
+    e, go = _expected(score), np.exp(step - step.max())
+    out = np.eye(labels) * e[:, 0][:, None]
+    for t in range(1, words):
+        ahead = (out @ go) * e[:, t][:, None]
+        ahead /= np.maximum(ahead.max((1, 2), keepdims=True), 1e-300)
+        out = np.where((t < length)[:, None, None], ahead, out)
+    return out
+
+
+def _borders(products: np.ndarray, first: np.ndarray, count: np.ndarray, start: np.ndarray, step: np.ndarray):
+    """(entry, leave) of every chunk; a text's are first to first + count - 1, and all texts advance together."""
+    go = np.exp(step - step.max())
+    entry = np.tile(np.exp(start - start.max()), (len(products), 1))
+    leave = np.ones_like(entry)
+    order = np.argsort(-count, kind="stable")
+    first, count = first[order], count[order]
+    for c in range(1, int(count[0])):
+        at = first[: np.searchsorted(-count, -c)] + c            # texts of more than c chunks
+        ahead = np.einsum("il,ilm->im", entry[at - 1], products[at - 1]) @ go
+        entry[at] = ahead / np.maximum(ahead.sum(1, keepdims=True), 1e-300)
+    for c in range(int(count[0]) - 1, 0, -1):
+        at = first[: np.searchsorted(-count, -c)] + c
+        behind = np.einsum("ilm,im->il", products[at], leave[at]) @ go.T
+        leave[at - 1] = behind / np.maximum(behind.sum(1, keepdims=True), 1e-300)
+    return entry, leave
+
+
 class LangModel:
     """Weights of features (languages x places), of first labels and of transitions."""
 
@@ -155,6 +198,36 @@ class LangModel:
         weights[:, used] = small
         return cls(langs, weights, start, step)
 
+    def posteriors(self, part: scan.Slice, w: scan.Words):
+        """Blocks of (text of each chunk, place of each of its words, words a chunk, probabilities: chunks x words x languages)."""
+        counts, n_lang = w.counts(), len(self.langs)
+        emitted = _word_scores(self.weights, part.buf, w).T
+        chunks = -(-counts // CHUNK)
+        owner = np.repeat(np.arange(len(counts)), chunks)
+        begin = np.cumsum(chunks) - chunks
+        first = w.first[owner] + (np.arange(len(owner)) - begin[owner]) * CHUNK
+        length = np.minimum(CHUNK, w.first[owner + 1] - first)
+
+        def blocks(of: np.ndarray, cells: int):
+            of = of[np.argsort(length[of], kind="stable")]
+            size = max(1, cells // (CHUNK * n_lang))
+            for i in range(0, len(of), size):
+                at = of[i: i + size]
+                place = np.minimum(first[at][:, None] + np.arange(int(length[at].max())), len(w.h) - 1)
+                yield at, place, emitted[place].astype(float)
+
+        entry, leave = np.tile(np.exp(self.start - self.start.max()), (len(owner), 1)), np.ones((len(owner), n_lang))
+        several = np.flatnonzero(chunks[owner] > 1)
+        if len(several):
+            products = np.empty((len(owner), n_lang, n_lang))
+            for at, _, score in blocks(several, 1 << 19):
+                products[at] = _products(score, length[at], self.step)
+            long = np.flatnonzero(chunks > 1)
+            e, q = _borders(products, begin[long], chunks[long], self.start, self.step)
+            entry[several], leave[several] = e[several], q[several]
+        for at, place, score in blocks(np.arange(len(owner)), 1 << 19):
+            yield owner[at], place, length[at], forward_backward(score, length[at], self.start, self.step, entry[at], leave[at])[0]
+
     def predict(self, part: scan.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the language of each text (-1: unknown), its mean probability over the words, and that of each word's own best language."""
         n = len(part)
@@ -167,21 +240,9 @@ class LangModel:
         if len(self.langs) == 1:
             total[:, 0] = sure[:] = counts
         elif len(w.h):
-            emitted = _word_scores(self.weights, part.buf, w).T
-            chains = -(-counts // CHAIN)
-            owner = np.repeat(np.arange(n), chains)
-            nth = np.arange(len(owner)) - np.repeat(np.cumsum(chains) - chains, chains)
-            first = w.first[owner] + nth * CHAIN
-            length = np.minimum(CHAIN, w.first[owner + 1] - first)
-            order = np.argsort(length, kind="stable")
-            block = max(64, (1 << 19) // (CHAIN * len(self.langs)))
-            for i in range(0, len(order), block):
-                at = order[i: i + block]
-                wide = int(length[at].max())
-                place = np.minimum(first[at][:, None] + np.arange(wide), len(w.h) - 1)
-                gamma, _ = forward_backward(emitted[place].astype(float), length[at], self.start, self.step)
-                np.add.at(total, owner[at], gamma.sum(1))
-                np.add.at(sure, owner[at], gamma.max(2).sum(1))
+            for owner, _, _, gamma in self.posteriors(part, w):
+                np.add.at(total, owner, gamma.sum(1))
+                np.add.at(sure, owner, gamma.max(2).sum(1))
         has = np.zeros(n, bool)
         letters = np.append(0, np.cumsum(_ASCII_LETTER[part.buf]))
         has[:] = letters[part.ends] > letters[part.starts]
@@ -191,6 +252,30 @@ class LangModel:
         score[has] = np.clip(total[has].max(1) / np.maximum(counts[has], 1), 0, 1)
         return best, score, np.where(has, np.clip(sure / np.maximum(counts, 1), 0, 1), 0)
 
+    def word_labels(self, part: scan.Slice) -> tuple[scan.Words, np.ndarray, np.ndarray]:
+        """The words, the most probable language of each (-1 where none was learned), and its probability."""
+        w = scan.words(scan.LOWER[part.buf], part.starts, _LETTERS)
+        label, share = np.full(len(w.h), 0 if self.langs else -1), np.full(len(w.h), 1.0 if self.langs else 0.0)
+        if len(self.langs) > 1 and len(w.h):
+            for _, place, length, gamma in self.posteriors(part, w):
+                inside = np.arange(place.shape[1]) < length[:, None]
+                label[place[inside]] = gamma.argmax(2)[inside]
+                share[place[inside]] = gamma.max(2)[inside]
+        return w, label, share
+
+    def span_batches(self, batches):
+        names = pa.array([*self.langs, UNKNOWN], pa.string())
+        for part in scan.slices(batches):
+            w, label, share = self.word_labels(part)
+            if not len(label):
+                continue
+            owner = w.owner()
+            first = np.flatnonzero(np.append(True, (label[1:] != label[:-1]) | (owner[1:] != owner[:-1])))
+            size = np.diff(np.append(first, len(label)))
+            place = first - w.first[owner[first]]
+            yield scan.batch(_SPANS, part.rows.column(0).take(pa.array(owner[first])), place, place + size - 1,
+                             names.take(pa.array(np.where(label[first] < 0, len(self.langs), label[first]))), np.clip(np.add.reduceat(share, first) / size, 0, 1))
+
     def predict_batches(self, batches):
         names = pa.array([*self.langs, UNKNOWN], pa.string())
         for part in scan.slices(batches):
@@ -217,7 +302,8 @@ def _snippets(batches):
                 lo = a + (b - a - SNIPPET_WORDS) * j // max(1, runs - 1) if b - a > SNIPPET_WORDS else a
                 hi = min(lo + SNIPPET_WORDS, b)
                 out_l.append(lang[i])
-                out_s.append(part.buf[w.s[lo]: w.e[hi - 1]].tobytes().decode())
+                run = part.buf[w.s[lo]: min(w.e[hi - 1], w.s[lo] + SNIPPET_BYTES)].tobytes()
+                out_s.append(run.decode(errors="ignore"))           # a cut character is left out
         yield scan.batch(_SNIPPET, out_l, out_s)
 
 
@@ -232,9 +318,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                         F.col(lang_col).cast("string").alias("lang")).where("doc_id is not null and text is not null and lang is not null")
     named = named.where(~_held_out(F.col("doc_id")))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = (named.select("doc_id", "lang").withColumn("nth", nth).where(F.col("nth") <= DOCS_PER_LANG)
-              .orderBy("nth", "lang").limit(SAMPLE).select("doc_id").distinct())
-    rows = named.join(F.broadcast(stage(picked, "picked")), "doc_id").select("doc_id", "text", "lang")       # SAMPLE ids at most
+    picked = (named.select("doc_id", "lang").distinct().withColumn("nth", nth).where(F.col("nth") <= DOCS_PER_LANG)
+              .orderBy("nth", "lang").limit(SAMPLE).select("doc_id", "lang"))
+    rows = (named.join(F.broadcast(stage(picked, "picked")), ["doc_id", "lang"])       # SAMPLE rows at most
+            .groupBy("doc_id", "lang").agg(F.min("text").alias("text")))
     found = rows.mapInArrow(_snippets, "lang string, snippet string").collect()
     return LangModel.train(sorted((r.lang, r.snippet) for r in found))
 
@@ -245,13 +332,24 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     lang_pred is a language of the training documents, or 'und' with score 0 for a null text, a text
     without a letter, or where no language was learned; score is the mean word probability of the
     prediction, ties go to the language first in the alphabet. Null ids are not held out and train
-    nothing; an empty table gives no rows.
+    nothing; of rows that repeat an id and a language, one trains. An empty table gives no rows.
     """
     model = fit(docs, id_col, text_col, lang_col)
     out = id_and_text(docs, id_col, text_col).mapInArrow(model.predict_batches, _PREDICTED_DDL)
     return out.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def language_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """One row per longest run of words of one language: doc_id, first_word, last_word (from 0), lang, score.
+
+    Words are runs of ASCII letters and non-ASCII characters; score is the mean probability of the run's
+    words. Null texts and texts without words give no rows; where no language was learned lang is 'und' and
+    score 0. Repeated rows and null ids are labelled each.
+    """
+    model = fit(docs, id_col, text_col, lang_col)
+    return id_and_text(docs, id_col, text_col).mapInArrow(model.span_batches, _SPANS_DDL)
+
+
 def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows whose words' languages are known, with all their columns.
 
