@@ -165,21 +165,74 @@ def test_license_join_is_exact():
     w = licenses._words(part)
     number = known.numbers(w.h)
     known.order_by(np.bincount(number[number >= 0], minlength=len(known.vocabulary)))
-    got = Counter((i, t, round(s, 9)) for i, t, s in known.block_matches(w, number))
-    expected = Counter()
+    got = Counter((i, t, round(s, 9), lo) for i, t, s, lo, _ in known.block_matches(w, number))
+    expected, labelled = Counter(), set()
     for i, text in enumerate(made):
         words = text.split()
-        lo = 0
-        while True:
-            block = set(words[lo:lo + licenses.BLOCK])
-            for t, (template, _) in enumerate(licenses.TEMPLATES):
-                need = set(template.split())
-                if len(block & need) >= math.ceil(0.4 * len(need) - 1e-9):
-                    expected[i, t, round(len(block & need) / len(need), 9)] += 1
-            if lo + licenses.BLOCK >= len(words):
-                break
-            lo += licenses.BLOCK // 2
+        for t, (template, _) in enumerate(licenses.TEMPLATES):
+            order = template.split()
+            need, size = set(order), len(order)
+            lo = 0
+            while True:
+                block = words[lo:lo + 2 * size]
+                share = len(set(block) & need) / len(need)
+                if len(set(block) & need) >= math.ceil(0.4 * len(need) - 1e-9):
+                    expected[i, t, round(share, 9), lo] += 1
+                    if common(order, block) >= math.ceil(0.4 * size - 1e-9):
+                        labelled.add((i, t, lo))
+                if lo + 2 * size >= len(words):
+                    break
+                lo += max(size // 2, 1)
     assert got == expected and len(got) > 20
+    spans = list(known.labelled(w, number))
+    blocks = {(i, t, lo): (lo, lo + n) for i, t, _, lo, n in known.block_matches(w, number)}
+    assert len(spans) == len(labelled) > 10
+    for i, t, _, first, last in spans:
+        order, passage = licenses.TEMPLATES[t][0].split(), made[i].split()[first:last + 1]
+        assert common(order, passage) >= known.in_order[t] and passage[0] in order and passage[-1] in order
+        assert any((i, t) == key[:2] and lo <= first <= last < hi and key in labelled for key, (lo, hi) in blocks.items())
+
+
+def common(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(before[j] + 1 if x == y else max(before[j + 1], row[j]))
+    return row[-1]
+
+
+def test_licenses_of_any_length_at_every_offset(spark, empty):
+    rng = random.Random(8)
+    for size in (3, 80, 120, 300):
+        body = " ".join(f"w{k}" for k in range(size))
+        known = licenses.Templates([(body, "own")], ())
+        made = [" ".join(["fill"] * lead + body.split() + ["rest"] * rng.randint(0, 2 * size)) for lead in range(0, 2 * size + 3, max(1, size // 40))]
+        w = licenses._words(_slice(made))
+        found = list(known.labelled(w, known.numbers(w.h)))
+        assert {f[0] for f in found} == set(range(len(made)))
+        for i, _, share, first, last in found:
+            lead = made[i].split().index("w0")
+            assert share >= 0.9 and lead <= first <= last <= lead + size - 1
+    words = body.split()
+    edited = " ".join(x for k, x in enumerate(words) if k % 20)                  # one word in 20 is gone
+    shuffled = " ".join(rng.sample(words, len(words)))
+    table = spark.createDataFrame([(1, f"see {body}"), (2, edited), (3, shuffled), (4, None), (None, body), (1, f"see {body}")], "doc_id long, text string")
+    got = licenses.license_spans(table, [(body, "own"), ("", "none")]).collect()
+    assert Counter((r.doc_id, r.label, r.template) for r in got).keys() == {(1, "own", 0), (2, "own", 0), (None, "own", 0)}
+    assert (1, 1, 300, 1.0) in {(r.doc_id, r.first_word, r.last_word, r.score) for r in got}
+    assert licenses.license_spans(empty).count() == 0 and licenses.scan_licenses(table, ()).count() == 6
+
+
+def test_words_of_a_license_in_another_order_are_not_one(spark):
+    texts = ["released by the mit press under a new name while the press kept its license",
+             "human rights are for all people and the best seats were reserved",
+             "licensed for 4 cars under rule 0 by the cc of nc",
+             "This file is released under the MIT license. All rights reserved."]
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: "", 1: "", 2: "", 3: "all-rights-reserved,mit"}
 
 
 def test_sharding(docs, rows, empty):
@@ -326,7 +379,7 @@ def test_language_spans(spark, docs, empty):
 
 
 def test_training_is_bounded_for_unspaced_texts_and_repeated_ids(spark):
-    long = "\u6f22\u5b57" * 200_000
+    long = "\u6f22\u5b57" * 100_000
     table = spark.createDataFrame([(1, long, "zh")] * 5 + [(i, "plain words in a row", "en") for i in range(3, 9)], "doc_id long, text string, lang string")
     model = lang_id.fit(table)
     assert model.langs == ["en", "zh"]

@@ -1,11 +1,14 @@
 """License scan: phrase places, and an exact set-similarity join of text blocks with license templates.
 
-Texts are cut into overlapping blocks of BLOCK words. A block matches a template if it holds at least
-CONTAINMENT of the template's distinct words. All words are ordered by their frequency in the whole
-corpus, rarest first. A template that needs o of its t words must share one of its t - o + 1 rarest with
-a matching block (prefix filter), the block must have o distinct words (length filter), and the places
-of the first shared word in both orders bound what can still be shared (positional filter); what passes
-is counted exactly. Only template words need counting, so the order is a small table.
+For a template of n words texts are cut into blocks of 2 n words, one every n / 2, so that any passage of
+3 n / 2 words lies within one. A block matches a template if it holds at least CONTAINMENT of the
+template's distinct words. All words are ordered by their frequency in the whole corpus, rarest first. A
+template that needs o of its t words must share one of its t - o + 1 rarest with a matching block (prefix
+filter, an index from those words to their templates), the block must have o distinct words (length
+filter), and the places of the first shared word in both orders bound what can still be shared
+(positional filter); what passes is counted exactly. Only template words need counting, so the order is a
+small table. A matching block is labelled if the words also stand in the template's order: as many of
+them, as a longest common subsequence.
 """
 
 from __future__ import annotations
@@ -29,9 +32,23 @@ TEMPLATES = (
     ("released under the mit license", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
      "documentation files to deal in the software without restriction", "mit"),
+    ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction including without limitation the "
+     "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+     "persons to whom the software is furnished to do so subject to the following conditions the above copyright "
+     "notice and this permission notice shall be included in all copies or substantial portions of the software the "
+     "software is provided as is without warranty of any kind express or implied including but not limited to the "
+     "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors "
+     "or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or "
+     "otherwise arising from out of or in connection with the software or the use or other dealings in the software", "mit"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+     "provided that the above copyright notice and this permission notice appear in all copies", "isc"),
     ("licensed under the apache license version 2 0", "apache-2"),
     ("licensed under the apache license you may not use this file except in compliance with the license you may "
      "obtain a copy of the license at", "apache-2"),
+    ("unless required by applicable law or agreed to in writing software distributed under the license is distributed on an "
+     "as is basis without warranties or conditions of any kind either express or implied see the license for the specific "
+     "language governing permissions and limitations under the license", "apache-2"),
     ("licensed under cc by nc 4 0", "cc-by-nc"),
     ("this work is licensed under a creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
     ("this work is licensed under the gnu general public license version 3", "gpl-3"),
@@ -39,15 +56,20 @@ TEMPLATES = (
      "public license as published by the free software foundation", "gpl-3"),
     ("redistribution and use in source and binary forms with or without modification are permitted provided that "
      "the following conditions are met", "bsd"),
+    ("redistributions of source code must retain the above copyright notice this list of conditions and the following "
+     "disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+     "following disclaimer in the documentation and or other materials provided with the distribution", "bsd"),
     ("all rights reserved", "all-rights-reserved"),
 )
 
 CONTAINMENT = 0.9
-BLOCK = 96               # words; blocks begin every half of it, so a passage of 48 words lies within one
 
 _COUNT = pa.schema([("word", pa.int32()), ("n", pa.int64())])
 _FOUND = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
                     ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())])
+_SPANS = pa.schema([("doc_id", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("template", pa.int32()),
+                    ("label", pa.string()), ("score", pa.float64())])
+_SPANS_DDL = "doc_id long, first_word long, last_word long, template int, label string, score double"
 _FOUND_DDL = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 
@@ -55,13 +77,17 @@ class Templates:
     """Templates as sets of word numbers; numbers follow the words' hashes."""
 
     def __init__(self, templates=TEMPLATES, phrases=PHRASES, containment: float = CONTAINMENT):
-        hashes = [np.unique(scan.literal_hashes(text, scan.ALNUM)) for text, _ in templates]
-        self.vocabulary = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]))
-        self.sets = [np.searchsorted(self.vocabulary, h) for h in hashes]
-        self.labels = [label for _, label in templates]
+        words = [(scan.literal_hashes(text.lower(), scan.ALNUM), label) for text, label in templates]
+        words = [(h, label) for h, label in words if len(h)]
+        self.vocabulary = np.unique(np.concatenate([*(h for h, _ in words), np.zeros(0, np.uint64)]))
+        self.texts = [np.searchsorted(self.vocabulary, h) for h, _ in words]
+        self.sets = [np.unique(x) for x in self.texts]
+        self.labels = [label for _, label in words]
+        self.sizes = np.array([len(x) for x in self.texts], np.int64)
+        self.in_order = [math.ceil(containment * n - 1e-9) for n in self.sizes]
         self.need = [math.ceil(containment * len(s) - 1e-9) for s in self.sets]
         self.phrases = [(scan.literal_hashes(text, scan.ALNUM), label) for text, label in phrases]
-        self.rank = np.arange(len(self.vocabulary))
+        self.order_by(np.zeros(len(self.vocabulary), np.int64))
 
     def order_by(self, counts: np.ndarray) -> None:
         """Rank the words by corpus count, rarest first, ties by number."""
@@ -69,6 +95,11 @@ class Templates:
         self.rank = np.empty(len(counts), np.int64)
         self.rank[order] = np.arange(len(counts))
         self.sets = [s[np.argsort(self.rank[s])] for s in self.sets]
+        prefixes = [s[: len(s) - need + 1] for s, need in zip(self.sets, self.need)]
+        word = np.concatenate([*prefixes, np.zeros(0, np.int64)]).astype(np.int64)
+        template = np.repeat(np.arange(len(prefixes)), np.array([len(x) for x in prefixes], np.int64))
+        by_word = np.argsort(word, kind="stable")
+        self.index_word, self.index_template = word[by_word], template[by_word]
 
     def numbers(self, h: np.ndarray) -> np.ndarray:
         """Number of each word, -1 outside the vocabulary."""
@@ -90,35 +121,69 @@ class Templates:
             out.append((at[np.searchsorted(w.first, at + anchor, "right") == text], label))
         return out
 
+    def candidates(self, w: scan.Words, number: np.ndarray) -> np.ndarray:
+        """Distinct rows (text, template, block) of the blocks that hold a word of the template's prefix."""
+        lo, hi = np.searchsorted(self.index_word, number, "left"), np.searchsorted(self.index_word, number, "right")
+        at = np.flatnonzero(hi > lo)
+        n = (hi - lo)[at]
+        template = self.index_template[np.repeat(lo[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        at = np.repeat(at, n)
+        text = np.searchsorted(w.first, at, "right") - 1
+        size = self.sizes[template]
+        stride = np.maximum(size // 2, 1)
+        last = -(-np.maximum(w.counts()[text] - 2 * size, 0) // stride)          # number of a text's last block
+        place = at - w.first[text]
+        found = [np.zeros((0, 3), np.int64)]
+        for back in range(int((-(-2 * size // stride)).max(initial=0))):
+            block = place // stride - back
+            ok = (block >= 0) & (block <= last) & (place < block * stride + 2 * size)
+            found.append(np.unique(np.stack([text, template, block], 1)[ok], axis=0))
+        return np.unique(np.concatenate(found), axis=0)
+
     def block_matches(self, w: scan.Words, number: np.ndarray):
-        """(text, template, containment) of every matching block."""
-        half = BLOCK // 2
-        counts = w.counts()
-        blocks = np.where(counts > BLOCK, -(-(counts - BLOCK) // half) + 1, 1)
-        for t, (words, need) in enumerate(zip(self.sets, self.need)):
+        """(text, template, containment, first word, words) of every matching block."""
+        for i, t, b in self.candidates(w, number).tolist():
+            words, need, size = self.sets[t], self.need[t], int(self.sizes[t])
+            lo = w.first[i] + b * max(size // 2, 1)
+            hi = min(lo + 2 * size, w.first[i + 1])
+            if hi - lo < need:
+                continue
+            held = np.unique(number[lo:hi])
+            held = held[held >= 0]
+            held = held[np.argsort(self.rank[held])]
             prefix = words[: len(words) - need + 1]
-            at = np.flatnonzero(np.isin(number, prefix))
-            if not len(at):
+            place = int(np.flatnonzero(np.isin(prefix, held))[0])
+            other = int(np.flatnonzero(held == prefix[place])[0])
+            if 1 + min(len(words) - place - 1, len(held) - other - 1) < need:
                 continue
-            text = np.searchsorted(w.first, at, "right") - 1
-            nth = (at - w.first[text]) // half
-            both = np.concatenate([np.stack([text, nth], 1), np.stack([text, nth - 1], 1)])
-            both = both[(both[:, 1] >= 0) & (both[:, 1] < blocks[both[:, 0]])]
-            for i, b in np.unique(both, axis=0).tolist():
-                lo = w.first[i] + b * half
-                hi = min(lo + BLOCK, w.first[i + 1])
-                if len(np.unique(w.h[lo:hi])) < need:
-                    continue
-                held = np.unique(number[lo:hi])
-                held = held[held >= 0]
-                held = held[np.argsort(self.rank[held])]
-                place = next(p for p, x in enumerate(prefix) if x in held)
-                other = int(np.flatnonzero(held == prefix[place])[0])
-                if 1 + min(len(words) - place - 1, len(held) - other - 1) < need:
+            shared = len(np.intersect1d(words, held, assume_unique=True))
+            if shared >= need:
+                yield i, t, shared / len(words), int(lo - w.first[i]), int(hi - lo)
+
+    def labelled(self, w: scan.Words, number: np.ndarray):
+        """(text, template, containment, first word, last word) of the matching blocks in the template's order.
+
+        The words are those of a longest common subsequence: first and last are its ends.
+        """
+        for i, t, share, lo, size in self.block_matches(w, number):
+            block = number[w.first[i] + lo: w.first[i] + lo + size]
+            template = self.texts[t]
+            # best[j]: longest subsequence that ends within the first j words of the block; begin[j]: where it begins, latest
+            best, begin = np.zeros(size + 1, np.int64), np.full(size + 1, -1)
+            for word in template:
+                hit = np.flatnonzero(block == word)
+                if not len(hit):
                     continue
-                shared = len(np.intersect1d(words, held, assume_unique=True))
-                if shared >= need:
-                    yield i, t, shared / len(words)
+                grown, start = best.copy(), begin.copy()
+                for j in hit.tolist():
+                    n, s = best[j] + 1, begin[j] if best[j] else j
+                    if (n, s) > (grown[j + 1], start[j + 1]):
+                        worse = j + 1 + np.flatnonzero((grown[j + 1:] < n) | ((grown[j + 1:] == n) & (start[j + 1:] < s)))
+                        grown[worse], start[worse] = n, s
+                best, begin = grown, start
+            if best[size] >= self.in_order[t]:
+                stop = int(np.searchsorted(best, best[size], "left"))
+                yield i, t, share, lo + int(begin[stop]), lo + stop - 1
 
 
 def _words(part: scan.Slice) -> scan.Words:
@@ -151,7 +216,7 @@ def _scan(templates: Templates):
                     first[i] = p if first[i] < 0 else min(first[i], p)
                     last[i] = max(last[i], p)
                     score[i] = 1.0
-            for i, t, share in templates.block_matches(w, templates.numbers(w.h)):
+            for i, t, share, _, _ in templates.labelled(w, templates.numbers(w.h)):
                 all_labels[i].add(templates.labels[t])
                 score[i] = max(score[i], share)
             none = pa.array(first < 0)
@@ -163,6 +228,40 @@ def _scan(templates: Templates):
     return run
 
 
+def _spans(templates: Templates):
+    def run(batches):
+        for part in scan.slices(batches):
+            w = _words(part)
+            # of the overlapping blocks that hold the same passage, one row
+            found = sorted({(i, lo, hi, t): s for i, t, s, lo, hi in templates.labelled(w, templates.numbers(w.h))}.items())
+            if found:
+                at, score = zip(*found)
+                text, first, last, t = zip(*at)
+                yield scan.batch(_SPANS, part.rows.column(0).take(pa.array(text)), first, last, t, [templates.labels[k] for k in t], score)
+    return run
+
+
+def _ordered(docs: DataFrame, templates, phrases, containment: float) -> Templates:
+    """Templates with their words in the order of the corpus counts."""
+    known = Templates(templates, phrases, containment)
+    counts = np.zeros(len(known.vocabulary), np.int64)
+    for r in docs.mapInArrow(_count(known), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
+        counts[r.word] = r.n                                        # a row for each template word
+    known.order_by(counts)
+    return known
+
+
+def license_spans(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT,
+                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per passage that follows a template: doc_id, first_word, last_word, template (its number), label, score.
+
+    Words are counted from 0; score is the containment of the block that holds the passage. Null and empty texts
+    hold none; repeated rows and null ids are scanned each; templates without words are left out.
+    """
+    docs = id_and_text(docs, id_col, text_col)
+    return docs.mapInArrow(_spans(_ordered(docs, templates, (), containment)), _SPANS_DDL)
+
+
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, containment: float = CONTAINMENT,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
@@ -173,11 +272,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, contain
     empty labels; repeated rows and null ids are scanned each; an empty table gives no rows.
     """
     docs = id_and_text(docs, id_col, text_col)
-    known = Templates(templates, phrases, containment)
-    counts = np.zeros(len(known.vocabulary), np.int64)
-    for r in docs.mapInArrow(_count(known), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
-        counts[r.word] = r.n                                        # a row for each template word
-    known.order_by(counts)
+    known = _ordered(docs, templates, phrases, containment)
     return docs.mapInArrow(_scan(known), _FOUND_DDL)
 
 
