@@ -334,6 +334,27 @@ def test_mixed_languages_are_kept(spark):
     assert sum(x.num_rows for x in unsure.kept_rows("text", 0.5)(iter([batch]))) == 0
 
 
+def test_seeds_are_the_same_in_a_corpus_many_times_over():
+    rng = random.Random(6)
+    items = [" ".join(rng.choice(WORDS) for _ in range(40)) for _ in range(12)]
+    seeds = []
+    for times in (1, 200, 10 ** 6):
+        block = decontaminate.Items(list(range(12)), items)
+        counts = np.array([rng_count % 90 for rng_count in range(len(block.known))]) * times
+        block.pick_seeds(counts)
+        seeds.append(block.seeds.tolist())
+    assert seeds[0] == seeds[1] == seeds[2] and seeds[0]
+
+
+def test_alignment_does_not_depend_on_the_batches(monkeypatch):
+    rng = np.random.default_rng(4)
+    items = [rng.integers(0, 9, rng.integers(1, 30)).astype(np.uint64) for _ in range(50)]
+    windows = [rng.integers(0, 9, rng.integers(1, 400)).astype(np.uint64) for _ in range(50)]
+    whole = decontaminate.align(items, windows)
+    monkeypatch.setattr(decontaminate, "_CELLS", 300)
+    assert all((x == y).all() for x, y in zip(whole, decontaminate.align(items, windows)))
+
+
 def _slice(texts):
     rows = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
     return next(scan.slices(iter([rows])))

@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 The n-grams of the test items are counted in the whole corpus; an item's seeds are its rarest ones
-(SEED_SHARE of those that occur, with all ties, and all of RARE places or fewer), so that seeds stay few in texts that merely share common words,
-and an item whose copies are everywhere still has seeds. Places where a text holds a seed give
+(SEED_SHARE of those that occur, with all ties), so that seeds stay few in texts that merely share common words,
+an item whose copies are everywhere still has seeds, and a corpus several times over has the same ones. Places where a text holds a seed give
 diagonals; near ones make a window, and the item is aligned with the window word by word, local and
 with gaps. The score is the alignment's, as a share of that of an exact copy of the whole item. A text
 leaks an item from a share of LEAK on, or where the alignment is worth RUN words in a row, however long
@@ -26,14 +26,13 @@ from .common import id_and_text, ship
 
 GRAM = 3
 SEED_SHARE = 0.8
-RARE = 100               # n-grams of so few places in the corpus are seeds in any case
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAK = 0.5               # share of an exact copy's score from which a text counts as leaked
 RUN = 30                 # words in a row whose score counts as leaked whatever share of the item they are
 STRETCH = (RUN + 2 - GRAM) // 2          # the n-grams that begin in one such stretch lie whole in any run that begins up to it
 PAD = 16                 # words aligned beyond the seeds' diagonals on either side
 ITEM_BLOCK = 20_000
-_PAIRS = 256             # alignments computed at once
+_CELLS = 1 << 19         # window words aligned at once; a wider window is aligned alone
 
 _COUNT = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
 _LEAKS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())])
@@ -51,8 +50,13 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarra
     """
     best, end = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
     order = np.argsort([len(w) for w in windows], kind="stable")
-    for lo in range(0, len(order), _PAIRS):
-        at = order[lo: lo + _PAIRS]
+    width = np.array([len(w) for w in windows], np.int64)[order] + 1
+    lo = 0
+    while lo < len(order):
+        # widths ascend: as many as fit, the widest being the last
+        fits = width[lo:] * np.arange(1, len(order) - lo + 1) <= _CELLS
+        hi = lo + max(1, int(fits.sum()))
+        at, lo = order[lo:hi], hi
         rows, wide = max(len(items[i]) for i in at), max(len(windows[i]) for i in at)
         text, item = np.zeros((len(at), wide), np.uint64), np.zeros((len(at), rows), np.uint64)
         text_in, item_in = np.zeros((len(at), wide), bool), np.zeros((len(at), rows), bool)
@@ -102,7 +106,7 @@ class Items:
         first = np.searchsorted(owner, np.arange(len(self.ids)))
         size = np.diff(np.append(first, len(owner)))
         last = first + np.maximum(np.ceil(SEED_SHARE * size).astype(int) - 1, 0)
-        limit = np.maximum(n[np.minimum(last, len(n) - 1)], RARE) if len(n) else np.zeros(len(self.ids))
+        limit = n[np.minimum(last, len(n) - 1)] if len(n) else np.zeros(len(self.ids))
         few = n <= limit[owner] if len(n) else np.zeros(0, bool)
         _, stretch = np.unique(np.stack([owner, self.place[order] // STRETCH]), axis=1, return_inverse=True)
         least = np.full(len(order), np.iinfo(np.int64).max)
