@@ -118,7 +118,8 @@ def _full(shingle: int):
 def _postings(reps: DataFrame) -> DataFrame:
     """doc, n, central, mask, coord, token: the prefix of each representative's coordinates, without lone ones."""
     tokens = reps.select("doc", "n", F.posexplode("tokens").alias("coord", "token"))
-    freq = tokens.groupBy("token").agg(F.count("*").alias("freq")).where("freq > 1")
+    # written first, as hubs, open lists and least ids below: only then can a hot token's rows be split over tasks
+    freq = stage(tokens.groupBy("token").agg(F.count("*").alias("freq")).where("freq > 1"), "token-counts")
     per = (tokens.join(freq, "token").groupBy("doc", "n")
            .agg(F.sort_array(F.collect_list(F.struct("freq", "coord", "token"))).alias("s"))
            .select("doc", "n", F.size("s").alias("central"),
@@ -214,25 +215,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .join(wanted.select("doc"), "doc", "left_semi").dropDuplicates(["doc"]), "sets")
 
     # pass 1: against the hub of each list
-    hubs = post.groupBy("token").agg(F.max(F.struct("central", (-F.col("doc")).alias("minus"))).alias("h")).select(
-        "token", (-F.col("h.minus")).alias("hub"))
-    asked = post.join(hubs, "token").where("doc <> hub").select("hub", "doc").distinct()
-    left = sets.select(F.col("doc").alias("hub"), F.col("n").alias("hn"), F.col("tokens").alias("ht"), F.col("elements").alias("he"))
+    hubs = stage(post.groupBy("token").agg(F.max(F.struct("central", (-F.col("doc")).alias("minus")).alias("c")).alias("h"),
+                                           F.count("*").alias("held")).where("held > 1").select("token", (-F.col("h.minus")).alias("hub")), "hubs")
+    asked = (post.join(hubs, "token").where("doc <> hub").select("hub", "doc").distinct()
+             .join(sets.select(F.col("doc").alias("hub"), F.col("n").alias("hn"), F.col("tokens").alias("ht")), "hub")
+             .join(sets.select("doc", "n", "tokens"), "doc")
+             .where(f"100 * least(n, hn) >= {SIMILARITY} * greatest(n, hn)")
+             .where(F.size(F.array_intersect("ht", "tokens")) >= MATCH).select("hub", "doc"))
+    # full sets go only to the pairs that match so far
+    asked = stage(asked, "asked")
     overlap = F.size(F.array_intersect("he", "elements"))
     first = stage(
-        asked.join(left, "hub").join(sets.drop("signature"), "doc")
-        .where(f"100 * least(n, hn) >= {SIMILARITY} * greatest(n, hn)")
-        .where(F.size(F.array_intersect("ht", "tokens")) >= MATCH)
+        asked.join(sets.select(F.col("doc").alias("hub"), F.col("n").alias("hn"), F.col("elements").alias("he")), "hub")
+        .join(sets.select("doc", "n", "elements"), "doc")
         .where(100 * overlap >= SIMILARITY * (F.col("n") + F.col("hn") - overlap))
         .select(F.col("hub").alias("a"), F.col("doc").alias("b")), "links")
     comp = stage(components(first).select(F.col("node").alias("doc"), F.col("component").alias("comp")), "components")
-    sizes = comp.groupBy("comp").agg(F.count("*").alias("members"))
+    sizes = stage(comp.groupBy("comp").agg(F.count("*").alias("members")), "sizes")
 
     # pass 2: lists that still hold several components, hubs aside (they met everyone)
     rest = (post.join(hubs, "token").where("doc <> hub").join(comp, "doc", "left")
             .withColumn("comp", F.coalesce("comp", "doc")).select("doc", "n", "mask", "coord", "token", "comp"))
-    open_lists = rest.groupBy("token").agg(F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where(
-        "c0 <> c1").select("token", "m")
+    rest = stage(rest, "rest")
+    open_lists = stage(rest.groupBy("token").agg(F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where(
+        "c0 <> c1").select("token", "m"), "open-lists")
     rest = (rest.join(open_lists, "token").join(sizes, "comp", "left").withColumn("members", F.coalesce("members", F.lit(1)))
             .join(sets.select("doc", "signature"), "doc")
             .withColumn("block", _block("doc", F.col("m"), LIST_BLOCK))
@@ -259,9 +265,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .join(held_by, "doc_id").select("a", F.col("doc").alias("b")))
     links = comp.select(F.col("comp").alias("a"), F.col("doc").alias("b")).union(second).union(repeated)
     merged = stage(components(links), "components")
-    of_node = held_by.join(merged.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-        "component", F.coalesce("component", "doc")).select("doc_id", "component")
-    least = of_node.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_node = stage(held_by.join(merged.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
+        "component", F.coalesce("component", "doc")).select("doc_id", "component"), "of-node")
+    least = stage(of_node.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
     by_id = of_node.join(least, "component").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     return (signed.select("doc_id", F.col("n").alias("n_shingles")).join(by_id, "doc_id", "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
