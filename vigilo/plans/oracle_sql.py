@@ -464,6 +464,8 @@ def file_sql() -> dict[str, str]:
         "incremental_cpu_mem_alerts": CPU_MEM_ALERTS,
         "incremental_net_disk_alerts": NET_DISK_ALERTS,
         "stream_late_corrected": CPU_MEM_ALERTS,
+        "stream_dense_cpu_mem_alerts": CPU_MEM_ALERTS,
+        "stream_dense_net_disk_alerts": NET_DISK_ALERTS,
         "stream_progress_totals": STREAM_PROGRESS_TOTALS,
         "offset_ledger": OFFSET_LEDGER,
     }

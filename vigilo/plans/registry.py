@@ -24,7 +24,7 @@ from .alert_jobs import cpu_mem_alerts, net_disk_alerts, pair_alerts
 from .file_jobs import alerts_via_csv
 from ..session import scratch_path
 from .incremental import in_batches
-from .stream_jobs import consumer_progress, consumer_run, corrected_run, topic_alerts, windowed_run
+from .stream_jobs import consumer_progress, consumer_run, corrected_run, dense_run, topic_alerts, windowed_run
 from .ingest_jobs import (
     CONSUMER_1, CONSUMER_2, CONSUMERS, STATUS_COLUMNS, alert_totals, consume, processed_counts,
     progress_snapshot, reject_table,
@@ -196,6 +196,14 @@ def q_stream_cpu_mem_alerts(spark, sf_dir):
     return windowed_run(spark, *_pair(spark, sf_dir, CPU_MEM_JOB), dense=True)
 
 
+def q_stream_dense_cpu_mem_alerts(spark, sf_dir):
+    return dense_run(spark, *_pair(spark, sf_dir, CPU_MEM_JOB))
+
+
+def q_stream_dense_net_disk_alerts(spark, sf_dir):
+    return dense_run(spark, *_pair(spark, sf_dir, NET_DISK_JOB))
+
+
 def q_stream_net_disk_status(spark, sf_dir):
     return consumer_run(spark, read_table(spark, sf_dir, "lineitem"), CONSUMER_2, "csv").select(*STATUS_COLUMNS)
 
@@ -274,6 +282,8 @@ def all_queries() -> dict[str, Query]:
         "incremental_cpu_mem_alerts": q_incremental_cpu_mem_alerts,
         "incremental_net_disk_alerts": q_incremental_net_disk_alerts,
         "stream_late_corrected": q_stream_late_corrected,
+        "stream_dense_cpu_mem_alerts": q_stream_dense_cpu_mem_alerts,
+        "stream_dense_net_disk_alerts": q_stream_dense_net_disk_alerts,
         "stream_progress_totals": q_stream_progress_totals,
         "offset_ledger": q_offset_ledger,
     }

@@ -6,8 +6,11 @@ of the available input (``availableNow``), and returns a lazy read of the sink.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..config import MetricSpec, PairJobSpec
 from ..operators.messages import split_wide
@@ -15,6 +18,7 @@ from ..session import scratch_path
 from ..sources.files import publish_messages
 from ..sources.telemetry import wide_text
 from ..streaming.consumer import message_file_stream, progress_totals, read_consumer_output, read_metric_table, start_consumer
+from ..streaming.dense import DenseSink, start_dense_alerts
 from ..streaming.windows import HEARTBEAT_SERVER, late_rows, read_windowed, start_windowed_alerts
 from .alert_jobs import finish, pair_alerts
 from .incremental import AlertStore, start_corrected_alerts
@@ -110,6 +114,23 @@ def windowed_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSp
     the batch job's result table.
     """
     work = scratch_path(spark, f"window-stream-{job.label.lower()}")
+    _to_the_end(spark, a, b, job, work, files_per_trigger, lambda sa, sb: start_windowed_alerts(
+        sa, sb, job, f"{work}/out", f"{work}/checkpoint", watermark, available_now=True))
+    return finish(read_windowed(spark, f"{work}/out"), job, dense=dense, sort=dense)
+
+
+def dense_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSpec, watermark: str = "5 minutes",
+              files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Two metric feeds → windowed alert stream → the sink that adds empty windows as the stream goes on; feeds as in ``windowed_run``."""
+    work = scratch_path(spark, f"dense-stream-{job.label.lower()}")
+    _to_the_end(spark, a, b, job, work, files_per_trigger, lambda sa, sb: start_dense_alerts(
+        sa, sb, job, f"{work}/dense", f"{work}/checkpoint", watermark, available_now=True))
+    return DenseSink(spark, f"{work}/dense", job).alerts()
+
+
+def _to_the_end(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSpec, work: str, files_per_trigger: int,
+                start: Callable[[DataFrame, DataFrame], StreamingQuery]) -> None:
+    """Run a query over both feeds and their heartbeats until all windows are out; ``LateRows`` if rows were dropped."""
     feeds = {"a": (a, job.first.column), "b": (b, job.second.column)}
     staged = {}
     for k, (df, col) in feeds.items():
@@ -117,17 +138,15 @@ def windowed_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSp
         staged[k] = spark.read.parquet(f"{work}/{k}")
 
     def run(files: int) -> None:
-        sa, sb = (spark.readStream.schema(staged[k].schema).option("maxFilesPerTrigger", files).parquet(f"{work}/{k}")
-                  for k in ("a", "b"))
-        q = start_windowed_alerts(sa, sb, job, f"{work}/out", f"{work}/checkpoint", watermark, available_now=True)
+        q = start(*(spark.readStream.schema(staged[k].schema).option("maxFilesPerTrigger", files).parquet(f"{work}/{k}")
+                    for k in ("a", "b")))
         q.awaitTermination()
         late = late_rows(q)
         if late:
-            raise LateRows(f"{late} rows came later than the watermark of {watermark}; see {work}")
+            raise LateRows(f"{late} rows came later than the watermark allows; see {work}")
 
     run(files_per_trigger)
     for i in range(1, HEARTBEATS + 1):
         for k, (_, col) in feeds.items():
             _heartbeat(staged[k], [col], i).coalesce(1).write.mode("append").parquet(f"{work}/{k}")
         run(1)
-    return finish(read_windowed(spark, f"{work}/out"), job, dense=dense, sort=dense)
