@@ -413,6 +413,7 @@ def window_sql() -> dict[str, str]:
     return {
         "cpu_mem_joined": CPU_MEM_JOINED,
         "net_disk_joined": NET_DISK_JOINED,
+        "cpu_mem_joined_split": CPU_MEM_JOINED,
         "window_bounds": WINDOW_BOUNDS,
         "window_starts": WINDOW_STARTS,
         "server_list": SERVER_LIST,

@@ -56,6 +56,11 @@ def q_cpu_mem_joined(spark, sf_dir):
     return wr.pairs_table(*_pair(spark, sf_dir, CPU_MEM_JOB))
 
 
+def q_cpu_mem_joined_split(spark, sf_dir):
+    # a small block, so that the given tables hold keys that are split
+    return wr.split_pairs_table(*_pair(spark, sf_dir, CPU_MEM_JOB), block=4)
+
+
 def q_net_disk_joined(spark, sf_dir):
     return wr.pairs_table(*_pair(spark, sf_dir, NET_DISK_JOB))
 
@@ -247,6 +252,7 @@ def all_queries() -> dict[str, Query]:
         "net_disk_alerts": q_net_disk_alerts,
         "cpu_mem_joined": q_cpu_mem_joined,
         "net_disk_joined": q_net_disk_joined,
+        "cpu_mem_joined_split": q_cpu_mem_joined_split,
         "window_bounds": q_window_bounds,
         "window_starts": q_window_starts,
         "server_list": q_server_list,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import PairJobSpec
 from ..functions.timefmt import floor_to_slide, slide_index
+from ..operators.hot_keys import BLOCK, split_pair_join
 from ..operators.pairing import pair_stats
 from ..operators.windows import spine, window_bounds_cols
 from .alert_jobs import finish, joined_pairs, load_rounded, windowed_stats
@@ -28,6 +29,13 @@ def pairs_table(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
     return j.select(F.date_format("ts", FULL_TS).alias("ts"), "server_id", job.first.column, job.second.column)
 
 
+def split_pairs_table(a: DataFrame, b: DataFrame, job: PairJobSpec, block: int = BLOCK) -> DataFrame:
+    """``pairs_table`` with keys of more than ``block`` squared pairs split over tasks."""
+    fa, fb = job.first.column, job.second.column
+    j = split_pair_join(load_rounded(a, fa), load_rounded(b, fb), block)
+    return j.select(F.date_format("ts", FULL_TS).alias("ts"), "server_id", fa, fb)
+
+
 def spine_tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
