@@ -47,21 +47,21 @@ def _weighted(stats: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         for name, x, n in (("_as", "a_s", "b_n"), ("_ac", "a_c", "b_n"), ("_bs", "b_s", "a_n"), ("_bc", "b_c", "a_n"))])
 
 
-def windowed_stats(a: DataFrame, b: DataFrame, job: PairJobSpec) -> DataFrame:
-    """Per (server_id, w) aggregate over non-empty windows (warm-up windows included).
+def windowed_stats(a: DataFrame, b: DataFrame, job: PairJobSpec, aligned: bool = False) -> DataFrame:
+    """Per (server_id, w) aggregate over non-empty windows (warm-up windows included, unless ``aligned`` leaves out those it can tell early).
 
     Columns: ``server_id, w, _lo`` and ``x_a, x_b`` = the unrounded avg or max.
     """
     fa, fb = job.first.column, job.second.column
-    return windows_of_keys(pair_stats(load_rounded(a, fa), fa, load_rounded(b, fb), fb, job.how), job)
+    return windows_of_keys(pair_stats(load_rounded(a, fa), fa, load_rounded(b, fb), fb, job.how), job, aligned=aligned)
 
 
-def windows_of_keys(stats: DataFrame, job: PairJobSpec, flags: tuple[str, ...] = (), expand: int = EXPAND) -> DataFrame:
+def windows_of_keys(stats: DataFrame, job: PairJobSpec, flags: tuple[str, ...] = (), expand: int = EXPAND, aligned: bool = False) -> DataFrame:
     """``windowed_stats`` from the statistics of paired keys.
 
     Keys are summed up per slide bucket first. Where up to ``expand`` windows hold a bucket, buckets are repeated
     for their windows; where there are more, or windows aren't whole slides, the aggregate slides over panes
-    (``operators.panes``). ``flags``: columns of which a window gets the largest value.
+    (``operators.panes``; with ``aligned`` without the warm-up windows). ``flags``: columns of which a window gets the largest value.
     """
     spec = job.window.validate()
     if job.how == "avg":
@@ -75,7 +75,7 @@ def windows_of_keys(stats: DataFrame, job: PairJobSpec, flags: tuple[str, ...] =
     if whole and spec.length_s // spec.slide_s <= expand:
         g = bucket_windows(buckets, spec).groupBy("server_id", "w").agg(*[agg.alias(c) for c, agg in merge.items()], F.min("_b").alias("_lo"))
     else:
-        g = sliding(buckets.withColumnRenamed("_b", "_p"), spec, merge, _num_partitions(stats))
+        g = sliding(buckets.withColumnRenamed("_b", "_p"), spec, merge, _num_partitions(stats), aligned)
         g = g.withColumn("_lo", F.floor(F.col("_p_lo") * step / spec.slide_s).cast("long"))
     if job.how == "avg":
         return g.select("server_id", "w", "_lo", F.try_divide("_as", "_ac").alias("x_a"), F.try_divide("_bs", "_bc").alias("x_b"), *flags)
@@ -113,7 +113,7 @@ def pair_alerts(a: DataFrame, b: DataFrame, job: PairJobSpec, dense: bool = True
                 sort: bool = True) -> DataFrame:
     """Windowed alert table for one job: ``server_id, window_start, window_end, <m1>, <m2>, alert``."""
     job.window.validate()
-    return finish(windowed_stats(a, b, job), job, dense=dense, sort=sort)
+    return finish(windowed_stats(a, b, job, aligned=dense), job, dense=dense, sort=sort)
 
 
 def cpu_mem_alerts(cpu: DataFrame, mem: DataFrame, job: PairJobSpec = CPU_MEM_JOB, **kw) -> DataFrame:
