@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -62,6 +63,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def write_folders(df: DataFrame, path: str, partition_by: Iterable[str] = (), mode: str = "error", open_files: int = 8) -> None:
+    """Write parquet, a folder for each value of ``partition_by``.
+
+    Rows go to their folders as they come: a task keeps up to ``open_files`` files open, and sorts its rows by folder
+    only from the value on that is one too many (Spark sorts all of them otherwise, and spills). A setting of the session counts instead.
+    """
+    conf = df.sparkSession.conf
+    columns, own = list(partition_by), conf.get(_OPEN_FILES, None)
+    w = df.write.mode(mode).option("compression", "zstd")
+    if not columns or own is not None:
+        (w.partitionBy(*columns) if columns else w).parquet(path)
+        return
+    conf.set(_OPEN_FILES, str(open_files))
+    try:
+        w.partitionBy(*columns).parquet(path)
+    finally:
+        conf.unset(_OPEN_FILES)
+
+
 def stage(df, name: str):
     """Write ``df`` as a parquet table in the shared folder and read it back.
 

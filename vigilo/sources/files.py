@@ -14,6 +14,7 @@ from ..config import MetricSpec
 from ..functions.metrics import double_text
 from ..functions.timefmt import parse_ts_text
 from ..schemas import MESSAGES, WIDE_TEXT
+from ..session import write_folders
 
 
 def metric_csv_schema(metric: MetricSpec) -> T.StructType:
@@ -74,8 +75,7 @@ def read_result_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 def publish_messages(messages: DataFrame, path: str, mode: str = "append") -> None:
     """File stand-in for publishing to topics: parquet partitioned by topic."""
-    (messages.select("topic", "value", *[c for c in ("offset", "timestamp") if c in messages.columns])
-     .write.mode(mode).partitionBy("topic").parquet(path))
+    write_folders(messages.select("topic", "value", *[c for c in ("offset", "timestamp") if c in messages.columns]), path, ("topic",), mode)
 
 
 def read_messages(spark: SparkSession, path: str, topics: list[str] | None = None) -> DataFrame:
