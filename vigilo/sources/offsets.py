@@ -1,8 +1,9 @@
 """Topics as committed tables of messages with offsets, and what each consumer group has taken of them.
 
 Offsets of a topic begin at 0, have no gaps and go on with each publication. They are a distributed prefix
-sum: rows are numbered within their topic and task, the tasks' counts are added up per topic (a row a
-task), and the sum before a task is the base of its rows; no task numbers a topic's rows alone. A group's
+sum: each task writes its rows of a topic to a file of their own, where a row's place is its number, the
+files' counts are added up per topic (a row a file), and the sum before a file is the base of its rows; no
+task numbers a topic's rows alone, and no message is shuffled or sorted. A group's
 position is a row a topic in the ledger; a group without one begins at offset 0.
 """
 
@@ -11,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import scratch_path, stage, write_folders
 from .commits import COMPACT_EVERY, CommittedTable
 
+OPEN_TOPICS = 64          # files that a publishing task keeps open
 MESSAGE_COLUMNS = ("topic", "value", "offset", "timestamp")
 
 
@@ -43,24 +45,28 @@ class TopicLog:
     def publish(self, messages: DataFrame) -> dict[str, int]:
         """Append ``topic, value`` rows, each with its topic's next offset; returns the topics' new ends.
 
-        Rows without a topic are left out. The order within a publication is that of the frame's tasks and their rows.
+        Rows without a topic are left out. The order within a publication is that of the frame's tasks and their rows (of a
+        task's first OPEN_TOPICS topics; it may write rows of more in another order).
         """
-        rows = stage(messages.where(F.col("topic").isNotNull()).select(
+        path = scratch_path(self.spark, "published")
+        rows = (messages.where(F.col("topic").isNotNull()).select(
             "topic", F.col("value").cast("string").alias("value"),
             (F.col("timestamp") if "timestamp" in messages.columns else F.current_timestamp()).cast("timestamp").alias("timestamp"),
-            F.monotonically_increasing_id().alias("_row")), "published")
-        rows = rows.withColumn("_task", F.shiftright("_row", 33))
-        tasks = rows.groupBy("topic", "_task").agg(F.count("*").alias("_n"))
-        before = Window.partitionBy("topic").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-        bases = tasks.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))           # a row a topic and task
+            F.col("topic").alias("_folder")))
+        write_folders(rows, path, ("_folder",), open_files=OPEN_TOPICS)
+        rows = self.spark.read.schema(rows.drop("_folder").schema).parquet(path).select(
+            "topic", "value", "timestamp", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_nth"))
+        tasks = rows.groupBy("topic", "_file").agg(F.count("*").alias("_n"))
+        before = Window.partitionBy("topic").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+        # a row a topic and file, written, so that Spark knows its size when it plans the join
+        bases = stage(tasks.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))), "publication")
         start = self.end_offsets()
         first = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in start.items() for x in kv]), F.col("topic")), F.lit(0)) if start else F.lit(0)
-        nth = F.row_number().over(Window.partitionBy("topic", "_task").orderBy("_row"))
-        out = (rows.withColumn("_nth", nth).join(bases.select("topic", "_task", "_base"), ["topic", "_task"])
-               .select("topic", "value", (first + F.col("_base") + F.col("_nth") - 1).cast("long").alias("offset"), "timestamp"))
+        out = (rows.join(bases.select("topic", "_file", "_base"), ["topic", "_file"])
+               .select("topic", "value", (first + F.col("_base") + F.col("_nth")).cast("long").alias("offset"), "timestamp"))
         batch = self._next(self.messages)
         self.messages.commit(out, batch)
-        ends = tasks.groupBy("topic").agg(F.sum("_n").alias("n")).select("topic", (first + F.col("n")).cast("long").alias("end"))
+        ends = bases.groupBy("topic").agg(F.sum("_n").alias("n")).select("topic", (first + F.col("n")).cast("long").alias("end"))
         self.ends.commit(ends, batch)
         return self.end_offsets()
 
@@ -115,6 +121,10 @@ def offset_ledger(spark: SparkSession, messages: DataFrame, groups: dict[str, tu
             taken = new if taken is None else taken.union(new)
             log.take(group, position)
     at = spark.createDataFrame([(g, t, p) for g in groups for t, p in log.position(g).items()], "consumer string, topic string, next_offset long")
-    return (taken.groupBy("consumer", "topic").agg(F.count("*").alias("taken"), F.count_distinct("offset").alias("offsets"),
-                                                   F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
+    # distinct offsets: 64 neighbours are the bits of a word, which the tasks put together before words are shuffled
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("offset").bitwiseAND(63).cast("int"))
+    words = taken.groupBy("consumer", "topic", F.shiftright("offset", 6).alias("_word")).agg(
+        F.count("*").alias("_n"), F.bit_or(bit).alias("_bits"), F.min("offset").alias("_lo"), F.max("offset").alias("_hi"))
+    return (words.groupBy("consumer", "topic").agg(F.sum("_n").alias("taken"), F.sum(F.bit_count("_bits")).alias("offsets"),
+                                                   F.min("_lo").alias("first_offset"), F.max("_hi").alias("last_offset"))
             .join(at, ["consumer", "topic"]))
