@@ -53,10 +53,13 @@ def key_partials(a: DataFrame, a_col: str, b: DataFrame, b_col: str, how: str =
     return u.groupBy(*KEYS).agg(*aggs)
 
 
-def merge_partials(partials: DataFrame, how: str, *more: Column) -> DataFrame:
-    """Partials of several batches of rows as those of all the rows: counts and sums add up, maxima are maxima."""
+def merge_partials(partials: DataFrame, how: str, *more: Column, dealt_by: tuple[str, ...] = ()) -> DataFrame:
+    """Partials of several batches of rows as those of all the rows: counts and sums add up, maxima are maxima.
+
+    ``dealt_by``: columns that follow from the keys; rows that are dealt by the server and these stay where they are.
+    """
     columns = ("a_n", "b_n", "a_s", "a_c", "b_s", "b_c") if how == "avg" else ("a_n", "b_n", "a_m", "b_m")
-    return partials.groupBy(*KEYS).agg(*[(F.max if c.endswith("_m") else F.sum)(c).alias(c) for c in columns], *more)
+    return partials.groupBy(*KEYS, *dealt_by).agg(*[(F.max if c.endswith("_m") else F.sum)(c).alias(c) for c in columns], *more)
 
 
 def on_both_sides(partials: DataFrame) -> DataFrame:

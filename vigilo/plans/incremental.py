@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PairJobSpec
-from ..functions.timefmt import slide_index
 from ..operators.pairing import key_partials, merge_partials, on_both_sides
 from ..sources.commits import COMPACT_EVERY, CommittedTable
 from .alert_jobs import finish, load_rounded, windows_of_keys
@@ -56,23 +55,31 @@ class AlertStore:
             return
         fa, fb = self.job.first.column, self.job.second.column
         new = key_partials(load_rounded(first, fa), fa, load_rounded(second, fb), fb, self.job.how)
-        new = self.partials.read_folder(self.partials.commit(new.withColumn("hour", _hour(F.unix_seconds("ts"))), batch, run))
-        changed = self._computed_again(new).withColumn("seq", F.lit(batch).cast("long"))
+        folder = self.partials.commit(new.withColumn("hour", _hour(F.unix_seconds("ts"))), batch, run)
+        changed = self._computed_again(self.partials.read_folder(folder), folder).withColumn("seq", F.lit(batch).cast("long"))
         self.windows.commit(changed, batch, run)
 
-    def _computed_again(self, new: DataFrame) -> DataFrame:
-        """The windows that hold a key of the new partials, from all partials of their blocks of time."""
+    def _computed_again(self, new: DataFrame, folder: str | None = None) -> DataFrame:
+        """The windows that hold a key of the new partials, from all partials of their blocks of time.
+
+        folder: that of the new partials, by default the last. Partials are dealt once, by server and block: the semi-join, the
+        merge of their keys and the sums of their buckets need no more, and the new ones are known by their folder.
+        """
+        folders = self.partials.folders()
+        folder = folder or folders[-1]
         # a window of a key lies in the block of the key's time (blocks are as long as windows) or a neighbouring one
         blocks = new.select("server_id", F.explode(F.array(self._block() - 1, self._block(), self._block() + 1)).alias("_block")).distinct()
-        held = self.partials.read()
+        held = self.partials.read_marked(folder)
         reach = -(-2 * self.spec.length_s // HOUR_S)
         hours = [r.hour for r in new.select("hour").distinct().limit(MOST_HOURS + 1).collect()]
         if len(hours) <= MOST_HOURS:
             held = held.where(F.col("hour").isin(sorted({h + k for h in hours for k in range(-reach, reach + 1)})))
-        held = held.withColumn("_block", self._block()).join(blocks, ["server_id", "_block"], "left_semi")
-        keys = on_both_sides(merge_partials(held, self.job.how)).withColumn("_slide", slide_index("ts", self.spec.slide_s))
-        touched = new.select("server_id", slide_index("ts", self.spec.slide_s).alias("_slide"), F.lit(1).alias("_new")).distinct()
-        keys = keys.join(touched, ["server_id", "_slide"], "left").drop("_slide")
+        held = held.withColumn("_block", self._block())
+        if folders == [folder]:
+            held = held.repartition("server_id", "_block")          # nothing but the new ones
+        else:
+            held = held.join(blocks, ["server_id", "_block"], "left_semi")
+        keys = on_both_sides(merge_partials(held, self.job.how, F.max("_new").alias("_new"), dealt_by=("_block",))).drop("_block")
         return windows_of_keys(keys, self.job, ("_new",)).where("_new = 1").drop("_new")
 
     def current(self) -> DataFrame:
