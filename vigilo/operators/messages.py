@@ -74,12 +74,33 @@ def _route(topic: Column, attr: str, metrics: Iterable[MetricSpec], cast=None) -
     return expr
 
 
+_PLAIN = ("ts", "server", "one", "two")      # fields of a message in the order in which the producer spells them
+_MOST_PLAIN = 1_000_000      # bytes; longer messages go to the parser, which has bounds of its own
+
+
+def _with_plain(messages: DataFrame, value: Column) -> DataFrame:
+    """``_plain``: the message is letter for letter what ``encode_value`` writes for the texts ``_text_*`` of its fields.
+
+    Then all fields are strings without escapes, each key is there once, and nothing is left to the parser. The texts are what
+    lies between the quotes; the test is equality with the message put together again, and no character that JSON strings must escape.
+    """
+    df = messages.withColumns({f"_text_{k}": F.substring_index(F.substring_index(value, '"', 4 * i), '"', -1) for i, k in enumerate(_PLAIN, 1)})
+    ts, server, one, two = (F.col(f"_text_{k}") for k in _PLAIN)
+    second = F.col("_second")
+    last = F.when(second.isNull(), F.lit("")).otherwise(F.concat(F.lit(',"'), second, F.lit('":"'), two, F.lit('"')))
+    again = F.concat(F.lit('{"ts":"'), ts, F.lit('","server_id":"'), server, F.lit('","'), F.col("_first"), F.lit('":"'), one, F.lit('"'), last, F.lit("}"))
+    texts = F.concat(ts, server, one, F.when(second.isNull(), F.lit("")).otherwise(two))
+    unescaped = F.regexp_instr(texts, F.lit(r'["\x00-\x1f\\]')) == 0
+    plain = (value == again) & (F.octet_length(value) < _MOST_PLAIN) & unescaped & F.is_valid_utf8(value)
+    return df.withColumn("_plain", F.coalesce(plain, F.lit(False)))
+
+
 def _with_object(messages: DataFrame, value: Column) -> DataFrame:
-    """``_parsed``: top-level fields of a message that is one JSON object and nothing else, else NULL.
+    """``_parsed``: top-level fields of a message that is one JSON object and nothing else, else NULL; NULL for ``_plain`` ones, too.
 
     One parse a message: the array is a column of its own that the next projection reads.
     """
-    both = F.from_json(_wrapped(value), "array<map<string,string>>", {"allowSingleQuotes": "false"})
+    both = F.when(~F.col("_plain"), F.from_json(_wrapped(value), "array<map<string,string>>", {"allowSingleQuotes": "false"}))
     b = F.col("_both")
     whole = (F.size(b) == 2) & F.map_contains_key(F.get(b, F.lit(1)), F.lit(_END)) & F.is_valid_utf8(value)
     return messages.withColumn("_both", both).withColumn("_parsed", F.when(whole, F.get(b, F.lit(0)))).drop("_both")
@@ -93,7 +114,7 @@ def _with_json_fields(df: DataFrame, value: Column, metrics: tuple[MetricSpec, .
     """The top-level fields that count, looked up once each: of repeated keys the last.
 
     ``_ts, _server, _one, _two``: the parser's text of the field (NULL: JSON null or missing), ``_at_*``: its place among
-    the keys from the end, 0 where it is missing. ``_types``: JSON types by key, by a second parse that is made only
+    the keys from the end, 0 where it is missing (``_plain`` messages aren't parsed: the texts between their quotes, and 1). ``_types``: JSON types by key, by a second parse that is made only
     for messages one of whose fields reads alike as a string and as something else. That parse takes no repeated
     keys; in messages with such, what reads like something else than a string counts as that.
     """
@@ -102,12 +123,14 @@ def _with_json_fields(df: DataFrame, value: Column, metrics: tuple[MetricSpec, .
     second = F.lit(None).cast("string")
     for t, c in extra.items():
         second = F.when(topic == t, F.lit(c)).otherwise(second)
-    df = _with_object(df, value)
+    df = df.withColumns({"_first": _route(topic, "column", metrics), "_second": second})
+    df = _with_object(_with_plain(df, value), value)
+    plain = F.col("_plain")
     df = df.withColumns({"_keys": F.reverse(F.map_keys("_parsed")), "_values": F.reverse(F.map_values("_parsed")),
-                         "_n": F.size("_parsed"), "_first": _route(topic, "column", metrics), "_second": second})
+                         "_n": F.when(plain, F.lit(3)).otherwise(F.size("_parsed"))})
     keys = {"ts": F.lit("ts"), "server": F.lit("server_id"), "one": F.col("_first"), "two": F.col("_second")}
-    df = df.withColumns({f"_at_{k}": F.coalesce(F.array_position("_keys", c), F.lit(0)).cast("int") for k, c in keys.items()})
-    df = df.withColumns({f"_{k}": F.get("_values", F.col(f"_at_{k}") - 1) for k in keys})
+    df = df.withColumns({f"_at_{k}": F.when(plain, F.lit(1)).otherwise(F.coalesce(F.array_position("_keys", c), F.lit(0)).cast("int")) for k, c in keys.items()})
+    df = df.withColumns({f"_{k}": F.when(plain, F.col(f"_text_{k}")).otherwise(F.get("_values", F.col(f"_at_{k}") - 1)) for k in keys})
 
     def word_or_nested(c: str) -> Column:
         return F.col(c).isin("true", "false") | F.ascii(c).isin(34, 91, 123)       # a quote or an opening bracket
@@ -117,7 +140,7 @@ def _with_json_fields(df: DataFrame, value: Column, metrics: tuple[MetricSpec, .
     unsure = (word_or_nested("_ts") | word_or_nested("_server") | word_or_nested("_one") | word_or_nested("_two")
               | like_number("_ts") | like_number("_server"))
     typed = F.try_variant_get(F.try_parse_json(value), "$", "map<string,variant>")
-    df = df.withColumn("_unsure", F.coalesce(unsure, F.lit(False)))
+    df = df.withColumn("_unsure", F.when(plain, F.lit(False)).otherwise(F.coalesce(unsure, F.lit(False))))
     return df.withColumn("_types", F.when(F.col("_unsure"), F.transform_values(typed, lambda k, v: F.schema_of_variant(v))))
 
 
@@ -139,7 +162,7 @@ def _json_fields(value: Column) -> dict[str, Column]:
         other = F.when(raw == "true", F.lit(1.0)).when(raw == "false", F.lit(0.0)).when(
             raw.isin('"NaN"', '"Infinity"', '"-Infinity"'), F.btrim(raw, F.lit('"')).try_cast("double"))
         return (F.when(F.col(f"_at_{name}") == 0, F.lit(0.0))
-                .when((raw.isin("true", "false") | (F.ascii(raw) == 34)), F.when(F.coalesce(kind != "STRING", F.lit(True)), other))
+                .when(~F.col("_plain") & (raw.isin("true", "false") | (F.ascii(raw) == 34)), F.when(F.coalesce(kind != "STRING", F.lit(True)), other))
                 .otherwise(number(raw)))
 
     return {"ts_text": text("ts", "ts"), "server_id": text("server", "server_id"), "value": figure("one", "_first"),
@@ -150,7 +173,7 @@ def _json_fields(value: Column) -> dict[str, Column]:
 def _json_reason(value: Column) -> Column:
     bad = F.col("_f.value").isNull() | (F.col("_second").isNotNull() & F.col("_f.value2").isNull())
     return (F.when(value.isNull(), F.lit(REASON_NULL)).when(F.col("_f.skip"), F.lit(None))
-            .when(F.col("_parsed").isNull(), F.lit(REASON_MALFORMED)).when(bad, F.lit(REASON_BAD_NUMBER)))
+            .when(F.col("_parsed").isNull() & ~F.col("_plain"), F.lit(REASON_MALFORMED)).when(bad, F.lit(REASON_BAD_NUMBER)))
 
 
 def _csv_fields(value: Column, metrics: tuple[MetricSpec, ...]) -> dict[str, Column]:
