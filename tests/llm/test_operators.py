@@ -1,8 +1,10 @@
 """Each operator against a brute-force form, and on nulls, empty and long texts, ties, repeated rows and empty tables."""
 
+import json
 import math
 import random
 import re
+import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
@@ -489,6 +491,68 @@ def test_packed_sequences_hold_their_ids(spark, docs, rows):
     assert small.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
 
+def test_library_is_asked_in_blocks(monkeypatch):
+    """New pre-tokens go to the library thousands at a time; special strings, in blocks too, stay one id."""
+    made = odd_texts()
+    path = transducer.default_path()
+    asked = packing.UnitIds(path)
+    tokenizer, opened = asked.tokenizer, []
+
+    class Counting:
+        @property
+        def model(self):
+            opened.append(1)
+            return tokenizer.model
+
+    asked.tokenizer = Counting()
+    monkeypatch.setattr(packing, "ASKED", 7, raising=False)
+    batch = pa.record_batch({"doc_id": list(range(len(made))), "text": made})
+    got, parts = [], 0
+    for part in scan.slices(iter([batch])):
+        parts += 1
+        ids, first = asked.of(part)
+        got += [ids[a:b].tolist() for a, b in zip(first, first[1:])]
+    assert got == [[*e.ids, 0] for e in tokenizer.encode_batch(made, add_special_tokens=False)]
+    assert 1 <= len(opened) <= parts
+
+
+def test_staged_ids_are_bytes(tmp_path):
+    """Pieces are staged with two bytes an id, which sort as the ids do; larger ids take four."""
+    path = transducer.default_path()
+    tokenizer = transducer.open_tokenizer(path)[0]
+    text = "Packed " + " ".join(WORDS) * 200
+    ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+    batch = pa.record_batch({"doc_id": pa.array([5, None], pa.int64()), "text": [text, None]})
+    got = [r for b in packing._pieces(path, 300)(iter([batch])) for r in b.to_pylist()]
+    assert all(isinstance(r["ids"], bytes) and len(r["ids"]) == 2 * r["length"] for r in got)
+    assert [x for r in got for x in np.frombuffer(r["ids"], ">u2").tolist()] == [*ids, 0]
+    spelled = [(r["ids"], np.frombuffer(r["ids"], ">u2").tolist()) for r in got]
+    assert [x for _, x in sorted(spelled)] == sorted(x for _, x in spelled)
+
+    spec = json.load(open(path, encoding="utf-8"))
+    spec["model"]["vocab"] = {k: i + 70_000 for k, i in spec["model"]["vocab"].items()}
+    for t in spec["added_tokens"]:
+        t["id"] += 70_000
+    wide = tmp_path / "wide.json"
+    wide.write_text(json.dumps(spec), encoding="utf-8")
+    got = [r for b in packing._pieces(str(wide), 300)(iter([batch])) for r in b.to_pylist()]
+    assert all(len(r["ids"]) == 4 * r["length"] for r in got)
+    rows = pa.Table.from_pylist([{**r, "sequence_id": 0, "offset": 0} for r in got]).to_batches()
+    packed = [r for b in packing._with_checksums(iter(rows)) for r in b.to_pylist()]
+    assert [x for r in packed for x in r["ids"]] == [*(i + 70_000 for i in ids[:-1]), 0, 0]
+    assert all(r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes()) for r in packed)
+
+
+def test_kept_with_colliding_keys():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 50, 4000).astype(np.uint64) << np.uint64(58) | rng.integers(0, 1 << 40, 4000).astype(np.uint64))
+    kept = transducer.Kept(4)
+    values = rng.integers(0, 9, len(keys))
+    for i in range(0, len(keys), 700):
+        kept.put(keys[i: i + 700], values[i: i + 700])
+    assert kept.n == len(keys) and (kept.get(keys) == values).all() and (kept.get(keys + np.uint64(1 << 50)) == -1).all()
+
+
 def test_plan_places_every_piece():
     rng = random.Random(1)
     counts = Counter(rng.choice((rng.randint(1, 2048), 700, 2048)) for _ in range(4000))

@@ -86,10 +86,8 @@ class _PlainIds(UnitIds):
     """Ids of texts with strings of special tokens as plain text, without an id behind each text."""
 
     def __init__(self, path: str):
-        self.tokenizer, _ = open_tokenizer(path)
-        self.splitter, self.special = Splitter(self.tokenizer, []), {}
-        self.symbols = {b: c for c, b in byte_symbols().items()}
-        self.forget()
+        tokenizer = open_tokenizer(path)[0]
+        self.open(tokenizer, Splitter(tokenizer, []), [])
 
 
 class _Spelling:

@@ -8,8 +8,8 @@ squares (first to all, then to the SUPPORT patterns that count most), rounded la
 the histogram goes, and the remaining lengths packed best fit, a pattern as often as it goes each time,
 which uses up a length each time. A plan has at most SUPPORT + CAPACITY patterns, however many documents
 there are. Pieces are then numbered within their length, and a piece's number picks its
-pattern, copy and place. Pieces carry their token ids all the way, so that the rows of a sequence_id,
-by offset, are the packed sequence; checksums are taken from those ids.
+pattern, copy and place. Pieces carry their token ids all the way, as bytes until they have their places, so that the
+rows of a sequence_id, by offset, are the packed sequence; checksums are taken from those ids.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from functools import lru_cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +30,22 @@ from pyspark.sql import functions as F
 from ..session import stage
 from . import scan
 from .common import id_and_text
-from .transducer import Kept, byte_symbols, default_path, open_tokenizer
+from .transducer import Kept, Splitter, byte_symbols, default_path, open_tokenizer
 
 CAPACITY = 2048
 END_ID = 0
 ROUNDS = 120
 SUPPORT = 4096            # patterns kept of a first fit to all, and fitted again
 MAX_UNITS = 600_000       # distinct units remembered by a task; then it starts afresh, with the same results
+ASKED = 4096              # pre-tokens whose tokens are objects of the library at a time
+ROWS = 1024               # pieces handed on at a time
 CHUNKS = 256              # numbering groups of a length; no group holds more than its share of it
 
 _PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
-                    ("ids", pa.list_(pa.int32())), ("chunk", pa.int32())])
-_PIECE_DDL = "doc_id long, piece int, start long, length long, ids array<int>, chunk int"
+                    ("ids", pa.binary()), ("chunk", pa.int32())])
+_PIECE_DDL = "doc_id long, piece int, start long, length long, ids binary, chunk int"
+_PACKED = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
+                     ("ids", pa.list_(pa.int32())), ("ids_crc32", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 _PACKED_DDL = "doc_id long, piece int, start long, length long, ids array<int>, ids_crc32 long, sequence_id long, offset long"
 
 #: A space is surely the first byte of a token if one of these bytes follows: visible ASCII but '<', with
@@ -78,6 +84,12 @@ class IdStore:
         return self.ids[np.repeat(self.at[numbers] - total[:-1], size) + np.arange(total[-1])], total
 
 
+def gathered(buf: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches buf[at:at + size] one after another, each with a place behind it, and these places."""
+    ends = np.cumsum(size + 1) - 1
+    return buf.take(np.repeat(at - (ends - size), size + 1) + np.arange(ends[-1] + 1), mode="clip"), ends
+
+
 class UnitIds:
     """Ids of a slice's texts, from the library's model, asked once for each distinct pre-token.
 
@@ -86,23 +98,45 @@ class UnitIds:
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.splitter = open_tokenizer(path)
-        self.special = {s: self.tokenizer.token_to_id(s.decode()) for s in self.splitter.special}
-        self.symbols = {b: c for c, b in byte_symbols().items()}
+        tokenizer, splitter = open_tokenizer(path)
+        self.open(tokenizer, splitter, splitter.special)
+
+    def open(self, tokenizer, splitter: Splitter, special: list[bytes]) -> None:
+        """special: the splitter's strings that are one id each."""
+        from tokenizers import Token
+
+        self.tokenizer, self.splitter = tokenizer, splitter
+        self.symbols = np.zeros(256, "<u2")
+        for c, b in byte_symbols().items():
+            self.symbols[b] = ord(c)
+        self.special = {self.symbols[[*s]].tobytes().decode("utf-16-le"): [Token(tokenizer.token_to_id(s.decode()), s.decode(), (0, len(s)))]
+                        for s in special}
+        self.special_sizes = [len(s) for s in special]
         self.forget()
 
     def forget(self) -> None:
         self.units, self.tokens = IdStore(), IdStore()
 
-    def _ids_of(self, piece: bytes) -> list[int]:
-        if piece in self.special:
-            return [self.special[piece]]
-        return [t.id for t in self.tokenizer.model.tokenize(piece.decode("latin-1").translate(self.symbols))]
-
-    def _learn(self, h: np.ndarray, units: list[bytes]) -> None:
-        size = np.array([len(u) for u in units], np.int64)
-        buf = np.frombuffer(b" ".join(units) + b" ", np.uint8)
-        ends = np.cumsum(size + 1) - 1
+    def _ids_of(self, buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens buf[begin:end] one after another, and how many each has."""
+        tokenize, id_of, flat, size = self.tokenizer.model.tokenize, attrgetter("id"), [], []
+        for i in range(0, len(begin), ASKED):
+            raw, ends = gathered(buf, begin[i: i + ASKED], end[i: i + ASKED] - begin[i: i + ASKED])
+            written = self.symbols[raw]
+            written[ends] = 0x20                            # no byte is written as a space
+            pieces = written.tobytes().decode("utf-16-le").split(" ")[:-1]
+            found = [*map(tokenize, pieces)]
+            for k in np.flatnonzero(np.isin(np.diff(ends, prepend=-1) - 1, self.special_sizes)).tolist():
+                found[k] = self.special.get(pieces[k], found[k])
+            n = np.fromiter(map(len, found), np.int64, len(found))
+            flat.append(np.fromiter(map(id_of, chain.from_iterable(found)), np.uint32, int(n.sum())))
+            size.append(n)
+        return np.concatenate(flat), np.concatenate(size)
+
+    def _learn(self, h: np.ndarray, text: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
+        """Keep the ids of the new units text[at:at + size], whose hashes are h."""
+        buf, ends = gathered(text, at, size)
+        buf[ends] = 0x20
         part = scan.Slice(None, buf, ends - size, ends)
         begin = self.splitter.split(part)
         end = np.append(begin[1:], len(buf))
@@ -114,10 +148,7 @@ class UnitIds:
         new = np.flatnonzero((got < 0) & own)
         if len(new):
             keys, first = np.unique(hashes[new], return_index=True)
-            raw, at = buf.tobytes(), new[first]
-            found = [self._ids_of(raw[a:b]) for a, b in zip(begin[at].tolist(), end[at].tolist())]
-            sizes = np.array([len(x) for x in found], np.int64)
-            self.tokens.add(keys, np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum())), sizes)
+            self.tokens.add(keys, *self._ids_of(buf, begin[new[first]], end[new[first]]))
             got[new] = self.tokens.kept.get(hashes[new])
         flat, total = self.tokens.spelled(got[own])
         total = total[np.searchsorted(begin[own], ends)]
@@ -145,8 +176,8 @@ class UnitIds:
         new = np.flatnonzero(got < 0)
         if len(new):
             keys, first = np.unique(h[new], return_index=True)
-            raw, at = buf.tobytes(), own[new[first]]
-            self._learn(keys, [raw[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist())])
+            at = own[new[first]]
+            self._learn(keys, buf, begin[at], end[at] - begin[at])
             got[new] = self.units.kept.get(h[new])
         unit[own] = got
         ids, total = self.units.spelled(unit)
@@ -158,6 +189,12 @@ def _unit_ids(path: str) -> UnitIds:
     return UnitIds(path)
 
 
+@lru_cache(maxsize=2)
+def _id_type(path: str) -> np.dtype:
+    """How staged ids are written: two bytes each where the vocabulary allows it, highest first, so that bytes sort as the ids do."""
+    return np.dtype(">u2" if max(open_tokenizer(path)[0].get_vocab(True).values()) < 1 << 16 else ">u4")
+
+
 def _pieces(path: str, capacity: int):
     def run(batches):
         for part in scan.slices(batches):
@@ -173,22 +210,33 @@ def _pieces(path: str, capacity: int):
             lo = first[doc] + start
             chunk = (scan.mix((start.astype(np.uint64) << np.uint64(32))
                               + scan.mix(doc.astype(np.uint64) + (np.uint64(len(ids)) << np.uint64(32)))) % np.uint64(CHUNKS)).astype(np.int32)
-            spelled = scan.lists(ids.astype(np.int32), np.append(lo, len(ids)), pa.int32())       # pieces lie one after another
-            yield scan.batch(_PIECE, part.rows.column(0).take(pa.array(doc)), piece, start, length, spelled, chunk)
+            for i in range(0, len(doc), ROWS):                                                    # pieces lie one after another
+                j = min(i + ROWS, len(doc))
+                end = int(lo[j - 1] + length[j - 1])
+                written = ids[lo[i]: end].astype(_id_type(path))
+                at = ((np.append(lo[i:j], end) - lo[i]) * written.itemsize).astype(np.int32)
+                spelled = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(at), pa.py_buffer(written)])
+                yield scan.batch(_PIECE, part.rows.column(0).take(pa.array(doc[i:j])), piece[i:j], start[i:j], length[i:j], spelled, chunk[i:j])
         _unit_ids(path).forget()
         scan.give_back()
     return run
 
 
 def _with_checksums(batches):
-    """The rows with the CRC-32 of their ids as little-endian 32-bit numbers, before the last two columns."""
-    for rows in batches:
-        ids = rows.column(rows.schema.get_field_index("ids"))
-        at = ids.offsets.to_numpy().tolist()
-        raw = memoryview(ids.values.to_numpy().astype("<u4")).cast("B")
-        crc = pa.array([zlib.crc32(raw[4 * a: 4 * b]) for a, b in zip(at, at[1:])], pa.int64())
-        names, columns = rows.schema.names, rows.columns
-        yield pa.RecordBatch.from_arrays([*columns[:-2], crc, *columns[-2:]], names=[*names[:-2], "ids_crc32", *names[-2:]])
+    """The rows with their ids as numbers and the CRC-32 of these as little-endian 32-bit numbers."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, ROWS):
+            rows = batch.slice(i, ROWS)
+            column = {name: rows.column(j) for j, name in enumerate(rows.schema.names)}
+            written = column["ids"].cast(pa.large_binary())
+            at = np.frombuffer(written.buffers()[1], np.int64)[written.offset: written.offset + len(written) + 1]
+            n = np.append(0, np.cumsum(column["length"].to_numpy()))
+            size = int(at[-1] - at[0]) // int(n[-1])
+            ids = np.frombuffer(written.buffers()[2], np.uint8)[at[0]: at[-1]].view(f">u{size}").astype("<i4")
+            raw, ends = memoryview(ids).cast("B"), (4 * n).tolist()
+            crc = np.array([zlib.crc32(raw[a:b]) for a, b in zip(ends, ends[1:])], np.int64)
+            column |= {"ids": scan.lists(ids, n, pa.int32()), "ids_crc32": pa.array(crc)}
+            yield scan.batch(_PACKED, *(column[name] for name in _PACKED.names))
 
 
 def exact_patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:

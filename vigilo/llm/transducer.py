@@ -297,12 +297,10 @@ class Kept:
         at, mask = (h >> np.uint64(64 - self.bits)).astype(np.int64), len(self.keys) - 1
         while len(h):
             free = self.values[at] < 0
-            _, first = np.unique(np.where(free, at, -1), return_index=True)
-            first = first[free[first]]
-            self.keys[at[first]], self.values[at[first]] = h[first], v[first]
-            left = np.ones(len(h), bool)
-            left[first] = False
-            h, v, at = h[left], v[left], (at[left] + (self.values[at[left]] >= 0)) & mask
+            self.keys[at[free]] = h[free]                   # of several at a free place, one stays
+            own = free & (self.keys[at] == h)
+            self.values[at[own]] = v[own]
+            h, v, at = h[~own], v[~own], (at[~own] + 1) & mask
 
 
 def _spec(path: str) -> dict:
