@@ -33,15 +33,24 @@ def _side(df: DataFrame, value_col: str, side: int) -> DataFrame:
     ).where(F.col("ts").isNotNull() & F.col("server_id").isNotNull())
 
 
+def both_sides(a: DataFrame, a_col: str, b: DataFrame, b_col: str) -> DataFrame:
+    """The rows of both feeds that have a key, as one frame (or stream): ``ts, server_id, _side, _v``."""
+    return _side(a, a_col, 0).unionByName(_side(b, b_col, 1))
+
+
 def key_partials(a: DataFrame, a_col: str, b: DataFrame, b_col: str, how: str = "avg") -> DataFrame:
     """Per-key statistics of both sides, one row per ``(ts, server_id)`` on either side; see ``merge_partials``.
 
     Columns: ``ts, server_id, a_n, b_n`` plus ``a_s, a_c, b_s, b_c`` for
     ``how="avg"`` or ``a_m, b_m`` for ``how="max"``.
     """
+    return side_partials(both_sides(a, a_col, b, b_col), how)
+
+
+def side_partials(u: DataFrame, how: str = "avg") -> DataFrame:
+    """``key_partials`` of rows that are ``both_sides`` already."""
     if how not in ("avg", "max"):
         raise ValueError(f"how must be 'avg' or 'max', got {how!r}")
-    u = _side(a, a_col, 0).unionByName(_side(b, b_col, 1))
     side, v = F.col("_side"), F.col("_v")
     aggs = [F.count_if(side == 0).alias("a_n"), F.count_if(side == 1).alias("b_n")]
     for tag, s in (("a", 0), ("b", 1)):

@@ -80,10 +80,10 @@ def corrected_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobS
     return AlertStore(spark, f"{work}/store", job).alerts()
 
 
-def _heartbeat(staged: DataFrame, value_cols: list[str], i: int) -> DataFrame:
-    """One row ``i`` hours past the feed's last sample, on the reserved heartbeat server."""
-    return staged.agg(F.max("ts").alias("ts")).select(
-        (F.col("ts") + F.make_dt_interval(hours=F.lit(i))).alias("ts"),
+def _heartbeat(spark: SparkSession, last: int | None, value_cols: list[str], i: int) -> DataFrame:
+    """One row ``i`` hours past the feed's last sample (microseconds), on the reserved heartbeat server."""
+    return spark.range(1).select(
+        (F.timestamp_micros(F.lit(last).cast("long")) + F.make_dt_interval(hours=F.lit(i))).alias("ts"),
         F.lit(HEARTBEAT_SERVER).alias("server_id"),
         *[F.lit(None).cast("float").alias(c) for c in value_cols])
 
@@ -105,7 +105,7 @@ def windowed_run(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSp
 
     The feeds arrive as files in order of event time and are consumed in triggers of ``files_per_trigger`` files a
     feed; then heartbeat rows are appended one at a time, each followed by a restart of the query from its checkpoint,
-    so the watermark moves past the last window and both stateful operators flush. Rows that come later than the
+    so the watermark moves past the last window and the state is flushed. Rows that come later than the
     watermark allows are counted by the stream; if there are any, ``LateRows`` is raised instead of a result that
     silently lacks them.
 
@@ -132,21 +132,21 @@ def _to_the_end(spark: SparkSession, a: DataFrame, b: DataFrame, job: PairJobSpe
                 start: Callable[[DataFrame, DataFrame], StreamingQuery]) -> None:
     """Run a query over both feeds and their heartbeats until all windows are out; ``LateRows`` if rows were dropped."""
     feeds = {"a": (a, job.first.column), "b": (b, job.second.column)}
-    staged = {}
+    staged, last = {}, {}
     for k, (df, col) in feeds.items():
         arrive(df.select("ts", "server_id", col), f"{work}/{k}")
         staged[k] = spark.read.parquet(f"{work}/{k}")
+        last[k] = staged[k].agg(F.max(F.unix_micros("ts")).alias("us")).first().us
 
     def run(files: int) -> None:
-        q = start(*(spark.readStream.schema(staged[k].schema).option("maxFilesPerTrigger", files).parquet(f"{work}/{k}")
-                    for k in ("a", "b")))
-        q.awaitTermination()
-        late = late_rows(q)
+        start(*(spark.readStream.schema(staged[k].schema).option("maxFilesPerTrigger", files).parquet(f"{work}/{k}")
+                for k in ("a", "b"))).awaitTermination()
+        late = late_rows(spark, f"{work}/checkpoint", job)
         if late:
             raise LateRows(f"{late} rows came later than the watermark allows; see {work}")
 
     run(files_per_trigger)
     for i in range(1, HEARTBEATS + 1):
         for k, (_, col) in feeds.items():
-            _heartbeat(staged[k], [col], i).coalesce(1).write.mode("append").parquet(f"{work}/{k}")
+            _heartbeat(spark, last[k], [col], i).coalesce(1).write.mode("append").parquet(f"{work}/{k}")
         run(1)

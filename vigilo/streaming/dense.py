@@ -22,7 +22,7 @@ from ..config import PairJobSpec
 from ..operators.windows import spine
 from ..plans.alert_jobs import finish
 from ..sources.commits import COMPACT_EVERY, CommittedTable
-from .windows import HEARTBEAT_SERVER, windowed_alert_stream
+from .windows import HEARTBEAT_SERVER, start_final_windows
 
 
 class DenseSink:
@@ -76,14 +76,6 @@ def start_dense_alerts(first: DataFrame, second: DataFrame, job: PairJobSpec, pa
     Rows later than the watermark allows are dropped and counted (``late_rows``), as in ``start_windowed_alerts``. Where no
     server sends rows the frontier stands still; the windows of such a pause follow with the first window after it.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        DenseSink(batch.sparkSession, path, job).take(batch, batch_id, run)
-
-    w = (windowed_alert_stream(first, second, job, watermark).writeStream.outputMode("append")
-         .foreachBatch(write).option("checkpointLocation", checkpoint))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+    return start_final_windows(
+        first, second, job, checkpoint, watermark,
+        lambda windows, batch, run: DenseSink(windows.sparkSession, path, job).take(windows, batch, run), available_now, processing_time)

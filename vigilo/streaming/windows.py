@@ -1,11 +1,10 @@
-"""Windowed alerts on live metric streams (append mode, watermarked).
+"""Windowed alerts on live metric streams (watermarked, each window emitted once).
 
-Two metric streams are tagged and unioned, paired per ``(ts, server_id)`` by a
-first watermarked aggregation (per-key n / count / sum / max per side, the
-same weighted form as batch), then aggregated over Spark's sliding
-``window()`` by a second watermarked aggregation. Both are append-mode
-stateful operators: a window is emitted once the watermark passes its end,
-and its state is dropped then, so state stays bounded by the watermark delay.
+Two metric streams are tagged and unioned, and each micro-batch is reduced to the statistics of its
+``(ts, server_id)`` keys (per-key n / count / sum / max per side, the same weighted form as batch).
+Keys wait in files (``streaming.state``) until the watermark passes the end of their windows; then
+the windows are computed by the batch job's steps and emitted, and their keys are dropped, so the
+state stays bounded by the watermark delay, on disk and not in the executors' memory.
 
 A stream cannot know the global first/last timestamp, so it emits non-empty
 windows only (including windows that begin before the first aligned start);
@@ -15,99 +14,104 @@ watermark is the slower feed's).
 
 End of stream: a finite source (files, ``availableNow``) leaves the newest
 windows in state. Appending heartbeat rows per feed with server id
-``HEARTBEAT_SERVER`` and timestamps past the last window, in separate
-triggers, pushes the watermark on; ``read_windowed`` drops that server. (A
-NULL server id would not work: Catalyst pushes ``server_id IS NOT NULL``
-below the watermark operator, so such rows never advance event time.)
+``HEARTBEAT_SERVER`` and timestamps past the last window pushes the watermark
+on; ``read_windowed`` drops that server. (Rows without a server id never advance
+event time.)
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import MetricSpec, PairJobSpec
-from ..functions.timefmt import slide_index
 from ..operators.messages import accepted, decode_messages, typed_table
+from ..operators.pairing import both_sides
+from ..plans.alert_jobs import load_rounded
+from ..sources.commits import CommittedTable, _Files
+from .state import WindowState, delay_us
 
 HEARTBEAT_SERVER = "__heartbeat__"
 
 
-def _side(df: DataFrame, col: str, side: int, watermark: str) -> DataFrame:
-    return (df.withWatermark("ts", watermark)
-            .select("ts", "server_id", F.lit(side).cast("byte").alias("_side"),
-                    F.round(F.col(col).cast("float"), 2).alias("_v")))
+def start_final_windows(a: DataFrame, b: DataFrame, job: PairJobSpec, checkpoint: str, watermark: str,
+                        emit: Callable[[DataFrame, int, str], None], available_now: bool = False,
+                        processing_time: str | None = None) -> StreamingQuery:
+    """A stream that gives ``emit(windows, batch_id, run)`` each batch's final windows: ``server_id, w, x_a, x_b, _lo``.
 
+    ``w`` is the window start index (start = w * slide seconds), as in batch. ``emit`` commits them under the batch's id and the
+    run's (the checkpoint's): a batch repeated after a failure replaces itself. The state lies below the checkpoint.
+    """
+    job.window.validate()
+    spark, fa, fb = a.sparkSession, job.first.column, job.second.column
+    delay = delay_us(spark, watermark)
+    if _Files(spark, checkpoint).names("state"):
+        raise ValueError(f"{checkpoint} has state of Spark's own operators, of an earlier version; start from a new checkpoint")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        window_state(session, checkpoint, job, delay).take(batch, batch_id, lambda windows: emit(windows, batch_id, run))
+
+    w = (both_sides(load_rounded(a, fa), fa, load_rounded(b, fb), fb).writeStream
+         .foreachBatch(write).option("checkpointLocation", checkpoint))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
 
-def windowed_alert_stream(a: DataFrame, b: DataFrame, job: PairJobSpec, watermark: str = "60 seconds") -> DataFrame:
-    """Streaming frame of per-(server, window) results: ``server_id, w, x_a, x_b, _lo``.
 
-    ``w`` is the window start index (start = w * slide seconds), as in batch.
-    """
-    spec = job.window.validate()
-    fa, fb = job.first.column, job.second.column
-    u = (_side(a, fa, 0, watermark).unionByName(_side(b, fb, 1, watermark))
-         .where(F.col("ts").isNotNull() & F.col("server_id").isNotNull()))
-    side, v = F.col("_side"), F.col("_v")
-    aggs = [F.count_if(side == 0).alias("a_n"), F.count_if(side == 1).alias("b_n")]
-    for tag, s in (("a", 0), ("b", 1)):
-        mine = F.when(side == s, v)
-        if job.how == "avg":
-            aggs += [F.sum(mine.cast("double")).alias(f"{tag}_s"), F.count(mine).alias(f"{tag}_c")]
-        else:
-            aggs += [F.max(mine).alias(f"{tag}_m")]
-    keyed = u.groupBy("ts", "server_id").agg(*aggs).where((F.col("a_n") > 0) & (F.col("b_n") > 0))
-    win = F.window("ts", f"{spec.length_s} seconds", f"{spec.slide_s} seconds")
-    # min slide bucket of the window's rows: lets a batch read rebuild the dense, trimmed table
-    lo = F.min(slide_index("ts", spec.slide_s)).alias("_lo")
-    if job.how == "avg":
-        g = keyed.groupBy(win.alias("window"), "server_id").agg(
-            F.sum(F.col("a_s") * F.col("b_n")).alias("_as"), F.sum(F.col("a_c") * F.col("b_n").cast("double")).alias("_ac"),
-            F.sum(F.col("b_s") * F.col("a_n")).alias("_bs"), F.sum(F.col("b_c") * F.col("a_n").cast("double")).alias("_bc"),
-            lo)
-        vals = [F.try_divide("_as", "_ac").alias("x_a"), F.try_divide("_bs", "_bc").alias("x_b")]
-    else:
-        g = keyed.groupBy(win.alias("window"), "server_id").agg(F.max("a_m").alias("x_a"),
-                                                                 F.max("b_m").alias("x_b"), lo)
-        vals = [F.col("x_a"), F.col("x_b")]
-    w = (F.unix_seconds(F.col("window.start")) / F.lit(spec.slide_s)).cast("long")
-    return g.select("server_id", w.alias("w"), *vals, "_lo")
+def window_state(spark: SparkSession, checkpoint: str, job: PairJobSpec, delay: int = 0) -> WindowState:
+    """The state of the stream with a checkpoint."""
+    return WindowState(spark, f"{checkpoint}/windows", job, delay)
+
+
+def late_rows(spark: SparkSession, checkpoint: str, job: PairJobSpec) -> int:
+    """Rows that came later than the watermark allows and were dropped, since the checkpoint began."""
+    return window_state(spark, checkpoint, job).late_rows()
+
+
+def windowed_table(spark: SparkSession, out_dir: str) -> CommittedTable:
+    """The final windows of all streams that write to a path."""
+    return CommittedTable(spark, out_dir)
 
 
 def start_windowed_alerts(a: DataFrame, b: DataFrame, job: PairJobSpec, out_dir: str, checkpoint: str,
                           watermark: str = "60 seconds", available_now: bool = False,
                           processing_time: str | None = None,
                           state_partitions: int | None = None) -> StreamingQuery:
-    """Append finalised windows to a parquet table (exactly-once file sink).
+    """Append finalised windows to a committed table (exactly once); ``read_windowed`` reads it.
 
-    ``state_partitions``: number of state-store partitions per stateful
-    operator. A checkpoint fixes it at its first start; by default it is the
+    ``state_partitions``: number of tasks that a batch's keys and windows are
+    dealt to. A checkpoint fixes it at its first start; by default it is the
     session's ``spark.sql.shuffle.partitions``. Only the start of this query
     sees the value; the session setting is restored afterwards.
     """
-    w = (windowed_alert_stream(a, b, job, watermark).writeStream
-         .format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).option("path", out_dir))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
+    def start() -> StreamingQuery:
+        return start_final_windows(
+            a, b, job, checkpoint, watermark,
+            lambda windows, batch, run: windowed_table(windows.sparkSession, out_dir).commit(windows, batch, run),
+            available_now, processing_time)
+
     if not state_partitions:
-        return w.start()
+        return start()
     spark = a.sparkSession
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     spark.conf.set(key, str(int(state_partitions)))
     try:
-        return w.start()
+        return start()
     finally:
         spark.conf.set(key, before)
 
 
 def read_windowed(spark: SparkSession, out_dir: str) -> DataFrame:
     """Batch view of the finalised windows (heartbeat windows removed)."""
-    return spark.read.parquet(out_dir).where(F.col("server_id") != F.lit(HEARTBEAT_SERVER))
+    return windowed_table(spark, out_dir).read().where(F.col("server_id") != F.lit(HEARTBEAT_SERVER))
 
 
 def metric_stream(messages: DataFrame, metric: MetricSpec, fmt: str = "json", base_date: str | None = None) -> DataFrame:
@@ -121,8 +125,3 @@ def start_topic_alerts(messages: DataFrame, job: PairJobSpec, out_dir: str, chec
     """Live windowed alerts straight from a stream of topic messages; options as ``start_windowed_alerts``."""
     a, b = (metric_stream(messages, m, fmt, base_date) for m in (job.first, job.second))
     return start_windowed_alerts(a, b, job, out_dir, checkpoint, **options)
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that the watermark dropped in the query's recent triggers, over all stateful operators."""
-    return sum(int(o["numRowsDroppedByWatermark"]) for p in query.recentProgress for o in p["stateOperators"])
